@@ -4,11 +4,12 @@ Each document of a source starts with the same expected number of uses. Its whol
 is an inclusion probability. The flight phase moves three probabilities at a time along the null space of the balancing
 equations (tokens, documents) until one of them is 0 or 1, so both totals stay what they were. Blocks of documents fly
 independently; the two that each leaves undecided fly again together, level by level, until one block per source is
-left, and the landing decides its last two by the smallest error in tokens.
+left. The landing decides its last two by the smallest error in tokens and makes that good by one exchange.
 """
 
 from __future__ import annotations
 
+import bisect
 from itertools import product
 
 import pandas as pd
@@ -64,6 +65,19 @@ def land(sizes: list[float], chances: list[float]) -> list[int]:
     out = [round(x) for x in chances]
     for k, i in zip(best, open_, strict=True):
         out[i] = k
+    # what the last ones are off by, exchanging one used document for one unused makes good
+    off = due - sum(out[i] * sizes[i] for i in open_)
+    ins = sorted((sizes[i], i) for i in range(len(out)) if not out[i])
+    swap: tuple[float, int, int] | None = None
+    for i in range(len(out)):
+        if out[i]:
+            at = bisect.bisect_left(ins, (sizes[i] + off, -1))
+            for size, j in ins[max(0, at - 1) : at + 1]:
+                left = abs(off - (size - sizes[i]))
+                if left < abs(off) and (swap is None or (left, i, j) < swap):
+                    swap = (left, i, j)
+    if swap is not None:
+        out[swap[1]], out[swap[2]] = 0, 1
     return out
 
 
@@ -72,7 +86,8 @@ _FLOWN = "doc_id long, source string, n_tokens int, base int, chance double"
 
 def _flight(last: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("doc_id", ignore_index=True)
+        # the largest first, so that what is left undecided is small
+        pdf = pdf.sort_values(["n_tokens", "doc_id"], ascending=[False, True], ignore_index=True)
         sizes = pdf["n_tokens"].astype(float).tolist()
         chances = fly(sizes, pdf["chance"].tolist())
         if last:
