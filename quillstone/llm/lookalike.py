@@ -144,6 +144,7 @@ def canonical_text(docs: DataFrame, text: str = "text", out: str = "canonical_te
     Null stays null, empty stays empty; a text of invisible characters alone becomes empty. Texts of any length are
     taken whole. Repeated rows stay. A column named as `out` is replaced.
     """
+    ship(docs.sparkSession)
     columns = [c for c in (keep if keep is not None else docs.columns) if c != out]
     source = docs.select(*dict.fromkeys([*columns, text]))
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)

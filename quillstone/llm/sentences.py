@@ -16,6 +16,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstone.runtime import ship
+
 # Words that a full stop abbreviates and that are always followed by more of the sentence.
 _NEVER = frozenset(
     # titles
@@ -58,7 +60,8 @@ _CONTINUES = regex.compile(r"[\p{SB=SContinue};,:،؛；：，、)\]）」』”
 _ACRONYM = regex.compile(r"(?:\p{L}\.)+\p{L}\Z")
 _INITIAL = regex.compile(r"(?:\p{Lu}\.?-)?\p{Lu}\Z")
 _PARTICLE = regex.compile(r"(?:(?:van|von|de|del|della|di|da|du|des|la|le|den|der|ter|ten|dos) )+\p{Lu}\p{Ll}+|al-\p{Lu}|d['’]\p{Lu}")
-_GLUED = regex.compile(r"\p{Lu}\p{Ll}*(?:[\s,.:;-]|$)")
+_GLUED = regex.compile(r"\p{Lu}\p{L}*(?:[\s,.:;-]|$)")
+_ADDRESS = regex.compile(r"www\.|://|@|\.\w{2,}/")
 _NO_BLANKS = regex.compile(r"[\p{Script=Han}\p{Script=Hiragana}\p{Script=Katakana}\p{Script=Thai}\p{Script=Lao}\p{Script=Khmer}\p{Script=Hangul}]")
 _OF_SPACED = regex.compile(rf"[{_SPACED}]")
 _FOREIGN_RUN = regex.compile(rf"[^{_SPACED}]*")
@@ -106,7 +109,7 @@ def _suppressed(text: str, dot: int, start: int, nxt: int) -> bool:
     starter = bool(word) and word.group().lower() in _STARTERS
     if low in _NEVER:
         return True
-    if c.islower() and (low in _MAY_END or low in _BEFORE_NUMBER or len(token) == 1 or _ACRONYM.match(token)):
+    if c.islower() and (low in _MAY_END or low in _BEFORE_NUMBER or len(token) == 1 and token.isalpha() or _ACRONYM.match(token)):
         return True
     if low in _BEFORE_NUMBER and (c.isdigit() or c in "−-±<>="):
         return True
@@ -219,7 +222,7 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
             if _NO_BLANKS.match(ch) and not (term[-1] == "." and text[i - 1 : i].isdigit() and ch.isdigit()):
                 if term[-1] != "." or not _suppressed(text, j - 1, start, nxt):
                     close(e)
-            elif ch.isupper() and i >= 3 and (c is not None or text[i - 1].islower() and text[i - 2].islower() or text[i - 1] in ")”" or term[-1] in "!?") and _GLUED.match(text, nxt) and "/" not in _TOKEN.search(text, start, i).group() and "@" not in _TOKEN.search(text, start, i).group():
+            elif ch.isupper() and i >= 3 and (c is not None or text[i - 1].islower() and text[i - 2].islower() or text[i - 1] in ")”" or term[-1] in "!?") and _GLUED.match(text, nxt) and not _ADDRESS.search(_TOKEN.search(text, start, i).group()):
                 close(e)
         elif term[-1] in ".．․﹒" and len(term) == 1 and e == j and _suppressed(text, i, start, nxt):
             continue
@@ -280,6 +283,7 @@ def sentences(rows: DataFrame, text: str, keys: list[str]) -> DataFrame:
     Null and blank texts give no row. Repeated rows are split once. Texts of any length are taken whole. Other columns
     are ignored, whatever their names.
     """
+    ship(rows.sparkSession)
     once = rows.select(*keys, F.col(text)).where(F.col(text).isNotNull() & (F.trim(text) != "")).distinct()
     fields = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
     return once.mapInPandas(_split(keys, text), f"{fields}, sentence_no int, start_char int, end_char int, sentence string")

@@ -14,6 +14,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstone.runtime import ship
+
 from quillstone.llm.sentences import sentence_spans
 
 _SECTION = regex.compile(r"\n[^\S\n]*\n\s*")
@@ -105,6 +107,7 @@ def split_oversized(rows: DataFrame, text: str, keys: list[str], max_size: int,
     order of choice, between sections, lines that begin a list item or heading, sentences, clauses, words and
     characters that can stand alone.
     """
+    ship(rows.sparkSession)
     columns = [*keys, *([offset] if offset else [])]
     big = rows.select(*columns, F.col(text)).where(F.length(text) > max_size).distinct()
     fields = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
