@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.runtime import cut
+from quillstone.runtime import cut, ship
 
 RESPONSE = "struct<claims:array<struct<ingredient:string,claim_type:string,relation:string,target:string,target_category:string,evidence_direction:string,evidence_text:string,study_context:string,hedging:boolean,negation:boolean,confidence:double>>>"
 #: Phrases that rule a claimed target out.
@@ -42,6 +42,7 @@ def extract_cached(questions: DataFrame, cache: DataFrame, extract: Callable[[li
 
     Null questions get no response. A question asked many times is asked once.
     """
+    ship(questions.sparkSession)
     keyed = questions.withColumn("cache_key", F.when(F.col(question).isNotNull(), cache_key(model, prompt, schema, F.col(question))))
     known = cache.groupBy("cache_key").agg(F.max("response").alias("response"))
     distinct = keyed.where("cache_key is not null").groupBy("cache_key").agg(F.first(question).alias("question"))

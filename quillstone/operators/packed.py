@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.runtime import broadcast_if_small, cut
+from quillstone.runtime import broadcast_if_small, cut, ship
 
 #: Words that follow a comma inside one term ("..., dried"); fixed values of this domain, a parameter elsewhere.
 KEPT_TAILS = ("dried", "hot skin")
@@ -44,9 +44,15 @@ def _item(delimiter: str) -> str:
 _PERSON = r"\s*,\s*(?:and|&)\s+|\s*,\s*(?!(?:Jr|Sr)\.)|\s+(?:and|&)\s+"
 
 
-def skeleton(field: Column, tails: tuple[str, ...] = KEPT_TAILS) -> Column:
+#: Delimiters in a skeleton that are never part of a term.
+_STRONG_SIGNS = r"[|;\n、，；]|(?: |^)/(?: |$)|(?: |^)·(?: |$)|c·c"
+
+
+def skeleton(field: Column, people: bool = False, tails: tuple[str, ...] = KEPT_TAILS) -> Column:
     """The delimiter skeleton of a field: q quoted, b bracketed, n 'and', j generation mark, c syllabic, g given name with
-    initial, l name with bare initials, p several words, w one word, 9 digits, d a kept tail; delimiters as they are."""
+    initial, l name with bare initials, p several words, w one word, 9 digits, d a kept tail; delimiters as they are.
+    Where a delimiter stands that is never part of a term, which ones do is all that is left, so the number of
+    skeletons follows the ways to write a field, not the fields. Only fields of `people` keep the classes of words."""
     kept = "|".join(map(re.escape, tails))
     # class signs are private-use characters until the end, so that no later pattern takes them for letters
     q, b, d, nine, c, j, n, name_l, g, p, w = (chr(0xE000 + i) for i in range(11))
@@ -76,13 +82,17 @@ def skeleton(field: Column, tails: tuple[str, ...] = KEPT_TAILS) -> Column:
     out = F.trim(field)
     for pattern, by in steps:
         out = F.regexp_replace(out, pattern, by)
-    return F.translate(out, "".join((q, b, d, nine, c, j, n, name_l, g, p, w)), "qbd9cjnlgpw")
+    out = F.translate(out, "".join((q, b, d, nine, c, j, n, name_l, g, p, w)), "qbd9cjnlgpw")
+    if not people:
+        out = F.regexp_replace(F.regexp_replace(out, "[bd9jnlgpw+]+(?: [bd9jnlgpw+]+)*", "w"), r"(w ?, ?)\1+", "$1")
+    signs = F.array_sort(F.array_distinct(F.regexp_extract_all(out, F.lit(r"([|;\n、，；/·])"), F.lit(1))))
+    return F.when(out.rlike(_STRONG_SIGNS), F.concat(F.lit("c "), F.array_join(signs, " "), F.lit(" c"))).otherwise(out)
 
 
 def rule_of(skel: str, people: bool) -> str:
     """The splitting rule for a skeleton: 'strong', 'comma', 'person' or 'one'. `people`: the field holds persons."""
     bare = skel.replace("+", "")
-    if re.search(r"[|;\n、，；]|(?: |^)/(?: |$)|(?: |^)·(?: |$)|c·c", bare):
+    if re.search(_STRONG_SIGNS, bare):
         return "strong"
     if not people:
         return "comma" if "," in bare else "one"
@@ -140,7 +150,8 @@ def unpack(fields: DataFrame, *, field: str, people: bool = False, tails: tuple[
     single; quotes elsewhere and brackets belong to the value, as do delimiters within either. Repeated rows give
     repeated rows. Texts of any length are taken whole.
     """
-    known = fields.where(F.col(field).isNotNull() & (_strip(F.col(field)) != "")).withColumn("_skeleton", skeleton(F.col(field), tails))
+    ship(fields.sparkSession)
+    known = fields.where(F.col(field).isNotNull() & (_strip(F.col(field)) != "")).withColumn("_skeleton", skeleton(F.col(field), people, tails))
     rules = broadcast_if_small(cut(resolve(known.select("_skeleton"), people)), 200_000)
     values = known.join(rules, "_skeleton").select(*fields.columns, _values(F.col(field), F.col("_rule"), tails).alias("_values"))
     kept = [c for c in fields.columns if c != field]

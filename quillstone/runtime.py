@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,24 @@ def session(master: str = "local[8]", shuffle_partitions: int = 8, memory: str =
     )
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the workers, once per application, so that they need not have it installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = Path(__file__).resolve().parent
+    if here.is_dir():  # else the package already runs from an archive
+        target = Path(tempfile.mkdtemp(prefix="quillstone-ship-")) / "quillstone.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(here.rglob("*.py")):
+                z.write(f, f"{here.name}/{f.relative_to(here)}")
+        sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)
+
+
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.getCheckpointDir():
@@ -43,6 +63,7 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
 def cut(df: DataFrame) -> DataFrame:
     """`df`, computed once and kept in the shared checkpoint folder, so that a lost executor costs nothing upstream."""
     _ensure_checkpoint_dir(df.sparkSession)
+    ship(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -54,4 +75,5 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
