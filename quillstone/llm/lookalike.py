@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstone.runtime import cut, ship
+
 # Letters of other scripts with the shape of a Latin letter.
 _CYRILLIC = "АВЕЅІЈКМНОРСТУХ" + "аеѕіјорсухԁһԛԝ" + "Ү"
 _CYRILLIC_AS = "ABESIJKMHOPCTYX" + "aesijopcyxdhqw" + "Y"
@@ -33,6 +35,8 @@ _RADICALS_AS = "厂乙刀㔾小彐日月母民爪牛犬示竹纟网网羊羊肉
 _BLANKS = "               　"
 #: Characters that show nothing: soft hyphen, joiners, direction marks, variation selectors, tags.
 _INVISIBLE = r"[\x{00AD}\x{034F}\x{061C}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180F}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{3164}\x{FE00}-\x{FE0F}\x{FEFF}\x{FFA0}\x{FFF9}-\x{FFFB}\x{1D173}-\x{1D17A}\x{E0000}-\x{E0FFF}]"
+#: Bytes of text that DuckDB gets at once.
+SLICE_BYTES = 24_000_000
 _KEPT_KINDS = ("<super>", "<sub>", "<fraction>", "<circle>", "<vertical>")
 
 
@@ -99,15 +103,17 @@ def canonical_sql(column: str = "t") -> str:
     """The SQL expression that brings `column` to its one form."""
     one, several = tables()
     sql = f"regexp_replace({column}, {_quote(_INVISIBLE)}, '', 'g')"
-    # Characters that become several: blocks of them, each looked for only where the text has one of the block.
+    # Characters that become several: looked for all at once, then in blocks, so that most texts skip them.
     items = list(several.items())
+    blocks = "s"
     for at in range(0, len(items), 60):
         block = items[at : at + 60]
         inner = "s"
         for a, b in block:
             inner = f"replace({inner}, {_quote(a)}, {_quote(b)})"
         found = f"regexp_matches(s, {_quote(_class(''.join(a for a, _ in block)))})"
-        sql = f"list_transform([{sql}], lambda s: CASE WHEN {found} THEN {inner} ELSE s END)[1]"
+        blocks = f"list_transform([{blocks}], lambda s: CASE WHEN {found} THEN {inner} ELSE s END)[1]"
+    sql = f"list_transform([{sql}], lambda s: CASE WHEN regexp_matches(s, {_quote(_class(''.join(several)))}) THEN {blocks} ELSE s END)[1]"
     names = "".join(one)
     sql = f"list_transform([{sql}], lambda s: CASE WHEN regexp_matches(s, {_quote(_class(names))}) THEN translate(s, {_quote(names)}, {_quote(''.join(one.values()))}) ELSE s END)[1]"
     # an accent on a letter that only now is Latin composes here
@@ -122,15 +128,17 @@ def _normalise(columns: list[str], text: str, out: str):
 
         con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "autoinstall_known_extensions": False, "autoload_known_extensions": False})
         expression = canonical_sql("t")
-        ready = con  # one connection a task
+        ascii_only = "regexp_full_match(t, '[\\x00-\\x7F]*')"
+        query = f"SELECT CASE WHEN t IS NULL THEN NULL WHEN {ascii_only} THEN t ELSE {expression} END AS c FROM texts ORDER BY i"
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = pa.Table.from_batches([batch.slice(at, 512)])
+            # planning the long expression costs more than running it on a few rows: slices as large as memory allows
+            rows = max(1, min(batch.num_rows, 16_384, int(batch.num_rows * SLICE_BYTES / max(batch.nbytes, 1)) or 1))
+            for at in range(0, batch.num_rows, rows):
+                part = pa.Table.from_batches([batch.slice(at, rows)])
                 texts = pa.table({"i": pa.array(range(part.num_rows), pa.int32()), "t": part.column(text).cast(pa.string())})
-                ascii_only = "regexp_full_match(t, '[\\x00-\\x7F]*')"
-                ready.register("texts", texts)
-                got = ready.sql(f"SELECT i, CASE WHEN t IS NULL THEN NULL WHEN {ascii_only} THEN t ELSE {expression} END AS c FROM texts ORDER BY i").to_arrow_table()
-                ready.unregister("texts")
+                con.register("texts", texts)
+                got = con.sql(query).to_arrow_table()
+                con.unregister("texts")
                 done = got.column("c").cast(pa.string()).combine_chunks()
                 for x in pa.table([*(part.column(c) for c in columns), done], names=schema_names).to_batches():
                     yield x
@@ -165,8 +173,6 @@ def lookalike_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     with every other spelling. Classes of one spelling only, however many copies it has, are dropped before any join,
     so a text that a third of all documents share costs one row per task.
     """
-    from quillstone.runtime import cut
-
     members = cut(lookalike_classes(docs, doc_id, text))
     spellings = members.select("class_id", "text_id").distinct()
     mixed = spellings.groupBy("class_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("class_id")
