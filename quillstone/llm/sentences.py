@@ -176,7 +176,7 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
             e = _AFTER.match(text, j).end()
             quoted = any(c in "”’»›」』》〉\"＂“" for c in text[j:e])
             if e == j and term[-1] == "." and j - i == 1 and i and text[i - 1].islower() and (b := _BARE_CITATION.match(text, j)) and not text[max(start, i - 3) : i].isspace():
-                if _TOKEN.search(text, start, i).group().isalpha():
+                if (word := _TOKEN.search(text, start, i)) and word.group().isalpha():
                     e = b.end()
         if c := _CITATION.match(text, e):
             e = c.end()
@@ -216,13 +216,14 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
         elif whole and not dots:
             close(e)
         elif dots:
-            if gap and _NEXT_WORD.match(text, nxt, nxt + 8).group().lower() not in _LINKS if ch.isalpha() else gap:
+            word = _NEXT_WORD.match(text, nxt, nxt + 8)
+            if gap and not (word and word.group().lower() in _LINKS):
                 close(e)
         elif not gap:
             if _NO_BLANKS.match(ch) and not (term[-1] == "." and text[i - 1 : i].isdigit() and ch.isdigit()):
                 if term[-1] != "." or not _suppressed(text, j - 1, start, nxt):
                     close(e)
-            elif ch.isupper() and i >= 3 and (c is not None or text[i - 1].islower() and text[i - 2].islower() or text[i - 1] in ")”" or term[-1] in "!?") and _GLUED.match(text, nxt) and not _ADDRESS.search(_TOKEN.search(text, start, i).group()):
+            elif ch.isupper() and i >= 3 and (c is not None or text[i - 1].islower() and text[i - 2].islower() or text[i - 1] in ")”" or term[-1] in "!?") and _GLUED.match(text, nxt) and not ((word := _TOKEN.search(text, start, i)) and _ADDRESS.search(word.group())):
                 close(e)
         elif term[-1] in ".．․﹒" and len(term) == 1 and e == j and _suppressed(text, i, start, nxt):
             continue

@@ -70,7 +70,7 @@ def pieces(text: str, max_size: int, overlap: int) -> list[tuple[int, int]]:
     if len(text) <= max_size:
         return [(0, len(text))]
     ends = _units(text, 0, len(text), max_size - overlap, 0)
-    if ends[0] <= overlap:
+    while len(ends) > 1 and ends[0] <= overlap:
         del ends[0]  # too short to lend the next piece its overlap; the two fit one piece
     return [(max(0, (ends[i - 1] if i else 0) - overlap), end) for i, end in enumerate(ends)]
 
