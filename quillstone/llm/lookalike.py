@@ -153,7 +153,7 @@ def canonical_text(docs: DataFrame, text: str = "text", out: str = "canonical_te
     taken whole. Repeated rows stay. A column named as `out` is replaced.
     """
     ship(docs.sparkSession)
-    columns = [c for c in (keep if keep is not None else docs.columns) if c != out]
+    columns = [c for c in (keep if keep is not None else docs.columns) if c.lower() != out.lower()]
     source = docs.select(*dict.fromkeys([*columns, text]))
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
     return source.mapInArrow(_normalise(columns, text, out), f"{fields}, `{out}` string" if fields else f"`{out}` string")

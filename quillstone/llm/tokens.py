@@ -41,7 +41,7 @@ def _count(text: str, keep: list[str], out: str, folder: str, ranks: str):
 def with_tokens(docs: DataFrame, text: str = "text", keep: list[str] | None = None, out: str = "n_tokens", folder: str = TOKENIZERS, ranks: str = RANKS) -> DataFrame:
     """Columns `keep` of `docs` with the number of tokens of each whole text; null for a null text, 0 for an empty one."""
     ship(docs.sparkSession)
-    keep = [c for c in (keep if keep is not None else docs.columns) if c != out]
+    keep = [c for c in (keep if keep is not None else docs.columns) if c.lower() != out.lower()]
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return docs.select(*dict.fromkeys([*keep, text])).mapInPandas(_count(text, keep, out, folder, ranks), f"{fields}, `{out}` int")
 
