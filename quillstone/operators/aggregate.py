@@ -92,3 +92,15 @@ def function_edges(owners: DataFrame, owner: str, functions: str, mapping: DataF
     score = F.when(F.col("_e") == 0, F.col("confidence")).otherwise(F.round(F.col("confidence") * secondary, 6))
     edges = effects.groupBy("owner", "effect", "relation").agg(F.min(F.struct("_f", "_e", score.alias("s")))["s"].alias("score"))
     return edges if seen is None else edges.join(seen.select("owner", "effect", "relation"), ["owner", "effect", "relation"], "left_anti")
+
+
+def build_targets(rows: DataFrame, functions: str, keywords: dict[str, str], categories: dict[str, str], inactive: Sequence[str], other: str = "other") -> DataFrame:
+    """Rows with `category` (of the first function that has one) and `keywords` (of all functions, in order, without
+    repeats whatever the case, joined by '|'). Rows whose functions are all inactive go; rows without any stay."""
+    from quillstone.functions.text import dedup_ci, function_names, lit_map, pipe_split
+
+    names = F.coalesce(function_names(F.col(functions)), F.array().cast("array<string>"))
+    words = F.flatten(F.transform(names, lambda f: F.coalesce(pipe_split(lit_map(keywords)[f]), F.array().cast("array<string>"))))
+    kinds = F.filter(F.transform(names, lambda f: lit_map(categories)[f]), lambda c: c.isNotNull())
+    active = (F.size(names) == 0) | F.exists(names, lambda f: ~f.isin(list(inactive)))
+    return rows.where(active).withColumns({"category": F.coalesce(F.try_element_at(kinds, F.lit(1)), F.lit(other)), "keywords": F.array_join(dedup_ci(words), "|")})

@@ -145,14 +145,14 @@ def _strip(text: Column) -> Column:
 def unpack(fields: DataFrame, *, field: str, people: bool = False, tails: tuple[str, ...] = KEPT_TAILS, out: str = "item_value", pos: str = "pos") -> DataFrame:
     """One row per value of column `field`, with its place `pos` among the field's non-empty values, counted from 1.
 
-    The other columns of `fields` are kept and must not be called `pos` or `out` or begin with an underscore. A null or
-    blank field, or one of delimiters alone, gives no row. Quotes that wrap a value go, doubled ones inside become
+    The other columns of `fields` are kept, save those named like `pos` or `out` or beginning with an underscore, which
+    go. A null or blank field, or one of delimiters alone, gives no row. Quotes that wrap a value go, doubled ones inside become
     single; quotes elsewhere and brackets belong to the value, as do delimiters within either. Repeated rows give
     repeated rows. Texts of any length are taken whole.
     """
     ship(fields.sparkSession)
-    known = fields.where(F.col(field).isNotNull() & (_strip(F.col(field)) != "")).withColumn("_skeleton", skeleton(F.col(field), people, tails))
+    kept = [c for c in fields.columns if c != field and c.lower() not in (pos.lower(), out.lower()) and not c.startswith("_")]
+    known = fields.select(*kept, field).where(F.col(field).isNotNull() & (_strip(F.col(field)) != "")).withColumn("_skeleton", skeleton(F.col(field), people, tails))
     rules = broadcast_if_small(cut(resolve(known.select("_skeleton"), people)), 200_000)
-    values = known.join(rules, "_skeleton").select(*fields.columns, _values(F.col(field), F.col("_rule"), tails).alias("_values"))
-    kept = [c for c in fields.columns if c != field]
+    values = known.join(rules, "_skeleton").select(*kept, _values(F.col(field), F.col("_rule"), tails).alias("_values"))
     return values.select(*kept, F.posexplode("_values").alias("_pos", out)).select(*kept, (F.col("_pos") + 1).cast("int").alias(pos), out)

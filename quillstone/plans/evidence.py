@@ -15,7 +15,7 @@ from quillstone.operators import labels as B
 from quillstone.operators import quality as Q
 from quillstone.operators import upsert as U
 from quillstone.operators.extract import claims_of, extract_cached
-from quillstone.runtime import cut, read_table
+from quillstone.runtime import broadcast_if_small, read_table
 from quillstone.sources import readers as R
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -332,7 +332,7 @@ _MAP = "(SELECT DISTINCT lower(trim(claim_key)) AS ck, {0}_id FROM gold_claim_{0
 def _edges(spark: SparkSession, d: str, kind: str, evidence: DataFrame) -> DataFrame:
     ids = read_table(spark, d, f"gold_claim_{kind}_map").where(F.col(f"{kind}_id").isNotNull() & F.col("claim_key").isNotNull()).select(F.lower(F.trim("claim_key")).alias("ck"), f"{kind}_id").distinct()
     codes = read_table(spark, d, f"{kind}_taxonomy").where(f"{kind}_code is not null").groupBy(f"{kind}_id").agg(F.max(f"{kind}_code").alias(f"{kind}_code"))
-    rows = evidence.join(ids, evidence.claim_key == ids.ck).join(F.broadcast(codes), f"{kind}_id")
+    rows = evidence.join(ids, evidence.claim_key == ids.ck).join(broadcast_if_small(codes), f"{kind}_id")
     return A.paper_support(rows, ["ingredient_name", f"{kind}_code", "relation"], "pmid", "row_weight")
 
 
@@ -455,11 +455,11 @@ def node_properties(spark: SparkSession, d: str) -> DataFrame:
     return U.set_properties(n, v, "canonical_name", ["term_id"]).select("ingredient_code", "term_id")
 
 
-_FUN = [("SERUM", ["HYDRATING", "BARRIER"], "improves", 0.1), ("ACID", ["KERATOLYTIC", "BRIGHTENING"], "improves", 0.15), ("LIPID", ["BARRIER"], "improves", 0.03), ("EXTRACT", ["SOOTHING", "HYDRATING"], "reduces", 0.05)]
+_FUN = [("PEPTIDE", ["HYDRATING", "BARRIER"], "improves", 0.1), ("ACID", ["KERATOLYTIC", "BRIGHTENING"], "improves", 0.15), ("LIPID", ["BARRIER"], "improves", 0.03), ("PLANT", ["SOOTHING", "HYDRATING"], "reduces", 0.05)]
 
 
 @query("""WITH f AS (SELECT canonical_name AS owner, category AS fn FROM issue26_sebum_targets WHERE category IS NOT NULL),
-    m AS (SELECT * FROM (VALUES ('SERUM', ['HYDRATING', 'BARRIER'], 'improves', 0.1::DOUBLE), ('ACID', ['KERATOLYTIC', 'BRIGHTENING'], 'improves', 0.15::DOUBLE), ('LIPID', ['BARRIER'], 'improves', 0.03::DOUBLE), ('EXTRACT', ['SOOTHING', 'HYDRATING'], 'reduces', 0.05::DOUBLE)) v(fn, effects, relation, confidence)),
+    m AS (SELECT * FROM (VALUES ('PEPTIDE', ['HYDRATING', 'BARRIER'], 'improves', 0.1::DOUBLE), ('ACID', ['KERATOLYTIC', 'BRIGHTENING'], 'improves', 0.15::DOUBLE), ('LIPID', ['BARRIER'], 'improves', 0.03::DOUBLE), ('PLANT', ['SOOTHING', 'HYDRATING'], 'reduces', 0.05::DOUBLE)) v(fn, effects, relation, confidence)),
     x AS (SELECT DISTINCT owner, relation, confidence, unnest(effects) AS effect, generate_subscripts(effects, 1) AS p FROM f JOIN m ON m.fn = upper(trim(split_part(f.fn, ' - ', 1))))
     SELECT owner, effect, relation, arg_min(CASE WHEN p = 1 THEN confidence ELSE round(confidence * 0.6, 6) END, p) AS score FROM x GROUP BY 1, 2, 3""")
 def function_edges(spark: SparkSession, d: str) -> DataFrame:
@@ -467,6 +467,29 @@ def function_edges(spark: SparkSession, d: str) -> DataFrame:
     return A.function_edges(owners, "canonical_name", "functions", spark.createDataFrame(_FUN, "function string, effects array<string>, relation string, confidence double"))
 
 
+_KEYWORDS = {"PEPTIDE": "hydration|TEWL", "ACID": "exfoliation|Texture|hydration", "LIPID": "barrier|dry skin", "PLANT": "soothing|Barrier"}
+
+
+@query("""SELECT row_number() OVER (ORDER BY ingredient_code) AS target_no, ingredient_code, coalesce(lower(category), 'other') AS category, CASE upper(category) WHEN 'ACID' THEN 'exfoliation|Texture|hydration' WHEN 'LIPID' THEN 'barrier|dry skin' WHEN 'PEPTIDE' THEN 'hydration|TEWL' WHEN 'PLANT' THEN 'soothing|Barrier' ELSE '' END AS keywords
+    FROM (SELECT DISTINCT ingredient_code, category FROM issue26_sebum_targets WHERE coalesce(upper(category), '') <> 'MINERAL')""")
+def target_list(spark: SparkSession, d: str) -> DataFrame:
+    """Targets built from function cells: inactive ones out, keywords of the functions, consecutive numbers."""
+    t = read_table(spark, d, "issue26_sebum_targets").select("ingredient_code", "category").distinct()
+    built = A.build_targets(t, "category", _KEYWORDS, {k: k.lower() for k in _KEYWORDS}, ("MINERAL",))
+    from quillstone.sources.writers import batch_numbers
+
+    return batch_numbers(built, "ingredient_code", 1).select((F.col("batch_no") + 1).cast("long").alias("target_no"), "ingredient_code", F.lower("category").alias("category"), "keywords")
+
+
+@query("SELECT t.ingredient_code, coalesce(c.canonical_name, t.query_name) AS name, coalesce(e.effect_name_ko, t.category) AS local_name FROM (SELECT DISTINCT ingredient_code, canonical_name, query_name, category FROM issue26_sebum_targets) t LEFT JOIN canonical_terms c ON c.kind = 'ingredient' AND c.canonical_name = t.canonical_name LEFT JOIN (SELECT effect_id, max(effect_name_ko) AS effect_name_ko FROM effect_taxonomy GROUP BY 1) e ON e.effect_id = t.ingredient_code")
+def node_attributes(spark: SparkSession, d: str) -> DataFrame:
+    """Attributes from the reference list first, from the row itself where there are none."""
+    t = read_table(spark, d, "issue26_sebum_targets").select("ingredient_code", "canonical_name", "query_name", "category").distinct()
+    c = read_table(spark, d, "canonical_terms").where("kind = 'ingredient'").select("canonical_name", F.col("canonical_name").alias("listed"))
+    e = read_table(spark, d, "effect_taxonomy").groupBy(F.col("effect_id").alias("ingredient_code")).agg(F.max("effect_name_ko").alias("ko"))
+    return t.join(c, "canonical_name", "left").join(e, "ingredient_code", "left").select("ingredient_code", F.coalesce("listed", "query_name").alias("name"), F.coalesce("ko", "category").alias("local_name"))
+
+
 # ---- audits and invariants --------------------------------------------------------------------------------------
 
 _SUM = "concat_ws(' ', ingredient_name, relation, target)"

@@ -50,6 +50,8 @@ def test_nulls_repeats_and_length(spark):
     got = unpack(spark.createDataFrame(rows, "i int, f string, reason string"), field="f").groupBy("i").count().collect()
     assert {r.i: r["count"] for r in got} == {4: 4, 5: 5000}
     assert unpack(spark.createDataFrame([], "i int, f string"), field="f").count() == 0
+    clash = spark.createDataFrame([(1, "a|b", 7, "x", 8)], "i int, f string, POS int, item_value string, _rule int")
+    assert sorted(map(tuple, unpack(clash, field="f").collect())) == [(1, 1, "a"), (1, 2, "b")]
 
 
 def test_skeletons_do_not_grow_with_the_fields(spark):
