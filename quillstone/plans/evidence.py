@@ -48,7 +48,8 @@ def silver_papers(spark: SparkSession, d: str) -> DataFrame:
     """Papers with an abstract, one row each, with the sorted ingredients they were found for."""
     rows = read_table(spark, d, "bronze_paper").where("pmid is not null and trim(abstract_text) <> ''")
     found = A.inverted_index(rows, "pmid", {"searched_ingredient": "|"}).withColumnRenamed("searched_ingredient", "searched_ingredients")
-    first = A.first_wins(rows, ["pmid"], ["collected_at", "source", "searched_ingredient", "batch_id"]).select("pmid", "title", "abstract_text", "journal", "publication_year")
+    order = ["collected_at", "source", "searched_ingredient", "batch_id"]
+    first = A.first_wins(rows.select("pmid", "title", "abstract_text", "journal", "publication_year", *order), ["pmid"], order).drop(*order)
     return first.join(found, "pmid").withColumn("searched_ingredient_count", R.searched(found, "searched_ingredients"))
 
 
@@ -152,8 +153,10 @@ def claim_keys(spark: SparkSession, d: str) -> DataFrame:
     return _keyed(read_table(spark, d, "gold_claim")).select("claim_key", "scope_key", "evidence_id", "canonical_claim_key", F.concat_ws(" ", "ingredient_name", "relation", "target").alias("summary")).distinct()
 
 
-def _first_claims(spark: SparkSession, d: str) -> DataFrame:
-    return A.first_wins(_keyed(read_table(spark, d, "gold_claim")), ["scope_key"], ["created_at", "claim_key", "is_active"])
+def _first_claims(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """The first claim of each scope with the columns asked for; the sentence is read for its key and goes no further."""
+    rows = _keyed(read_table(spark, d, "gold_claim")).select("scope_key", "created_at", "claim_key", "is_active", *columns)
+    return A.first_wins(rows, ["scope_key"], ["created_at", "claim_key", "is_active"])
 
 
 _FIRST = f"(SELECT * FROM (SELECT *, {_SCOPE} AS scope_key, row_number() OVER (PARTITION BY {_SCOPE} ORDER BY created_at NULLS FIRST, claim_key NULLS FIRST, is_active NULLS FIRST) AS rn FROM gold_claim) WHERE rn = 1)"
@@ -321,7 +324,8 @@ def row_weights(spark: SparkSession, d: str) -> DataFrame:
     SELECT s.ckey AS canonical_claim_key, f.ingredient_name, f.target, f.target_category, evidence_count_raw, paper_count_distinct, study_count_distinct, paper_support_sum, paper_support_sum_graph, paper_support_sum_reco, paper_count_graph, paper_count_reco, evidence_score, graph_score, recommendation_score_base,
     CASE top WHEN 3 THEN 'strict_graph' WHEN 2 THEN 'soft_graph' WHEN 1 THEN 'recommendation_only' ELSE 'evidence_only' END AS top_eligibility_tier, l.label AS top_attribution_label, graph_score > 0 AS is_graph_eligible FROM s JOIN n USING (ckey) JOIN f USING (ckey) JOIN l USING (ckey)""")
 def canonical_claims(spark: SparkSession, d: str) -> DataFrame:
-    e = _first_claims(spark, d).withColumns({"_weight": _weight(), "_tier": _tier(), "pmid": F.coalesce("pmid", F.lit(""))})
+    columns = ("canonical_claim_key", "pmid", "ingredient_name", "target", "target_category", "relation", "section_type", "evidence_direction", "claim_type")
+    e = _first_claims(spark, d, *columns).withColumns({"_weight": _weight(), "_tier": _tier(), "pmid": F.coalesce("pmid", F.lit(""))})
     out = A.canonical(e, "canonical_claim_key", "pmid", "_weight", "_tier", _TIERS, ("strict_graph", "soft_graph"), ("strict_graph", "soft_graph", "recommendation_only"), "relation", "section_type", ["created_at", "claim_key"], ["ingredient_name", "target", "target_category"])
     return out
 
@@ -329,6 +333,9 @@ def canonical_claims(spark: SparkSession, d: str) -> DataFrame:
 _MAP = "(SELECT DISTINCT lower(trim(claim_key)) AS ck, {0}_id FROM gold_claim_{0}_map WHERE claim_key IS NOT NULL AND {0}_id IS NOT NULL)"
 
 
+_EDGE = ("ingredient_name", "relation", "pmid", "evidence_direction", "claim_type")
+
+
 def _edges(spark: SparkSession, d: str, kind: str, evidence: DataFrame) -> DataFrame:
     ids = read_table(spark, d, f"gold_claim_{kind}_map").where(F.col(f"{kind}_id").isNotNull() & F.col("claim_key").isNotNull()).select(F.lower(F.trim("claim_key")).alias("ck"), f"{kind}_id").distinct()
     codes = read_table(spark, d, f"{kind}_taxonomy").where(f"{kind}_code is not null").groupBy(f"{kind}_id").agg(F.max(f"{kind}_code").alias(f"{kind}_code"))
@@ -346,13 +353,13 @@ def _edge_sql(kind: str, where: str) -> str:
 def affects_edges(spark: SparkSession, d: str) -> DataFrame:
     """Ingredient, effect, relation: the log of the summed best weights of papers, over graph tiers."""
     generic = F.coalesce(F.lower("ingredient_name").isin("cream", "water", "vehicle", "placebo"), F.lit(False))
-    e = _first_claims(spark, d).withColumn("row_weight", _weight()).where(_tier().isin("strict_graph", "soft_graph") & ~generic).select("claim_key", "ingredient_name", "relation", "pmid", "row_weight")
+    e = _first_claims(spark, d, *_EDGE).withColumn("row_weight", _weight()).where(_tier().isin("strict_graph", "soft_graph") & ~generic).select("claim_key", "ingredient_name", "relation", "pmid", "row_weight")
     return _edges(spark, d, "effect", e).where(~(F.col("effect_code").like("%EXCESS%") & (F.col("relation") == "increases")))
 
 
 @query(_edge_sql("concern", "relation = 'causes' AND evidence_direction = 'supports' AND claim_type IN ('safety', 'efficacy')"))
 def caution_edges(spark: SparkSession, d: str) -> DataFrame:
-    e = _first_claims(spark, d).where("relation = 'causes' and evidence_direction = 'supports' and claim_type in ('safety', 'efficacy')").withColumn("row_weight", _weight()).select("claim_key", "ingredient_name", "relation", "pmid", "row_weight")
+    e = _first_claims(spark, d, *_EDGE).where("relation = 'causes' and evidence_direction = 'supports' and claim_type in ('safety', 'efficacy')").withColumn("row_weight", _weight()).select("claim_key", "ingredient_name", "relation", "pmid", "row_weight")
     return _edges(spark, d, "concern", e)
 
 
@@ -431,7 +438,8 @@ def node_union(spark: SparkSession, d: str) -> DataFrame:
     SELECT coalesce(f.pmid, old.pmid) AS pmid, CASE WHEN f.pmid IS NOT NULL THEN f.title ELSE old.title END AS title, CASE WHEN f.pmid IS NOT NULL THEN f.source ELSE old.source END AS source, coalesce(f.doi, old.doi) AS doi, coalesce(f.journal, old.journal) AS journal, old.publication_year FROM f FULL JOIN old USING (pmid)""")
 def upserted_papers(spark: SparkSession, d: str) -> DataFrame:
     """Earlier papers after the later batches arrived: some columns overwritten, some only filled."""
-    b = read_table(spark, d, "bronze_paper").where("pmid is not null").withColumns({"s": F.coalesce("source", F.lit("")), "i": F.coalesce("searched_ingredient", F.lit(""))})
+    columns = ["batch_id", "collected_at", "source", "searched_ingredient", "pmid", "title", "doi", "journal", "publication_year"]
+    b = read_table(spark, d, "bronze_paper").where("pmid is not null").select(*columns).withColumns({"s": F.coalesce("source", F.lit("")), "i": F.coalesce("searched_ingredient", F.lit(""))})
     old = A.last_wins(b.where("batch_id < '2025-01'"), ["pmid"], ["collected_at", "s", "i"]).select("pmid", "title", "source", "doi", "journal", "publication_year")
     return U.upsert(old, b.where("batch_id >= '2025-01'"), "pmid", ["collected_at", "s", "i"], ["title", "source"], ["doi", "journal"]).select("pmid", "title", "source", "doi", "journal", "publication_year")
 
