@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import argparse
 
-from quillstone.plans import evidence, training
+from quillstone.plans import evidence, orders, training
 from quillstone.runtime import session
 
 
 def main(argv: list[str] | None = None) -> None:
-    known = evidence.queries() | training.queries()
+    known = evidence.queries() | orders.queries() | training.queries()
     p = argparse.ArgumentParser(prog="quillstone", description=__doc__)
     p.add_argument("query", choices=sorted(known))
     p.add_argument("folder")

@@ -32,6 +32,11 @@ def session(master: str = "local[8]", shuffle_partitions: int = 8, memory: str =
 _SHIPPED: set[str] = set()
 
 
+def _shared_folder(spark: SparkSession) -> str | None:
+    """The folder the cluster names for checkpoints, if it names one."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the workers, once per application, so that they need not have it installed."""
     sc = spark.sparkContext
@@ -39,7 +44,12 @@ def ship(spark: SparkSession) -> None:
         return
     here = Path(__file__).resolve().parent
     if here.is_dir():  # else the package already runs from an archive
-        target = Path(tempfile.mkdtemp(prefix="quillstone-ship-")) / "quillstone.zip"
+        # built where executors can see it too, if such a folder is known; Spark serves it to them in any case
+        shared = _shared_folder(spark)
+        local = shared.removeprefix("file://") if shared and (shared.startswith("file://") or "://" not in shared) else None
+        folder = Path(local) / f"ship-{sc.applicationId}" if local else Path(tempfile.mkdtemp(prefix="quillstone-ship-"))
+        folder.mkdir(parents=True, exist_ok=True)
+        target = folder / "quillstone.zip"
         with zipfile.ZipFile(target, "w") as z:
             for f in sorted(here.rglob("*.py")):
                 z.write(f, f"{here.name}/{f.relative_to(here)}")
@@ -51,7 +61,7 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    configured = _shared_folder(spark)
     if configured:
         sc.setCheckpointDir(configured)
     elif sc.master.startswith("local[") or sc.master == "local":
