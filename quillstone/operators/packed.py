@@ -79,14 +79,23 @@ def skeleton(field: Column, people: bool = False, tails: tuple[str, ...] = KEPT_
         (rf"(?s)(([{classes}\"])+( ?[\n|;,/、，；·&] ?))\1+", "$1+"),
         (rf"(?s)(([{classes}\"])+, ?([{classes}\"])+( ?[\n|;/；] ?))\1+", "$1+"),
     ]
-    out = F.trim(field)
+    flat = F.trim(field)
+    out = flat
     for pattern, by in steps:
         out = F.regexp_replace(out, pattern, by)
     out = F.translate(out, "".join((q, b, d, nine, c, j, n, name_l, g, p, w)), "qbd9cjnlgpw")
     if not people:
         out = F.regexp_replace(F.regexp_replace(out, "[bd9jnlgpw+]+(?: [bd9jnlgpw+]+)*", "w"), r"(w ?, ?)\1+", "$1")
-    signs = F.array_sort(F.array_distinct(F.regexp_extract_all(out, F.lit(r"([|;\n、，；/·])"), F.lit(1))))
-    return F.when(out.rlike(_STRONG_SIGNS), F.concat(F.lit("c "), F.array_join(signs, " "), F.lit(" c"))).otherwise(out)
+
+    def signs(text: Column) -> Column:
+        found = F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(r"([|;\n、，；/·])"), F.lit(1))))
+        return F.concat(F.lit("c "), F.array_join(found, " "), F.lit(" c"))
+
+    # without quotes and brackets such a delimiter decides at once, and nothing needs to be masked
+    plain = ~flat.rlike(r'["(]') & flat.rlike(r"[|;\t\r\n、，；]")
+    # in a lambda the masked text is worked out once, and only for the other fields
+    masked = F.get(F.transform(F.array(out), lambda o: F.when(o.rlike(_STRONG_SIGNS), signs(o)).otherwise(o)), F.lit(0))
+    return F.when(plain, signs(F.regexp_replace(flat, r"[\r\n\t]+", "\n"))).otherwise(masked)
 
 
 def rule_of(skel: str, people: bool) -> str:
