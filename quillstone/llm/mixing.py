@@ -15,6 +15,7 @@ from itertools import product
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quillstone.llm.tokens import RANKS, TOKENIZERS, spread, with_tokens
 from quillstone.runtime import cut
@@ -152,9 +153,9 @@ def mix(docs: DataFrame, targets: DataFrame, *, total_tokens: int | None = None,
 def share_report(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     """Per listed source: target_share, documents used, uses, tokens and the share of all tokens reached."""
     per = mixed.groupBy("source").agg(F.count_if(F.col("n_uses") > 0).alias("n_used"), F.sum("n_uses").cast("long").alias("n_uses"), F.sum(F.col("n_uses") * F.col("n_tokens").cast("long")).alias("mix_tokens"))
-    total = per.agg(F.sum("mix_tokens").alias("_all"))
+    per = per.withColumn("_all", F.sum("mix_tokens").over(Window.partitionBy(F.lit(1))))  # one row per listed source
     listed = targets.where("source is not null").groupBy("source").agg(F.sum("target_share").alias("target_share"), F.min("max_repeats").alias("max_repeats"))
-    rows = listed.join(per, "source", "left").join(F.broadcast(total))
+    rows = listed.join(per, "source", "left")
     zero = F.lit(0).cast("long")
     return rows.select(
         "source",

@@ -50,6 +50,10 @@ _BLANK_LINE = regex.compile(r"\n[^\S\n]*\n| |\r\n[^\S\n]*\r\n")
 _TERM = r"[\p{SB=STerm}\p{SB=ATerm}…⋯]+"
 _SPACED = r"\p{Script=Thai}\p{Script=Lao}\p{Script=Khmer}\p{Script=Myanmar}"
 _EVENT = regex.compile(rf"(?P<term>{_TERM})|(?P<gap>(?<=[{_SPACED}][\p{{M}}ๆฯ]*)\s+(?=\S))|(?P<para>\n[^\S\n]*\n\s*)")
+#: Characters before a stop in which an abbreviation and the word before it stand; none is longer.
+_NEAR = 160
+#: Open quotes and brackets that wait for their end; of more, the outermost count as never closed.
+_DEEPEST = 64
 _AFTER = regex.compile(r"[\"'”’»›)\]）］」』】》〉＂]*")
 _CITATION = regex.compile(r"(?:\s?[\[［]\d[\d\s,;–—-]*[\]］])+(?=\s|$|[^\w])|(?:[¹²³⁰-⁹][¹²³⁰-⁹,–-]*)(?=\s|$)")
 _BARE_CITATION = regex.compile(r"\d{1,3}(?:[,–-]\d{1,3})*(?=\s+[\p{Lu}“«„(]|\s*$)")
@@ -89,6 +93,8 @@ def _pairs(text: str) -> list[tuple[int, int]]:
             del stack[hit:]
         elif ch in _PAIRS and not (ch == "‘" and at and text[at - 1].isalpha()):
             stack.append((ch, at))
+            if len(stack) > _DEEPEST:
+                del stack[0]
     found.sort()
     outer: list[tuple[int, int]] = []
     for a, b in found:
@@ -99,7 +105,7 @@ def _pairs(text: str) -> list[tuple[int, int]]:
 
 def _suppressed(text: str, dot: int, start: int, nxt: int) -> bool:
     """Whether the full stop at `dot` abbreviates, with more of the sentence from `nxt`."""
-    m = _TOKEN.search(text, start, dot)
+    m = _TOKEN.search(text, max(start, dot - _NEAR), dot)
     if not m:
         return False
     token, at = m.group(), m.start()
@@ -116,14 +122,14 @@ def _suppressed(text: str, dot: int, start: int, nxt: int) -> bool:
     if low == "al" and c in "([（" or low == "al" and c.isdigit():
         return True
     if token.isdigit():
-        before = _WORD.search(text, start, at - 1 if at > start else at)
+        before = _WORD.search(text, max(start, at - _NEAR), at - 1 if at > start else at)
         if not text[start:at].strip():
             return len(token) <= 3  # the number of a list item
         return len(token) <= 2 and bool(before) and before.group().lower() in _ORDINAL_AFTER and c.isalnum()
     if _ACRONYM.match(token):
         return low.replace(".", "") in ("eg", "ie", "zb", "dh", "ua") or token.isupper() and not starter and c.isalpha()
     if len(token) == 1 and token.isalpha():
-        before = _WORD.search(text, start, at - 1 if at > start else at)
+        before = _WORD.search(text, max(start, at - _NEAR), at - 1 if at > start else at)
         if before and before.group()[-1].isdigit():
             return False  # a unit
         if token.isupper():
@@ -176,7 +182,7 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
             e = _AFTER.match(text, j).end()
             quoted = any(c in "”’»›」』》〉\"＂“" for c in text[j:e])
             if e == j and term[-1] == "." and j - i == 1 and i and text[i - 1].islower() and (b := _BARE_CITATION.match(text, j)) and not text[max(start, i - 3) : i].isspace():
-                if (word := _TOKEN.search(text, start, i)) and word.group().isalpha():
+                if (word := _TOKEN.search(text, max(start, i - _NEAR), i)) and word.group().isalpha():
                     e = b.end()
         if c := _CITATION.match(text, e):
             e = c.end()
@@ -197,7 +203,6 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
                 continue
         # after a quote a small letter goes on, save in names as "pH" and before surname particles
         lower = ch.islower() and not text[nxt + 1 : nxt + 2].isupper() and not _PARTICLE.match(text, nxt)
-        begins = ch.isupper() or ch.islower() and not lower or ch in _PAIRS or ch in "¿¡" or ch.isdigit() and _cased(text, i)
         own = pair is not None and not text[start : pair[0]].strip()
         if pair is not None and not quoted:
             close(e)  # a bracketed sentence of its own
@@ -206,6 +211,7 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
                 if e > j and pair is None and whole and ch.isupper():
                     close(e)
                 continue
+            begins = ch.isupper() or ch.islower() and not lower or ch in _PAIRS or ch in "¿¡" or ch.isdigit() and _cased(text, i)
             if lower and pair is not None and not own:
                 # speech brought in by a colon, or begun before, ends with its last quote
                 begins = text[start : pair[0]].rstrip().endswith((":", "：")) or text[start : pair[0]].lstrip()[:1] in _QUOTES
@@ -223,7 +229,7 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
             if _NO_BLANKS.match(ch) and not (term[-1] == "." and text[i - 1 : i].isdigit() and ch.isdigit()):
                 if term[-1] != "." or not _suppressed(text, j - 1, start, nxt):
                     close(e)
-            elif ch.isupper() and i >= 3 and (c is not None or text[i - 1].islower() and text[i - 2].islower() or text[i - 1] in ")”" or term[-1] in "!?") and _GLUED.match(text, nxt) and not ((word := _TOKEN.search(text, start, i)) and _ADDRESS.search(word.group())):
+            elif ch.isupper() and i >= 3 and (c is not None or text[i - 1].islower() and text[i - 2].islower() or text[i - 1] in ")”" or term[-1] in "!?") and _GLUED.match(text, nxt) and not ((word := _TOKEN.search(text, max(start, i - _NEAR), i)) and _ADDRESS.search(word.group())):
                 close(e)
         elif term[-1] in ".．․﹒" and len(term) == 1 and e == j and _suppressed(text, i, start, nxt):
             continue
@@ -243,7 +249,8 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
 
 def _cased(text: str, i: int) -> bool:
     """Whether the last letter before `i` belongs to a script with capitals."""
-    while i > 0:
+    low = max(0, i - _NEAR)
+    while i > low:
         i -= 1
         if text[i].isalpha():
             return text[i].islower() or text[i].isupper()
