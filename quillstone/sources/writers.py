@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def write_csv(df: DataFrame, path: str, headers: Mapping[str, str] | None = None, single: bool = False) -> None:
@@ -36,6 +37,7 @@ def batch_numbers(df: DataFrame, order: str, size: int = 500) -> DataFrame:
 
     ranged = cut(df.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id()))
     counts = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_first"))
-    starts = counts.alias("a").join(counts.alias("b"), F.col("b._p") < F.col("a._p"), "left").groupBy("a._p", "a._first").agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_start"))
-    numbered = ranged.join(F.broadcast(starts), ["_p"])  # one row per partition
+    before = Window.partitionBy(F.lit(1)).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    starts = counts.select("_p", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    numbered = ranged.join(F.broadcast(starts), ["_p"])
     return numbered.withColumn("batch_no", F.floor((F.col("_start") + F.col("_m") - F.col("_first")) / size).cast("int")).drop("_p", "_m", "_first", "_start")
