@@ -97,7 +97,17 @@ _WORDS = ("skin", "topical", "cosmetic", "facial")
 _HINTS = ("barrier", "sebum", "pore", "TEWL")
 
 
-@query()
+def _split_sql(column: str) -> str:
+    return f"list_filter(list_transform(string_split(coalesce({column}, ''), '|'), lambda x: trim(x, ' ')), lambda x: x <> '')"
+
+
+def _group_sql(terms: str) -> str:
+    once = f"list_filter({terms}, lambda x, i: list_position(list_transform({terms}, lambda y: lower(y)), lower(x)) = i)"
+    return f"""'(' || array_to_string(list_transform({once}, lambda t: '"' || t || '"[Title/Abstract]'), ' OR ') || ')'"""
+
+
+@query(f"""SELECT ingredient_code, {_group_sql(f"list_concat([trim(query_name, ' ')], {_split_sql('alias_list')})")} || ' AND ' || {_group_sql(f"list_concat(['skin', 'topical', 'cosmetic', 'facial'], {_split_sql('concern_keywords')})")} || ' AND ' || {_group_sql(f"list_concat(['barrier', 'sebum', 'pore', 'TEWL'], {_split_sql('concern_keywords')})")}
+    || CASE WHEN len({_split_sql('required_context_keywords')}) > 0 THEN ' AND ' || {_group_sql(_split_sql('required_context_keywords'))} ELSE '' END || CASE WHEN len({_split_sql('excluded_context_keywords')}) > 0 THEN ' AND NOT ' || {_group_sql(_split_sql('excluded_context_keywords'))} ELSE '' END AS final_query FROM issue26_sebum_targets""")
 def search_queries(spark: SparkSession, d: str) -> DataFrame:
     t = read_table(spark, d, "issue26_sebum_targets")
     text = T.boolean_query(F.col("query_name"), F.col("alias_list"), F.col("concern_keywords"), F.col("required_context_keywords"), F.col("excluded_context_keywords"), _WORDS, _HINTS)
@@ -286,7 +296,14 @@ def sentence_labels(spark: SparkSession, d: str) -> DataFrame:
     return g.select("claim_key", B.strength(s, F.lit("unclear")).alias("strength"), B.modality(s, F.col("claim_type"), F.col("relation")).alias("modality")).distinct()
 
 
-@query()
+_CL = "list_filter(string_split(regexp_replace(trim(lower(s), ' '), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda c: c <> '')"
+_TW = "list_slice(regexp_extract_all(lower(coalesce(target, '')), '[a-z]{4,}'), 1, 4)"
+_ABOUT = f"list_filter({_CL}, lambda c: len(list_filter({_TW}, lambda w: contains(c, w))) > 0)"
+_EFFECT = f"list_filter({_CL}, lambda c: regexp_matches(c, '{L.alternation(L.EFFECT_VERBS)}'))"
+
+
+@query(f"""SELECT DISTINCT claim_key, CASE WHEN {_any('scored', L.NOT_SIGNIFICANT)} THEN 'not_significant' WHEN {_any('scored', L.SIGNIFICANT)} THEN 'significant' WHEN (kind = 'safety' OR rel IN ('is_well_tolerated_for', 'is_safe_for')) AND {_any('scored', ('tolerat', 'safe'))} THEN 'not_applicable' WHEN kind = 'mechanism' AND NOT {_any('scored', ('efficacy', 'improv'))} THEN 'not_applicable' ELSE 'unclear' END AS significance FROM (
+    SELECT claim_key, lower(trim(coalesce(claim_type, ''), ' ')) AS kind, lower(trim(coalesce(relation, ''), ' ')) AS rel, coalesce({_ABOUT}[1], {_EFFECT}[-1], lower(s)) AS scored FROM (SELECT DISTINCT claim_key, source_sentence AS s, target, relation, claim_type FROM gold_claim WHERE claim_key IS NOT NULL AND source_sentence IS NOT NULL))""")
 def significance_labels(spark: SparkSession, d: str) -> DataFrame:
     s = _claim_sentences(spark, d)
     return s.select("claim_key", B.significance(F.col("source_sentence"), F.col("target"), F.col("claim_type"), F.col("relation")).alias("significance")).distinct()
