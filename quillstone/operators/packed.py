@@ -165,3 +165,13 @@ def unpack(fields: DataFrame, *, field: str, people: bool = False, tails: tuple[
     rules = broadcast_if_small(cut(resolve(known.select("_skeleton"), people)), 200_000)
     values = known.join(rules, "_skeleton").select(*kept, _values(F.col(field), F.col("_rule"), tails).alias("_values"))
     return values.select(*kept, F.posexplode("_values").alias("_pos", out)).select(*kept, (F.col("_pos") + 1).cast("int").alias(pos), out)
+
+
+def listed(fields: DataFrame, *, field: str, people: bool = False, tails: tuple[str, ...] = KEPT_TAILS, out: str = "item_values") -> DataFrame:
+    """Every row of `fields` with the values of column `field` in order as array `out`, empty for a null or blank field.
+    The values are those of `unpack`."""
+    ship(fields.sparkSession)
+    known = fields.withColumn("_skeleton", F.when(_strip(F.col(field)) != "", skeleton(F.col(field), people, tails)))
+    rules = broadcast_if_small(cut(resolve(known.where("_skeleton is not null").select("_skeleton"), people)), 200_000)
+    values = F.when(F.col("_skeleton").isNotNull(), _values(F.col(field), F.col("_rule"), tails)).otherwise(F.array().cast("array<string>"))
+    return known.join(rules, "_skeleton", "left").select(*fields.columns, values.alias(out))

@@ -15,6 +15,7 @@ from quillstone.operators import labels as B
 from quillstone.operators import quality as Q
 from quillstone.operators import upsert as U
 from quillstone.operators.extract import claims_of, extract_cached
+from quillstone.operators.packed import listed
 from quillstone.runtime import broadcast_if_small, read_table
 from quillstone.sources import readers as R
 
@@ -60,17 +61,36 @@ def paper_index(spark: SparkSession, d: str) -> DataFrame:
     return A.inverted_index(read_table(spark, d, "bronze_paper"), "pmid", {"searched_ingredient": "|", "final_query": " || "})
 
 
+#: Headings that make a labelled section of an abstract, at its start or after a blank.
+_LABELS = "|".join(h.rstrip(":").upper() for h in sorted({*L.BLOCKED_HEADINGS, *(r.upper() for r in L.RESULT_HEADINGS)}, key=len, reverse=True))
+_SECTION = rf"(?s)^({_LABELS}): (.+)$"
+#: A forename and a surname; names with a comma or bare initials at the end are written whole, so that they come back as they are.
+_PERSON = r"^([^,]*\S) (?!\p{Lu}{1,3}$)([^\s,]+)$"
+
+
 @query("SELECT pmid, title, abstract_text, journal, publication_year, authors, doi, pmcid FROM (SELECT DISTINCT pmid, title, abstract_text, journal, publication_year, authors, doi, pmcid FROM (SELECT pmid, trim(title) AS title, trim(regexp_replace(abstract_text, '\\s+', ' ', 'g')) AS abstract_text, nullif(trim(journal), '') AS journal, publication_year, trim(regexp_replace(split_part(authors, ';', 1), '\\s+', ' ', 'g')) AS authors, doi, pmcid FROM bronze_paper WHERE pmid IS NOT NULL AND trim(abstract_text) <> '' AND trim(regexp_replace(abstract_text, '\\s+', ' ', 'g')) <> '' AND trim(split_part(authors, ';', 1)) <> ''))")
 def papers_from_xml(spark: SparkSession, d: str) -> DataFrame:
-    """Records written as article XML and read back."""
+    """Records written as article XML, one element per author and labelled section, and read back."""
     esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     one = lambda c: F.trim(F.regexp_replace(c, r"\s+", " "))
     tag = lambda name, c, attr="": F.coalesce(F.concat(F.lit(f"<{name}{attr}>"), esc(c), F.lit(f"</{name}>")), F.lit(""))
-    rows = read_table(spark, d, "bronze_paper").where("pmid is not null and trim(abstract_text) <> ''").where((one(F.col("abstract_text")) != "") & (F.trim(F.split_part("authors", F.lit(";"), F.lit(1))) != ""))
+    part = lambda c, pattern, i: F.nullif(F.regexp_extract(c, pattern, i), F.lit(""))
+
+    def section(s: Column) -> Column:
+        label = part(s, _SECTION, 1)
+        return F.coalesce(F.concat(F.lit('<AbstractText Label="'), label, F.lit('">'), esc(part(s, _SECTION, 2)), F.lit("</AbstractText>")), tag("AbstractText", s))
+
+    def author(a: Column) -> Column:
+        inner = F.when(a.rlike(_PERSON), F.concat(tag("LastName", part(a, _PERSON, 2)), tag("ForeName", part(a, _PERSON, 1)))).when(~a.rlike("[ ,]"), tag("LastName", a)).otherwise(tag("CollectiveName", a))
+        return F.concat(F.lit("<Author>"), inner, F.lit("</Author>"))
+
+    rows = read_table(spark, d, "bronze_paper").where("pmid is not null and trim(abstract_text) <> ''").where(one(F.col("abstract_text")) != "")
+    rows = listed(rows.select("pmid", "title", "abstract_text", "journal", "publication_year", "authors", "doi", "pmcid"), field="authors", people=True, out="names")
+    sections = F.split(one(F.col("abstract_text")), rf" (?=(?:{_LABELS}): )")
     xml = F.concat(
         F.lit("<PubmedArticle><MedlineCitation>"), tag("PMID", F.col("pmid")), F.lit("<Article>"), tag("ArticleTitle", F.trim("title")),
         F.lit("<Journal>"), tag("Title", F.col("journal")), F.lit("<JournalIssue><PubDate>"), tag("Year", F.col("publication_year").cast("string")), F.lit("</PubDate></JournalIssue></Journal>"),
-        F.lit("<Abstract>"), tag("AbstractText", one(F.col("abstract_text"))), F.lit("</Abstract><AuthorList><Author>"), tag("CollectiveName", one(F.split_part("authors", F.lit(";"), F.lit(1)))), F.lit("</Author></AuthorList>"),
+        F.lit("<Abstract>"), F.array_join(F.transform(sections, section), ""), F.lit("</Abstract><AuthorList>"), F.array_join(F.transform("names", lambda a: author(one(a))), ""), F.lit("</AuthorList>"),
         tag("ELocationID", F.col("doi"), ' EIdType="doi"'), F.lit("</Article></MedlineCitation><PubmedData><ArticleIdList>"), tag("ArticleId", F.col("pmcid"), ' IdType="pmc"'), F.lit("</ArticleIdList></PubmedData></PubmedArticle>"),
     )
     return rows.select(R.parse_articles(xml).alias("p")).select("p.*").distinct()

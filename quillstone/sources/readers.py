@@ -101,7 +101,11 @@ def parse_articles(xml: Column) -> Column:
     """struct of pmid, title, abstract_text, journal, publication_year, authors, doi, pmcid and source parts of one
     article element as text. Labelled sections become 'LABEL: text' lines; a year that is no number comes from the
     free date; a collective author goes before a personal name; the first DOI and PMC id count."""
-    a = F.from_xml(xml, ARTICLE, {"attributePrefix": "_", "valueTag": "_VALUE"})
+    # in a lambda the element is parsed once, not for each field
+    return F.get(F.transform(F.array(F.from_xml(xml, ARTICLE, {"attributePrefix": "_", "valueTag": "_VALUE"})), _article), F.lit(0))
+
+
+def _article(a: Column) -> Column:
     art = a["MedlineCitation"]["Article"]
     none = F.expr("cast(array() as array<string>)")
     section = lambda s: F.when(_text(s["_VALUE"]).isNotNull(), F.when(s["_Label"].isNotNull(), F.concat(s["_Label"], F.lit(": "), _text(s["_VALUE"]))).otherwise(_text(s["_VALUE"])))
