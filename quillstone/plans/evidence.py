@@ -300,8 +300,8 @@ def sentence_filters(spark: SparkSession, d: str) -> DataFrame:
     FROM (SELECT claim_key, relation, lower(trim(coalesce(target, ''), ' ')) AS t FROM gold_claim)""")
 def target_filters(spark: SparkSession, d: str) -> DataFrame:
     g = read_table(spark, d, "gold_claim")
-    reject = B.rejected_target(F.col("target"), ("other", "unknown", "-", "?"), ("weight", "fracture"), ("skin", "sebum", "redness", "barrier", "index"), 4)
-    return g.select("claim_key", reject.alias("rejected"), B.compatible(F.col("relation"), F.col("target"), {"increases": (True, ("hydration", "elasticity")), "causes": (False, ("sebum",))}).alias("compatible")).distinct()
+    reject = B.rejected_target(F.col("target"), L.GENERIC_TARGETS, L.FOREIGN_TARGETS, L.TARGET_HINTS)
+    return g.select("claim_key", reject.alias("rejected"), B.compatible(F.col("relation"), F.col("target"), L.TARGET_RELATIONS).alias("compatible")).distinct()
 
 
 _STRONG = f"CASE WHEN {_any('s', L.STRONG_CUES)} THEN 'strong' WHEN {_any('s', (*L.HEDGES, *L.WEAK_CUES))} THEN 'weak' WHEN {_any('s', L.MODERATE_CUES)} THEN 'moderate' WHEN ({_starts('s', ('conclusion', 'results:', 'result:'))} OR contains(substr(lower(trim(s, ' ')), 1, 50), 'conclusion:')) AND {_any('s', ('effective', 'decreased', 'improvement', 'repair', 'barrier'))} THEN 'moderate' ELSE 'weak' END"

@@ -35,3 +35,22 @@ def test_papers_lose_none(spark, data):
     rows = papers.collect()
     assert all(r.authors == "; ".join(v for _, v in sorted(want[r.pmid].items())) for r in rows if r.authors is not None)
     assert {r.pmid for r in rows if r.authors is not None} == {r.pmid for r in rows} & set(want)
+
+
+def test_targets_by_the_full_lists(spark, tmp_path):
+    rows = [
+        ("wrinkle", "reduces", "wrinkle depth", False, True),
+        ("pore", "reduces", " Pore visibility", False, True),
+        ("tone", "improves", "uneven skin tone", True, True),  # holds the pattern 'ven'
+        ("eight", "reduces", "redness of the skin on both cheeks daily", False, True),
+        ("nine", "reduces", "redness of the skin on both cheeks every day", True, True),
+        ("cells", "stimulates", "skin cell migration", True, False),
+        ("causes", "causes", "facial redness", False, True),
+        ("not", "does_not_cause", "sebum output", False, False),
+        ("more", "Increases ", "skin tolerance", False, True),
+        ("generic", "reduces", "treatments", True, True),
+        ("none", "reduces", None, True, True),
+    ]
+    spark.createDataFrame([r[:3] for r in rows], "claim_key string, relation string, target string").write.parquet(str(tmp_path / "gold_claim.parquet"))
+    got = {r.claim_key: (r.rejected, r.compatible) for r in E.target_filters(spark, str(tmp_path)).collect()}
+    assert got == {r[0]: r[3:] for r in rows}
