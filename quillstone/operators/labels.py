@@ -167,6 +167,12 @@ ATTRIBUTION_WEIGHT = {"single_active": 1.0, "single_formulation": 0.8, "multi_ac
 CONTEXT_WEIGHT = {"human_topical": 1.0, "human_oral": 0.95, "human_intradermal": 0.9, "in_vitro": 0.4, "animal": 0.65, "review": 0.5, "unknown": 0.75}
 
 
-def mentions(text: Column, synonyms: Mapping[str, Sequence[str]]) -> Column:
-    """Sorted codes whose name or synonym stands in text, as part of a word too."""
-    return F.array_sort(F.array_compact(F.array(*(F.when(L.contains_any(text, words), code) for code, words in synonyms.items()))))
+def mentions(text: Column, synonyms: Mapping[str, Sequence[str]], relation: Column | None = None, only: Mapping[str, Sequence[str]] | None = None) -> Column:
+    """Sorted codes whose name or synonym stands in text, as part of a word too; those in `only` need one of its relations."""
+    said = F.lower(F.trim(relation)) if relation is not None else None
+
+    def hit(code: str, words: Sequence[str]) -> Column:
+        found = L.contains_any(text, words)
+        return found & said.isin(list(only[code])) if only and code in only else found
+
+    return F.array_sort(F.array_compact(F.array(*(F.when(hit(code, words), code) for code, words in synonyms.items())).cast("array<string>")))

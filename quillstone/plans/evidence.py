@@ -263,9 +263,39 @@ _TAX = {"FLAKE": ("flak", "desquamation", "peel"), "SEBUM": ("sebum", "oil", "sh
 
 @query("SELECT DISTINCT claim_key, array_to_string(list_sort(list_filter([" + ", ".join(f"CASE WHEN regexp_matches(lower(concat_ws(' ', target, source_sentence, claim_text)), '{'|'.join(w)}') THEN '{c}' END" for c, w in _TAX.items()) + "], lambda x: x IS NOT NULL)), '|') AS codes FROM gold_claim WHERE claim_key IS NOT NULL")
 def effect_mentions(spark: SparkSession, d: str) -> DataFrame:
-    """Codes whose words stand in target, sentence or claim."""
+    """Codes of active effects whose name or synonym stands in target, sentence or claim, if the relation allows them."""
+    return _mapped(spark, d, "effect", L.EFFECT_SYNONYMS, L.EFFECT_RELATIONS)
+
+
+def _mapped(spark: SparkSession, d: str, kind: str, synonyms: dict, only: dict | None = None) -> DataFrame:
+    """Claims with the codes they mention: those of a taxonomy, a list of some dozen read to the driver, by name and
+    synonyms, and those of the synonyms that it does not list. Codes listed as inactive only are none."""
+    words = {code: list(w) for code, w in synonyms.items()}
+    rows = read_table(spark, d, f"{kind}_taxonomy").where(f"{kind}_code is not null").orderBy(f"{kind}_id").select(f"{kind}_code", f"{kind}_name_en", "is_active").collect()
+    active = {code for code, _, on in rows if on}
+    for code, name, on in rows:
+        if code not in active:
+            words.pop(code, None)
+        elif on and name and name.strip():
+            words.setdefault(code, []).append(name)
     g = read_table(spark, d, "gold_claim").where("claim_key is not null")
-    return g.select("claim_key", F.array_join(B.mentions(F.concat_ws(" ", "target", "source_sentence", "claim_text"), _TAX), "|").alias("codes")).distinct()
+    codes = B.mentions(F.concat_ws(" ", "target", "source_sentence", "claim_text"), words, F.col("relation"), only)
+    return g.select("claim_key", F.array_join(codes, "|").alias("codes")).distinct()
+
+
+def _mapped_sql(kind: str, synonyms: dict, only: dict | None = None) -> str:
+    pairs = ", ".join(f"('{code}', '{w}')" for code, words in synonyms.items() for w in words)
+    allowed = " AND ".join(f"(code <> '{code}' OR relation IN {rel})" for code, rel in (only or {}).items()) or "true"
+    return f"""WITH t AS (SELECT {kind}_code AS code, lower({kind}_name_en) AS word FROM {kind}_taxonomy WHERE is_active AND {kind}_code IS NOT NULL AND trim({kind}_name_en) <> ''
+        UNION SELECT code, word FROM (VALUES {pairs}) s(code, word) WHERE code NOT IN (SELECT {kind}_code FROM {kind}_taxonomy WHERE {kind}_code IS NOT NULL GROUP BY 1 HAVING NOT coalesce(bool_or(is_active), false))),
+    g AS (SELECT DISTINCT claim_key, lower(trim(coalesce(relation, ''))) AS relation, lower(concat_ws(' ', target, source_sentence, claim_text)) AS s FROM gold_claim WHERE claim_key IS NOT NULL)
+    SELECT DISTINCT claim_key, coalesce(array_to_string(list_sort(list(DISTINCT code) FILTER (code IS NOT NULL)), '|'), '') AS codes FROM g LEFT JOIN t ON contains(s, word) AND {allowed} GROUP BY claim_key, relation, s"""
+
+
+@query(_mapped_sql("concern", L.CONCERN_SYNONYMS))
+def concern_mentions(spark: SparkSession, d: str) -> DataFrame:
+    """Codes of active concerns whose name or synonym stands in target, sentence or claim."""
+    return _mapped(spark, d, "concern", L.CONCERN_SYNONYMS)
 
 
 # ---- predicates and labels --------------------------------------------------------------------------------------

@@ -54,3 +54,40 @@ def test_targets_by_the_full_lists(spark, tmp_path):
     spark.createDataFrame([r[:3] for r in rows], "claim_key string, relation string, target string").write.parquet(str(tmp_path / "gold_claim.parquet"))
     got = {r.claim_key: (r.rejected, r.compatible) for r in E.target_filters(spark, str(tmp_path)).collect()}
     assert got == {r[0]: r[3:] for r in rows}
+
+
+def _mapping_tables(spark, folder):
+    for kind, rows in {
+        "effect": [(1, "SOOTHING", "Soothing", True), (2, "SEBUM_REGULATION", "Sebum regulation", True), (3, "FLAKE_CALMING", "Flake calming", True), (4, "ANTI_AGING", "Anti-aging", False), (5, "BARRIER_REPAIR", "Barrier repair", True)],
+        "concern": [(1, "OILY_SKIN", "Oily skin", True), (2, "REDNESS", "Redness", True), (3, "PORE_MARKS", "Pore marks", True), (4, "ACNE", "Acne", False)],
+    }.items():
+        spark.createDataFrame(rows, f"{kind}_id int, {kind}_code string, {kind}_name_en string, is_active boolean").write.parquet(f"{folder}/{kind}_taxonomy.parquet")
+    claims = [
+        ("pores", "reduces", "pore visibility", None, ""),
+        ("guard", "increases", "facial redness", "The barrier held.", None),
+        ("both", "reduces", "facial redness", "The barrier held, less oiliness.", None),
+        ("name", "supports", "x", "FLAKE CALMING was seen on pore marks.", None),
+        ("off", "reduces", "wrinkle", None, "acne"),
+        ("null", None, "redness", None, None),
+        ("unlisted", "reduces", "comedone and xerosis", None, None),
+    ]
+    spark.createDataFrame(claims, "claim_key string, relation string, target string, source_sentence string, claim_text string").write.parquet(f"{folder}/gold_claim.parquet")
+
+
+def test_mapping_by_taxonomy(spark, tmp_path):
+    _mapping_tables(spark, tmp_path)
+    codes = lambda f: {r.claim_key: r.codes for r in f(spark, str(tmp_path)).collect()}
+    assert codes(E.effect_mentions) == {"pores": "SEBUM_REGULATION", "guard": "", "both": "BARRIER_REPAIR|SEBUM_REGULATION|SOOTHING", "name": "FLAKE_CALMING|SEBUM_REGULATION", "off": "", "null": "", "unlisted": "COMEDOLYTIC"}
+    assert codes(E.concern_mentions) == {"pores": "", "guard": "BARRIER_DAMAGE|REDNESS", "both": "BARRIER_DAMAGE|OILY_SKIN|REDNESS", "name": "PORE_MARKS", "off": "AGING_SIGNS", "null": "REDNESS", "unlisted": "COMEDONES|DRY_SKIN"}
+
+
+def test_mapping_as_sql(spark, data, tmp_path):
+    import duckdb
+
+    _mapping_tables(spark, tmp_path)
+    for folder in (data, tmp_path):
+        db = duckdb.connect()
+        for t in ("gold_claim", "effect_taxonomy", "concern_taxonomy"):
+            db.sql(f"create view {t} as select * from '{folder}/{t}.parquet{'/*.parquet' if folder == tmp_path else ''}'")
+        for f, sql in ((E.effect_mentions, E._mapped_sql("effect", E.L.EFFECT_SYNONYMS, E.L.EFFECT_RELATIONS)), (E.concern_mentions, E.SQL["concern_mentions"])):
+            assert sorted(map(tuple, f(spark, str(folder)).collect())) == sorted(db.sql(sql).fetchall())
