@@ -15,7 +15,7 @@ from quillstone.operators import labels as B
 from quillstone.operators import quality as Q
 from quillstone.operators import upsert as U
 from quillstone.operators.extract import claims_of, extract_cached
-from quillstone.operators.packed import listed
+from quillstone.operators.packed import listed, unpack
 from quillstone.runtime import broadcast_if_small, read_table
 from quillstone.sources import readers as R
 
@@ -225,6 +225,18 @@ def _dictionary(spark: SparkSession, d: str, kind: str) -> dict[str, str]:
     return L.alias_table([(r[0], r[0]) for r in rows])
 
 
+def _ingredients(spark: SparkSession, d: str) -> tuple[dict[str, str], dict[str, str]]:
+    """Listed ingredient names, and those with every name and alias of the active targets: an alias stands for the
+    query name of its target, of the last target if several have it, and never for another listed name."""
+    names = _dictionary(spark, d, "ingredient")
+    t = R.targets(read_table(spark, d, "issue26_sebum_targets")).where("trim(query_name) <> ''").select("ingredient_code", "query_name", "canonical_name", "alias_list").distinct()
+    own = t.select("ingredient_code", "query_name", F.lit(0).alias("pos"), F.explode(F.array("canonical_name", "query_name")).alias("alias"))
+    other = unpack(t.select("ingredient_code", "query_name", "alias_list"), field="alias_list", out="alias").select("ingredient_code", "query_name", "pos", "alias")
+    rows = own.unionByName(other).withColumn("alias", F.lower(F.trim("alias"))).where("alias <> ''").groupBy("alias").agg(F.max_by(F.trim("query_name"), F.struct("ingredient_code", "pos", "query_name")).alias("name"))
+    pairs = sorted((r.alias, names.get(r.name.lower(), r.name)) for r in rows.collect())
+    return names, L.alias_table(pairs, names)
+
+
 def _claim_sentences(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "gold_claim").where("claim_key is not null and source_sentence is not null").select("claim_key", "source_sentence", "ingredient_name", "target", "relation", "claim_type", "pmid", "chunk_index").distinct()
 
@@ -243,7 +255,7 @@ def target_mentions(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def ingredient_subjects(spark: SparkSession, d: str) -> DataFrame:
     """The ingredient each sentence is about; else the only one of its chunk."""
-    table = _dictionary(spark, d, "ingredient")
+    _, table = _ingredients(spark, d)
     s = _claim_sentences(spark, d).withColumn("own", L.subject(F.col("source_sentence"), table, L.PREFIX_PATTERNS))
     chunk = s.groupBy("pmid", "chunk_index").agg(F.array_compact(F.collect_set("own")).alias("names"))
     both = s.join(chunk, ["pmid", "chunk_index"], "left")
@@ -253,8 +265,8 @@ def ingredient_subjects(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def detection_units(spark: SparkSession, d: str) -> DataFrame:
     """What each sentence names, and how an effect in it is attributed."""
-    table = _dictionary(spark, d, "ingredient")
-    s = _claim_sentences(spark, d).withColumn("units", L.detected_units(F.col("source_sentence"), table, (), L.VERB_HINTS))
+    names, table = _ingredients(spark, d)
+    s = _claim_sentences(spark, d).withColumn("units", L.detected_units(F.col("source_sentence"), table, L.DETECTION_TAGS, L.VERB_HINTS, names))
     return s.select("claim_key", F.array_join("units", "|").alias("units"), F.size("units").alias("n_units"), B.attribution(F.col("source_sentence"), F.col("ingredient_name"), F.col("units")).alias("attribution"), B.list_guard(F.col("source_sentence")).alias("lists"), B.detection_suspect(F.col("source_sentence"), F.col("units")).alias("suspect"))
 
 

@@ -91,3 +91,27 @@ def test_mapping_as_sql(spark, data, tmp_path):
             db.sql(f"create view {t} as select * from '{folder}/{t}.parquet{'/*.parquet' if folder == tmp_path else ''}'")
         for f, sql in ((E.effect_mentions, E._mapped_sql("effect", E.L.EFFECT_SYNONYMS, E.L.EFFECT_RELATIONS)), (E.concern_mentions, E.SQL["concern_mentions"])):
             assert sorted(map(tuple, f(spark, str(folder)).collect())) == sorted(db.sql(sql).fetchall())
+
+
+def test_aliases_and_tags(spark, tmp_path):
+    spark.createDataFrame([(1, "ingredient", "Solsudin"), (2, "ingredient", "Zinc Drotaentate"), (3, "target", "sebum output")], "term_id int, kind string, canonical_name string").write.parquet(str(tmp_path / "canonical_terms.parquet"))
+    targets = [(1, "Solsudin grade 1", "Solsudin", 'Hollow®|"birch tar, raw"|Zinc Drotaentate', "TRUE "), (2, "Zinc Drotaentate grade 2", "Zinc Drotaentate", "ZD salts;Dusky", "true"), (3, "Merpaelin grade 3", "Merpaelin", "merpa", "false")]
+    spark.createDataFrame(targets, "ingredient_code int, canonical_name string, query_name string, alias_list string, is_target string").write.parquet(str(tmp_path / "issue26_sebum_targets.parquet"))
+    text = {"listed": "Zinc Drotaentate helped.", "alias": "The skin calmed with ZD salts.", "sign": "We used Hollow® daily.", "comma": "Birch tar, raw was used.", "off": "A merpa cream.", "inside": "A duskyish cream.", "tag": "Glycolic  acid and dusky oil."}
+    claims = [(k, v, None, "t", "improves", "efficacy", k, 0) for k, v in text.items()]
+    spark.createDataFrame(claims, "claim_key string, source_sentence string, ingredient_name string, target string, relation string, claim_type string, pmid string, chunk_index int").write.parquet(str(tmp_path / "gold_claim.parquet"))
+    subjects = {r.claim_key: r.ingredient for r in E.ingredient_subjects(spark, str(tmp_path)).collect()}
+    assert subjects == {"listed": "Zinc Drotaentate", "alias": "Zinc Drotaentate", "sign": "Solsudin", "comma": "Solsudin", "off": None, "inside": None, "tag": "Zinc Drotaentate"}
+    units = {r.claim_key: r.units for r in E.detection_units(spark, str(tmp_path)).collect()}
+    assert units["sign"] == "Solsudin" and units["off"] == "" and units["tag"] == "Zinc Drotaentate|[glycolic]"
+
+
+def test_automaton_as_alternation():
+    import re
+
+    from quillstone.functions import lexicon as L
+
+    words = ["a", "ab", "abc", "b", "abd x", "a.c", "zinc (np)", "β-zinc", "zinc"]
+    text = "abc ab abd x a.c axc zinc (np) β-zinc zinc zincs b a abd"
+    found = lambda p: re.findall(rf"(?<!\w)({p})(?!\w)", text)
+    assert found(L.automaton(words)) == found(L.alternation(words))
