@@ -207,7 +207,7 @@ def target_phrases(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT ingredient_code, TRY_CAST(CASE WHEN regexp_matches(trim(query_name, ' '), '^[+-]?\\d+$') THEN trim(query_name, ' ') END AS INTEGER) AS as_int, CAST(trunc(TRY_CAST(trim(substr(canonical_name, 1, 1), ' ') AS DOUBLE)) AS INTEGER) AS as_float_int FROM issue26_sebum_targets""")
 def number_cells(spark: SparkSession, d: str) -> DataFrame:
     t = read_table(spark, d, "issue26_sebum_targets")
-    return t.select("ingredient_code", T.safe_int(F.col("query_name")).alias("as_int"), T.float_int(F.substring("canonical_name", 1, 1)).alias("as_float_int"))
+    return t.select("ingredient_code", T.safe_int(F.col("query_name")).alias("as_int"), T.float_int(F.col("canonical_name")).alias("as_float_int"))
 
 
 @query("SELECT lower(trim(claim_key)) AS claim_key, string_agg(DISTINCT CAST(effect_id AS VARCHAR), '|') IS NOT NULL AS has_ids, array_to_string(list_sort(list_distinct(list(effect_id) FILTER (effect_id IS NOT NULL))), '|') AS effect_ids FROM gold_claim_effect_map WHERE claim_key IS NOT NULL AND effect_id IS NOT NULL GROUP BY 1")

@@ -115,3 +115,10 @@ def test_automaton_as_alternation():
     text = "abc ab abd x a.c axc zinc (np) β-zinc zinc zincs b a abd"
     found = lambda p: re.findall(rf"(?<!\w)({p})(?!\w)", text)
     assert found(L.automaton(words)) == found(L.alternation(words))
+
+
+def test_numbers_of_whole_cells(spark, tmp_path):
+    rows = [(1, "7", "-12.7"), (2, "x", " 1e3 "), (3, None, "123456"), (4, "+5", "1,3-Kemplaemdiol grade 2"), (5, "", None)]
+    spark.createDataFrame(rows, "ingredient_code int, query_name string, canonical_name string").write.parquet(str(tmp_path / "issue26_sebum_targets.parquet"))
+    got = {r.ingredient_code: (r.as_int, r.as_float_int) for r in E.number_cells(spark, str(tmp_path)).collect()}
+    assert got == {1: (7, -12), 2: (None, 1000), 3: (None, 123456), 4: (5, None), 5: (None, None)}
