@@ -9,32 +9,37 @@ look-alike and doubled letters cost little and digits much, then by how often th
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.runtime import ship
+from quillstone.runtime import broadcast_if_small, cut, ship
 
 from quillstone.llm.lookalike import tables
 
-# Words that typists put around a name; a parameter for other domains.
-DECORATION = tuple("the of topical purified serum cream cosmetic grade inci ww w facial mean overall self rated selfrated reduced change tzone zone t at week day in".split())
+# Words that typists put around a name whatever the list; the others are learned from the data.
+DECORATION = ("the", "of", "topical", "purified", "serum", "cream", "w")
+#: A word that stands beside so many different names, unchanged, tells none of them apart: it is decoration.
+LEAST_NAMES = 4
+#: Such a word must be in at least this share of the values that hold a name and something else, which bounds the
+#: number of learned words by the mean number of words beside a name over this share.
+LEAST_SHARE = 0.0005
 #: Names per broadcast dictionary (some 250 entries each); a longer list is looked up part by part.
-SHARD_TERMS = 20_000
+SHARD_TERMS = 5_000
 #: What look-alike letters and digits may add to the weighted distance of two edits.
 SLACK = 0.65
-#: The least that two edits cost.
-TWO_EDITS = 1.2
+#: The least that two edits cost: both exchanges of look-alike letters, or one of them something else.
+TWO_ALIKE, TWO_EDITS = 1.0, 1.1
 
 _SHARE = regex.compile(r"[(\[]?\d+(?:[.,]\d+)?[\s_\-/.]*[%％][)\]]?")
-_WHEN = regex.compile(r"(?:\bat[\W_]+)?\b(?:week|day)[\W_]+\d+s?\b|\bat[\W_]+wee\w?[\W_]*\d*\b")
-_WEIGHT = regex.compile(r"\(\s*w\s*/\s*w\s*\)|\[\s*inci\s*\]|\(\s*t[\W_]*zone\s*\)|\(\s*change\s*\)")
+_NUMBERED = regex.compile(r"(\D+)\d+s?\Z")
 _TOKENS = regex.compile(r"[^\W_]+")
+_CUT_OFF = regex.compile(r"(?:\.\.|…|[^\W_]\.)\W*$")
 _ALIKE = {frozenset(p) for p in ("1l", "1i", "li", "0o", "5s", "uv", "vw", "cs", "ck", "iy", "mn", "bd")}
 
 
@@ -106,6 +111,8 @@ def distance(a: str, b: str, bound: float = 99.0) -> float:
 
 
 _SHAPE = str.maketrans("l10", "iio")
+#: Letters joined by a chain of look-alike pairs are one here.
+_ALIKE_SHAPE = str.maketrans({"l": "i", "1": "i", "y": "i", "0": "o", "5": "s", "c": "s", "k": "s", "v": "u", "w": "u", "n": "m", "d": "b"})
 
 
 def shape(text: str) -> str:
@@ -127,6 +134,21 @@ def _reach(length: int) -> int:
     return 0 if length < 4 else 1 if length < 7 else 2
 
 
+def units(tokens: list[str]) -> Iterator[str]:
+    """The words among tokens beside a name; a number counts as '#' with the word before it."""
+    before = ""
+    for t in tokens:
+        m = _NUMBERED.match(t)
+        if m:
+            yield m[1] + "#"
+        elif t.isdigit():
+            if before:
+                yield before + "#"
+        else:
+            yield t
+        before = t
+
+
 @dataclass
 class Lexicon:
     """The symmetric-delete dictionary of one kind of names."""
@@ -138,21 +160,32 @@ class Lexicon:
     near: dict[str, list[str]] = field(default_factory=dict)
     begun: dict[str, list[str]] = field(default_factory=dict)
     begins: dict[str, list[int]] = field(default_factory=dict)
+    alike: dict[str, list[str]] = field(default_factory=dict)
     common: dict[str, str] = field(default_factory=dict)
 
-    def build(self) -> Lexicon:
-        words: dict[str, int] = {}
-        near: dict[str, set[str]] = {}
-        begun: dict[str, set[str]] = {}
+    def index(self, every_word: Iterable[str] | None = None) -> Lexicon:
+        """The names by their letters run together. `every_word`: the words of the whole list, where this is a part."""
+        self.exact = {}
+        words: set[str] = set()
         for term, name in self.names.items():
             tokens = _TOKENS.findall(fold(name))
-            flat = "".join(tokens)
-            self.exact.setdefault(flat, []).append(term)
-            for w in set(tokens):
-                words[w] = words.get(w, 0) + 1
+            words.update(tokens)
+            self.exact.setdefault("".join(tokens), []).append(term)
+        self._words = words if every_word is None else set(every_word)
+        self._longest = max((len(f) for f in self.exact), default=0)
+        self._judged: dict[str, bool] = {}
+        return self
+
+    def build(self, every_word: Iterable[str] | None = None) -> Lexicon:
+        """The dictionary; building again gives the same."""
+        self.index(every_word)
+        near: dict[str, set[str]] = {}
+        begun: dict[str, set[str]] = {}
+        self.begins, self.alike = {}, {}
+        for flat, terms in self.exact.items():
+            self.alike.setdefault(flat.translate(_ALIKE_SHAPE), []).append(flat)
             for end in range(4, len(flat)):
-                self.begins.setdefault(flat[:end], []).append(term)
-        for flat in self.exact:
+                self.begins.setdefault(flat[:end], []).extend(terms)
             for d in deletes(shape(flat), _reach(len(flat))):
                 near.setdefault(d, set()).add(flat)
         for start in self.begins:
@@ -161,47 +194,79 @@ class Lexicon:
                     begun.setdefault(d, set()).add(start)
         self.near = {k: sorted(v) for k, v in near.items()}
         self.begun = {k: sorted(v) for k, v in begun.items()}
-        # a shortened word stands for the one common word of the list that begins so, or has its consonants
-        common = [w for w, n in words.items() if len(w) > 3 and not w.isdigit() and (n > 1 or len(self.names) < 100)]
+        # a shortened word stands for the one word of the list that begins so, or has its consonants
         short: dict[str, set[str]] = {}
-        for w in common:
-            for end in range(2, len(w)):
-                short.setdefault(w[:end], set()).add(w)
-            bare = w[0] + regex.sub("[aeiou]", "", w[1:])
-            short.setdefault(bare[0] + bare[2:] if len(bare) > 3 else bare, set()).add(w)
-        self.common = {k: next(iter(v)) for k, v in short.items() if len(v) == 1 and k not in words}
-        self._rare = set(words)
-        self._longest = max((len(f) for f in self.exact), default=0)
+        for w in self._words:
+            if len(w) > 3 and not w.isdigit():
+                for end in range(2, len(w)):
+                    short.setdefault(w[:end], set()).add(w)
+                bare = w[0] + regex.sub("[aeiou]", "", w[1:])
+                short.setdefault(bare[0] + bare[2:] if len(bare) > 3 else bare, set()).add(w)
+        self.common = {k: next(iter(v)) for k, v in short.items() if len(v) == 1 and k not in self._words}
         return self
 
+    def beside(self, typed: str) -> tuple[int, set[str]] | None:
+        """(term, units) if a value holds a whole name and something else: the longest name, and what stands beside it."""
+        tokens = _TOKENS.findall(_SHARE.sub(" ", fold(typed)))
+        best: tuple[int, int, int] | None = None
+        for i in range(len(tokens)):
+            flat = ""
+            for j in range(i, len(tokens)):
+                flat += tokens[j]
+                if len(flat) > self._longest:
+                    break
+                if flat in self.exact and (best is None or len(flat) > best[0]):
+                    best = (len(flat), i, j + 1)
+        if best is None or best[2] - best[1] == len(tokens):
+            return None
+        _, i, j = best
+        rest = {*units(tokens[:i]), *units(tokens[j:])} - self._words
+        return self.exact["".join(tokens[i:j])][0], rest
+
     def _decorates(self, token: str) -> bool:
-        if token in self.decoration:
-            return True
-        if token in self._rare or len(token) < 5:
-            return False
-        return any(len(w) > 4 and abs(len(w) - len(token)) < 2 and distance(token, w, 1.0) <= 1.0 for w in self.decoration)
+        known = self._judged.get(token)
+        if known is None:
+            known = token in self.decoration
+            if not known and token not in self._words and len(token) > 4:
+                known = any(len(w) > 4 and abs(len(w) - len(token)) < 2 and distance(token, w, 1.0) <= 1.0 for w in self.decoration)
+            if len(self._judged) > 200_000:
+                self._judged.clear()
+            self._judged[token] = known
+        return known
+
+    def _bare(self, tokens: list[str]) -> list[str]:
+        """Tokens that decorate nothing."""
+        counting = {t + "#" for t in tokens if t + "#" in self.decoration}
+        out: list[str] = []
+        for t in tokens:
+            if counting and t.isdigit() or (m := _NUMBERED.match(t)) is not None and m[1] + "#" in self.decoration:
+                continue
+            if not self._decorates(t):
+                out.append(t)
+        if len(out) == 1:  # decoration may run into the name
+            t = out[0]
+            out[0] = next((t[len(w) :] for w in self.decoration if len(w) > 2 and t.startswith(w) and len(t) - len(w) > 5), t)
+        return out
 
     def _forms(self, typed: str) -> Iterator[tuple[str, float, bool]]:
         """Ways to read a typed value: (letters run together, penalty, whether cut off)."""
-        if len(typed) > 4 * self._longest + 400:
-            return  # far longer than any name with its decoration
         text = fold(typed)
-        cut_off = regex.search(r"(?:\.\.|…|[^\W_]\.)\W*$", text) is not None
-        text = _SHARE.sub(" ", _WHEN.sub(" ", _WEIGHT.sub(" ", text)))
-        tokens = _TOKENS.findall(text)
-        if not tokens or len(tokens) > 12:
+        cut_off = _CUT_OFF.search(text) is not None
+        tokens = _TOKENS.findall(_SHARE.sub(" ", text))
+        if not tokens:
             return
-        bare = [t for t in tokens if not self._decorates(t)]
-        if "day" in tokens or "week" in tokens:
-            bare = [t for t in bare if not t.isdigit()]
-        if len(tokens) == 1:
-            bare = [next((tokens[0][len(w) :] for w in self.decoration if len(w) > 2 and tokens[0].startswith(w) and len(tokens[0]) - len(w) > 5), tokens[0])]
+        bare = self._bare(tokens)
+        bases = [(tokens, 0.0), (bare, 0.02)]
+        if cut_off and len(bare) > 1 and any(w.startswith(bare[-1]) for w in self.decoration):
+            bases.append((bare[:-1], 0.04))  # decoration cut off
         seen = set()
-        for base, penalty in ((tokens, 0.0), (bare, 0.02)):
+        for base, penalty in bases:
+            # a reading longer than any name by more than the edits allowed can't be one, however its words are turned
+            if sum(map(len, base)) > self._longest + 4:
+                continue
             for whole in (base, [self.common.get(t, t) for t in base]):
                 for turn in range(len(whole)):
-                    turned = whole[turn:] + whole[:turn]
-                    flat = "".join(turned)
+                    flat = "".join(whole[turn:] + whole[:turn])
                     for form, extra in ((flat, 0.0), (flat[:-1] if flat.endswith("s") else flat, 0.05)):
                         if form and form not in seen:
                             seen.add(form)
@@ -209,7 +274,6 @@ class Lexicon:
 
     def resolve(self, typed: str) -> tuple[int, float]:
         """(term, distance) of the name that `typed` means; (-1, inf) if it means none."""
-        # what is longer than any name by more than the edits allowed can't be one
         forms = [f for f in self._forms(typed) if len(f[0]) <= self._longest + 3]
         best: tuple[float, int, int] | None = None
 
@@ -225,12 +289,18 @@ class Lexicon:
                 offer(penalty, self.exact[form])
         checked: set[tuple[str, str]] = set()
         for most_left_out in (1, 2) if best is None else ():
-            # two edits that no single one explains cost TWO_EDITS at least, so less than that needs no second round
-            if best is not None and best[0] <= TWO_EDITS:
+            if best is not None and best[0] < TWO_EDITS:
+                # nothing but two look-alike exchanges can be as near
+                for form, penalty, _ in forms if best[0] >= TWO_ALIKE else ():
+                    for flat in self.alike.get(form.translate(_ALIKE_SHAPE), ()):
+                        if (form, flat) not in checked and len(form) == len(flat):
+                            offer(distance(form, flat) + penalty, self.exact[flat])
                 break
             for form, penalty, _ in forms:
                 reach = _reach(len(form))
-                for d in deletes(shape(form), min(reach, most_left_out)):
+                if most_left_out > reach:
+                    continue
+                for d in deletes(shape(form), most_left_out):
                     for flat in self.near.get(d, ()):
                         if (form, flat) not in checked:
                             checked.add((form, flat))
@@ -256,70 +326,118 @@ class Lexicon:
         return (-1, float("inf")) if best is None else (best[2], best[0])
 
 
-def _resolver(lexicons: dict, kind: str, value: str, keep: list[str]):
+def _well_spelled(counts: dict[str, int]) -> set[str]:
+    """Words without those that are one edit from a word ten times as frequent."""
+    return {u for u, n in counts.items() if not (len(u) > 4 and any(m >= 10 * n and abs(len(w) - len(u)) < 2 and distance(u, w, 1.0) <= 1.0 for w, m in counts.items()))}
+
+
+def _beside(lexicons, kind: str, value: str):
+    """Words beside whole names: kind, term_id, unit, each once per batch and name."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ready = {k: v.build() for k, v in lexicons.value.items()}
+        ready = lexicons.value
+        for pdf in batches:
+            rows = []
+            for k, v in zip(pdf[kind], pdf[value], strict=True):
+                got = ready[k].beside(v) if k in ready else None
+                if got is not None:
+                    rows.append((k, got[0], ""))
+                    rows += ((k, got[0], u) for u in got[1])
+            if rows:
+                yield pd.DataFrame(rows, columns=["kind", "term_id", "unit"]).groupby(["kind", "term_id", "unit"], as_index=False).size().rename(columns={"size": "n"})
+
+    return run
 
-        @lru_cache(maxsize=100_000)
-        def look(kind_: str, typed: str) -> tuple[int, float]:
-            return ready[kind_].resolve(typed) if kind_ in ready else (-1, float("inf"))
 
+def _resolver(lexicons, kind: str, value: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ready = lexicons.value
         for pdf in batches:
-            found = [look(k, v) for k, v in zip(pdf[kind], pdf[value], strict=True)]
-            yield pdf[keep].assign(term_id=[t for t, _ in found], cost=[c for _, c in found])
+            found = [ready[k].resolve(v) if k in ready else (-1, float("inf")) for k, v in zip(pdf[kind], pdf[value], strict=True)]
+            used = [ready[k].frequency.get(t, 0) if t >= 0 and k in ready else 0 for k, (t, _) in zip(pdf[kind], found, strict=True)]
+            yield pdf[[kind, value]].assign(_term=[t for t, _ in found], _cost=[c for _, c in found], _used=used)
 
     return run
 
 
-def map_to_list(rows: DataFrame, terms: DataFrame, *, kind: str, value: str, decoration: tuple[str, ...] = DECORATION, shard_terms: int = SHARD_TERMS) -> DataFrame:
+def _shards(counted: DataFrame, size: int) -> Iterator[dict[str, Lexicon]]:
+    """The list in parts of `size` names, read part by part."""
+    shard: dict[str, Lexicon] = {}
+    held = 0
+    for row in counted.toLocalIterator():
+        lexicon = shard.setdefault(row["kind"], Lexicon({}, {}))
+        lexicon.names[row["term_id"]] = row["canonical_name"]
+        lexicon.frequency[row["term_id"]] = row["n"]
+        held += 1
+        if held >= size:
+            yield shard
+            shard, held = {}, 0
+    if held:
+        yield shard
+
+
+def map_to_list(rows: DataFrame, terms: DataFrame, *, kind: str, value: str, decoration: tuple[str, ...] = DECORATION, shard_terms: int = SHARD_TERMS, least_names: int = LEAST_NAMES) -> DataFrame:
     """`rows` whose `value` is neither null nor blank nor exactly a name of its `kind` in `terms` (term_id, kind,
     canonical_name), with term_id: the entry meant, or -1 if the value names none.
 
+    Each distinct value is resolved once, whatever its length and number of words, and joined back. Words that stand
+    beside at least `least_names` different whole names of a kind count as decoration, besides those of `decoration`.
     Between equal distances the name used exactly more often in `rows` wins, then the lower term_id. A null kind and
     null or blank values give no row; an empty list gives -1 throughout. Repeated rows stay. Columns of
     `rows` called term_id or cost, or beginning with an underscore, go.
     """
     rows = rows.select(*(c for c in rows.columns if c.lower() not in ("term_id", "cost") and not c.startswith("_")))
     ship(rows.sparkSession)
-    spark = rows.sparkSession
+    sc = rows.sparkSession.sparkContext
     listed = terms.where(F.col("canonical_name").isNotNull() & F.col("term_id").isNotNull()).groupBy("kind", "canonical_name").agg(F.min("term_id").alias("term_id"))
     typed = rows.where(F.col(kind).isNotNull() & F.col(value).isNotNull() & (F.trim(F.regexp_replace(F.col(value), r"(?U)[\s​﻿]+", "")) != ""))
-    n_terms = listed.count()
-    hint = F.broadcast if n_terms <= shard_terms * 10 else (lambda df: df)
-    same = (F.col(f"t.{kind}") == F.col("l.kind")) & (F.col(f"t.{value}") == F.col("l.canonical_name"))
-    used = typed.alias("t").join(hint(listed).alias("l"), same).groupBy("l.term_id").agg(F.count(F.lit(1)).alias("n"))
-    # one row per listed name: bounded by the list, read in parts of it
-    counted = listed.join(used, "term_id", "left").select("kind", "term_id", "canonical_name", F.coalesce("n", F.lit(0)).alias("n")).orderBy("kind", "term_id")
-    free = typed.alias("t").join(hint(listed).alias("l"), same, "left_anti")
-    keep = rows.columns
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields), "term_id int", "cost double"])
+    # every distinct value once, with the name it is exactly, if any: a value that a third of all rows share is one row
+    exact = broadcast_if_small(listed.select(F.col("kind").alias("_kind"), F.col("canonical_name").alias("_name"), F.col("term_id").alias("_exact")))
+    values = typed.groupBy(kind, value).agg(F.count(F.lit(1)).alias("_n")).join(exact, (F.col(kind) == F.col("_kind")) & (F.col(value) == F.col("_name")), "left").select(kind, value, "_n", "_exact")
+    values = cut(values)
+    used = values.where("_exact is not null").groupBy(F.col("_exact").alias("term_id")).agg(F.sum("_n").alias("n"))
+    counted = cut(listed.join(used, "term_id", "left").select("kind", "term_id", "canonical_name", F.coalesce("n", F.lit(0)).alias("n"))).orderBy("kind", "term_id")
+    free = values.where("_exact is null").select(kind, value)
+    n_terms = counted.count()
+    words: dict[str, set[str]] = {}
+    learned: dict[str, set[str]] = {}
+    if n_terms > shard_terms:
+        # shortened words are read over the whole list: its words, kept per kind
+        for shard in _shards(counted, shard_terms):
+            for k, lexicon in shard.items():
+                words.setdefault(k, set()).update(w for name in lexicon.names.values() for w in _TOKENS.findall(fold(name)))
+    schema = f"{_field(rows, kind)}, {_field(rows, value)}, _term int, _cost double, _used long"
+    beside: list[DataFrame] = []
+    for shard in _shards(counted, shard_terms):
+        ready = sc.broadcast({k: lexicon.index(words.get(k)) for k, lexicon in shard.items()})
+        beside.append(free.mapInPandas(_beside(ready, kind, value), "kind string, term_id int, unit string, n long"))
+    if beside:
+        seen = cut(reduce(DataFrame.unionByName, beside).groupBy("kind", "unit", "term_id").agg(F.sum("n").alias("n")).groupBy("kind", "unit").agg(F.count(F.lit(1)).alias("names"), F.sum("n").alias("n")))
+        # at most (mean words beside a name) / LEAST_SHARE of them pass
+        counts: dict[str, dict[str, int]] = {}
+        for r in seen.where((F.col("unit") != "") & (F.col("names") >= least_names)).join(F.broadcast(seen.where("unit = ''").select("kind", F.col("n").alias("_all"))), "kind").where(F.col("n") >= F.col("_all") * LEAST_SHARE).toLocalIterator():
+            counts.setdefault(r["kind"], {})[r["unit"]] = r["n"]
+        learned = {k: _well_spelled(c) for k, c in counts.items()}
     parts: list[DataFrame] = []
-    shard: dict[str, Lexicon] = {}
-    held = 0
+    for shard in _shards(counted, shard_terms):
+        for k, lexicon in shard.items():
+            lexicon.decoration = tuple(sorted({*decoration, *learned.get(k, ())}))
+            lexicon.build(words.get(k))
+        parts.append(free.mapInPandas(_resolver(sc.broadcast(shard), kind, value), schema))
+    if not parts:
+        return typed.withColumn("term_id", F.lit(-1))
+    if len(parts) == 1:
+        found = parts[0].select(kind, value, "_term")
+    else:
+        # the nearest over all parts
+        key = F.struct((F.col("_term") < 0).alias("a"), F.col("_cost").alias("b"), (-F.col("_used")).alias("c"), F.col("_term").alias("d"))
+        found = reduce(DataFrame.unionByName, parts).groupBy(kind, value).agg(F.min(key)["d"].alias("_term"))
+    found = broadcast_if_small(cut(found.select(F.col(kind).alias("_kind"), F.col(value).alias("_value"), "_term")))
+    return typed.join(found, (F.col(kind) == F.col("_kind")) & (F.col(value) == F.col("_value"))).select(*rows.columns, F.col("_term").alias("term_id"))
 
-    def flush() -> None:
-        nonlocal shard, held
-        parts.append(free.mapInPandas(_resolver(spark.sparkContext.broadcast(shard), kind, value, keep), schema))
-        shard, held = {}, 0
 
-    for row in counted.toLocalIterator():
-        lexicon = shard.setdefault(row["kind"], Lexicon({}, {}, decoration))
-        lexicon.names[row["term_id"]] = row["canonical_name"]
-        lexicon.frequency[row["term_id"]] = row["n"]
-        held += 1
-        if held >= shard_terms:
-            flush()
-    if held or not parts:
-        flush()
-    if len(parts) == 1:
-        return parts[0].drop("cost")
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    # the nearest over all parts; rows alike in every column stay as often as they came
-    per_part = every.withColumn("_missing", F.col("term_id") < 0)
-    best = per_part.groupBy(*keep).agg(F.min(F.struct("_missing", "cost", "term_id"))["term_id"].alias("term_id"), (F.count(F.lit(1)) / len(parts)).cast("int").alias("_n"))
-    return best.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_copy", "_n")
+def _field(rows: DataFrame, name: str) -> str:
+    return f"`{name}` {rows.schema[name].dataType.simpleString()}"
 
 
 def misses(mapped: DataFrame, kind: str, value: str) -> DataFrame:

@@ -71,3 +71,48 @@ def test_table(spark):
     clash = spark.createDataFrame([("i", "x", 5, 1.0, 2)], "kind string, v string, TERM_ID int, cost double, _n int")
     assert [tuple(r) for r in map_to_list(clash, terms, kind="kind", value="v").collect()] == [("i", "x", -1)]
     assert map_to_list(df.limit(0), terms, kind="kind", value="v").count() == 0
+
+
+def test_building_again_changes_nothing():
+    a = Lexicon(NAMES, {}).build()
+    before = ({k: list(v) for k, v in a.exact.items()}, {k: list(v) for k, v in a.begins.items()}, dict(a.near), dict(a.begun))
+    a.build()
+    assert before == (a.exact, a.begins, a.near, a.begun)
+
+
+def test_any_number_of_decorating_words(lexicon):
+    assert lexicon.resolve("Zinc Golfirmate " + "topical purified serum cream " * 40)[0] == 6
+    assert lexicon.resolve(" " * 30_000 + "Zinc Golfirmate")[0] == 6
+    assert lexicon.resolve("Zinc Golfirmate " + "unrelated words " * 40)[0] == -1
+
+
+def test_two_look_alike_letters_beat_one_other_edit():
+    lex = Lexicon({1: "mabrum", 2: "nadrim"}, {1: 1, 2: 9}).build()
+    assert distance("mabrim", "mabrum") == 1.0 and distance("mabrim", "nadrim") == 1.0
+    assert lex.resolve("mabrim")[0] == 2  # as near, and used more often
+
+
+def test_decoration_is_learned(spark):
+    terms = spark.createDataFrame([(t, "i", n) for t, n in NAMES.items()], "term_id int, kind string, canonical_name string")
+    rows = [("i", f"{n}, glorb week {k}") for k, n in enumerate(NAMES.values())] + [("i", "glorb Zinc Golfrmate"), ("i", "Golfirmate blib, Zinc"), ("i", "6 glorb acid zebaenic, week")]
+    got = {r.v: r.term_id for r in map_to_list(spark.createDataFrame(rows, "kind string, v string"), terms, kind="kind", value="v").collect()}
+    assert [got[v] for _, v in rows] == [*NAMES, 6, -1, 9]
+
+
+def test_recall_against_every_distance(spark, data):
+    """Of the free values of the test data, all that lie within the edits allowed of a name are mapped to the nearest."""
+    from quillstone.llm.canonical import _reach
+    from quillstone.llm.queries import _typed
+
+    flat: dict[str, dict[str, list[int]]] = {}
+    for t in spark.read.parquet(f"{data}/canonical_terms.parquet").collect():
+        flat.setdefault(t.kind, {}).setdefault("".join(ch for ch in fold(t.canonical_name) if ch.isalnum()), []).append(t.term_id)
+    checked = missed = 0
+    for r in _typed(spark, data).select("kind", "typed", "term_id").distinct().collect():
+        v = "".join(ch for ch in fold(r.typed) if ch.isalnum())
+        near = sorted((distance(v, f), f) for f in flat[r.kind] if abs(len(f) - len(v)) <= 2)
+        near = [(d, f) for d, f in near if d <= min(_reach(len(v)), _reach(len(f)))]
+        if near:
+            checked += 1
+            missed += r.term_id not in {t for d, f in near if d == near[0][0] for t in flat[r.kind][f]}
+    assert checked > 50 and missed <= 0.01 * checked
