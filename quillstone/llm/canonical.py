@@ -236,10 +236,14 @@ class Lexicon:
 
     def _bare(self, tokens: list[str]) -> list[str]:
         """Tokens that decorate nothing."""
-        counting = {t + "#" for t in tokens if t + "#" in self.decoration}
+        # the number of "week 8" stands after the word, or first where the words are turned
+        numbers = set()
+        for i, t in enumerate(tokens):
+            if t + "#" in self.decoration:
+                numbers.add(i + 1 if i + 1 < len(tokens) and tokens[i + 1].isdigit() else 0)
         out: list[str] = []
-        for t in tokens:
-            if counting and t.isdigit() or (m := _NUMBERED.match(t)) is not None and m[1] + "#" in self.decoration:
+        for i, t in enumerate(tokens):
+            if i in numbers and t.isdigit() or (m := _NUMBERED.match(t)) is not None and m[1] + "#" in self.decoration:
                 continue
             if not self._decorates(t):
                 out.append(t)
