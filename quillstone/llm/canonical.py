@@ -31,6 +31,8 @@ LEAST_NAMES = 4
 LEAST_SHARE = 0.0005
 #: Names per broadcast dictionary (some 250 entries each); a longer list is looked up part by part.
 SHARD_TERMS = 5_000
+#: Distinct values that one task resolves.
+VALUES_PER_TASK = 50_000
 #: What look-alike letters and digits may add to the weighted distance of two edits.
 SLACK = 0.65
 #: The least that two edits cost: both exchanges of look-alike letters, or one of them something else.
@@ -401,7 +403,9 @@ def map_to_list(rows: DataFrame, terms: DataFrame, *, kind: str, value: str, dec
     values = cut(values)
     used = values.where("_exact is not null").groupBy(F.col("_exact").alias("term_id")).agg(F.sum("_n").alias("n"))
     counted = cut(listed.join(used, "term_id", "left").select("kind", "term_id", "canonical_name", F.coalesce("n", F.lit(0)).alias("n"))).orderBy("kind", "term_id")
-    free = values.where("_exact is null").select(kind, value)
+    # the work is in the values, not in their bytes: tasks by number
+    n_tasks = max(sc.defaultParallelism, -(-values.count() // VALUES_PER_TASK))
+    free = values.where("_exact is null").select(kind, value).repartition(n_tasks, kind, value)
     n_terms = counted.count()
     words: dict[str, set[str]] = {}
     learned: dict[str, set[str]] = {}

@@ -1,9 +1,11 @@
 """Filling containers of fixed capacity with texts.
 
-Bin completion: the largest text left opens a container, the undominated fillings around it are enumerated depth first,
-and a branch is pruned as soon as its waste exceeds what a solution with one container fewer than the best-fit
-incumbent may waste. Blocks of texts are filled independently; what sits in their poorly filled containers is gathered
-and filled once more, so that room is left over in a handful of containers only.
+Bin completion: the largest text left opens a container and the undominated fillings around it are enumerated, least
+waste and largest texts first, along the sums that the sizes left can make, so that no branch of the enumeration is a
+dead end. A branch of the search is pruned as soon as its waste exceeds what a solution with so many containers may
+waste. The search goes from few to many discrepancies from the first filling and keeps the states it gave up on; the
+last containers are searched without a bound on discrepancies. Best fit is the first incumbent. Blocks of texts are
+filled independently; what sits in containers with room is gathered and filled again until one block is left.
 """
 
 from __future__ import annotations
@@ -20,10 +22,16 @@ from quillstone.runtime import cut
 
 #: Texts filled together; a block's work is bounded by it.
 BLOCK_ITEMS = 4_000
-#: Fillings looked at for one container before the best so far is taken.
-FILLINGS = 4_000
-#: Containers reopened by backtracking before a block keeps its incumbent.
-BACKTRACKS = 200
+#: Undominated fillings tried for one container, and fillings looked at to find them.
+FILLINGS, LOOKED = 64, 4_000
+#: Containers opened in the search for one number of containers before the block keeps its incumbent.
+NODES = 4_000
+#: Containers at the end that are searched whatever the number of discrepancies.
+ENDGAME = 6
+#: Tasks that fill blocks at once; more blocks share them.
+MOST_TASKS = 10_000
+#: Numbers of discrepancies allowed, in order.
+_WAVES = (0, 1, 2, 3, 4, 6, 8, 12, 16)
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -43,149 +51,152 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _fillings(counts: dict[int, int], room: int, most: int) -> list[tuple[int, tuple[int, ...]]]:
-    """Undominated ways to fill `room` from the sizes left: (waste, sizes), least waste first, at most a few."""
-    keys = sorted((s for s in counts if s <= room), reverse=True)
-    least = keys[-1] if keys else 0
-    found: list[tuple[int, tuple[int, ...]]] = []
-    looked = 0
-    best = room + 1
-    stack: list[tuple[int, int, tuple[int, ...]]] = [(0, room, ())]
-    while stack and looked < most:
-        at, left, taken = stack.pop()
-        looked += 1
-        # sizes that still fit, from `at` on
-        if left < least:
-            if left < best or left == best and len(found) < 8:
-                if not _dominated(counts, taken, left):
-                    best = min(best, left)
-                    found.append((left, taken))
-                    if left == 0 and len(found) >= 4:
-                        break
+class _Left:
+    """Sizes to be placed, largest first, and for every suffix of them the sums it can make, as bits."""
+
+    def __init__(self, keys: list[int], counts: dict[int, int], capacity: int):
+        self.keys, self.counts = keys, counts
+        mask = (1 << (capacity + 1)) - 1
+        self.reach = [1] * (len(keys) + 1)
+        bits = 1
+        for k in range(len(keys) - 1, -1, -1):
+            size = keys[k]
+            copies, step = min(counts[size], capacity // size), 1
+            while copies > 0:
+                some = min(step, copies)
+                bits |= (bits << (size * some)) & mask
+                copies -= some
+                step *= 2
+            self.reach[k] = bits
+
+    def sums(self, k: int, left: int) -> Iterator[tuple[int, ...]]:
+        """Ways to make exactly `left` from the sizes from the k-th on, the largest first."""
+        if not left:
+            yield ()
+            return
+        for j in range(bisect.bisect_left(self.keys, -left, lo=k, key=lambda size: -size), len(self.keys)):
+            if not self.reach[j] >> left & 1:
+                return
+            size = self.keys[j]
+            for copies in range(min(self.counts[size], left // size), 0, -1):
+                rest = left - copies * size
+                if self.reach[j + 1] >> rest & 1:
+                    for tail in self.sums(j + 1, rest):
+                        yield (size,) * copies + tail
+
+
+def _fillings(keys: list[int], counts: dict[int, int], capacity: int, budget: int, looked: int = LOOKED) -> Iterator[tuple[int, tuple[int, ...]]]:
+    """(waste, sizes) of the undominated fillings around the largest size that waste at most `budget`, least waste first."""
+    largest = keys[0]
+    rest = dict(counts)
+    rest[largest] -= 1
+    if not rest[largest]:
+        del rest[largest]
+    left = _Left(keys if largest in rest else keys[1:], rest, capacity)
+    room = capacity - largest
+    for waste in range(min(budget, room) + 1):
+        if not left.reach[0] >> (room - waste) & 1:
             continue
-        lo, hi = at, len(keys)
-        while lo < hi:
-            mid = (lo + hi) // 2
-            if keys[mid] > left:
-                lo = mid + 1
-            else:
-                hi = mid
-        if lo == len(keys):
-            if left < best or left == best and len(found) < 8:
-                if not _dominated(counts, taken, left):
-                    best = min(best, left)
-                    found.append((left, taken))
-                    if left == 0 and len(found) >= 4:
-                        break
-            continue
-        # push the branches so that the largest fitting size is tried first
-        branches = []
-        for k in range(lo, min(lo + 6, len(keys))):
-            s = keys[k]
-            if taken.count(s) < counts[s]:
-                branches.append((k, left - s, (*taken, s)))
-        if not branches:
-            branches = [(k + 1, left, taken) for k in (min(lo + 5, len(keys) - 1),)]
-        if left in counts and taken.count(left) < counts[left]:
-            branches.insert(0, (lo, 0, (*taken, left)))
-        stack.extend(reversed(branches))
-    found.sort(key=lambda f: (f[0], len(f[1]), tuple(-s for s in f[1])))
-    return found[:8]
-
-
-def _dominated(counts: dict[int, int], taken: tuple[int, ...], waste: int) -> bool:
-    """Whether a size in the filling could be exchanged for a larger one that is left and fits."""
-    if not waste:
-        return False
-    for s in set(taken):
-        for larger in range(s + 1, s + waste + 1):
-            if counts.get(larger, 0) > taken.count(larger):
-                return True
-    return False
+        for taken in left.sums(0, room - waste):
+            looked -= 1
+            if looked < 0:
+                return
+            if not _dominated(rest, taken, waste):
+                yield waste, (largest, *taken)
 
 
-def complete_bins(sizes: list[int], capacity: int, fillings: int = FILLINGS, backtracks: int = BACKTRACKS) -> list[list[int]]:
-    """Containers as lists of item numbers; no size exceeds `capacity`. At most as many containers as best fit uses."""
+def _dominated(rest: dict[int, int], taken: tuple[int, ...], waste: int) -> bool:
+    """Whether a size that is left would fit too, or could take the place of a smaller one in the filling."""
+    if not waste:
+        return False
+    return any(rest.get(size + more, 0) > taken.count(size + more) for size in {0, *taken} for more in range(1, waste + 1))
+
+
+def _mark(size: int) -> int:
+    """A number for a size such that sums of them tell states apart."""
+    return (size * 0x9E3779B97F4A7C15 ^ (size + 0x7F4A7C15) * 0xC2B2AE3D27D4EB4F) & 0xFFFFFFFFFFFFFFFF
+
+
+def _search(counts: dict[int, int], capacity: int, target: int, fillings: int, nodes: int) -> list[tuple[int, ...]] | None:
+    """A way to place every size in `target` containers, or None if the search finds none."""
+    total = sum(s * c for s, c in counts.items())
+    start = (sorted(counts, reverse=True), dict(counts), sum(_mark(s) * c for s, c in counts.items()))
+    given_up: dict[tuple[int, int], int] = {}
+    for wave in _WAVES:
+        budget, allowed = target * capacity - total, wave
+        chosen: list[tuple[int, ...]] = []
+        # a frame: state, fillings still to come, how many were tried, waste and discrepancies allowed
+        stack = [(start, _fillings(start[0], start[1], capacity, budget), 0, budget, allowed)]
+        nodes -= 1
+        while stack:
+            (keys, left, mark), ways, tried, budget, allowed = stack.pop()
+            del chosen[len(stack) :]
+            n = target - len(stack)
+            way = next(ways, None) if tried < fillings else None
+            cost = tried if n > ENDGAME else 0
+            if way is None or cost > allowed or n < 1:
+                given_up[n, mark] = allowed
+                continue
+            stack.append(((keys, left, mark), ways, tried + 1, budget, allowed))
+            waste, taken = way
+            after = dict(left)
+            gone = set()
+            for s in taken:
+                after[s] -= 1
+                if not after[s]:
+                    del after[s]
+                    gone.add(s)
+            chosen.append(taken)
+            if not after:
+                return chosen
+            rest = (([k for k in keys if k not in gone] if gone else keys), after, mark - sum(map(_mark, taken)))
+            if n == 1 or given_up.get((n - 1, rest[2]), -1) >= allowed - cost:
+                continue
+            nodes -= 1
+            if nodes < 0:
+                return None
+            stack.append((rest, _fillings(rest[0], after, capacity, budget - waste), 0, budget - waste, allowed - cost))
+    return None
+
+
+def complete_bins(sizes: list[int], capacity: int, fillings: int = FILLINGS, nodes: int = NODES) -> list[list[int]]:
+    """Containers as lists of item numbers; no size exceeds `capacity`. At most as many containers as best fit uses.
+
+    Among as many containers those of the search are taken if they leave their room in fewer of them.
+    """
     incumbent = best_fit(sizes, capacity)
-    total = sum(sizes)
-    fewest = -(-total // capacity)
     counts: dict[int, int] = {}
     for s in sizes:
         if s:
             counts[s] = counts.get(s, 0) + 1
-    chosen: list[tuple[int, ...]] = []
-    options: list[list[tuple[int, tuple[int, ...]]]] = []
-    spent = 0
-    steps = 0
-    waste = 0
-
-    def take(filling: tuple[int, ...], by: int) -> None:
-        for s in filling:
-            counts[s] = counts.get(s, 0) + by
-            if not counts[s]:
-                del counts[s]
-
+    if not counts:
+        return incumbent
+    least = max(-(-sum(sizes) // capacity), sum(c for s, c in counts.items() if 2 * s > capacity))
+    used = sum(1 for b in incumbent if any(sizes[i] for i in b))
     best: list[tuple[int, ...]] | None = None
-    best_square = sum((sum(sizes[i] for i in b)) ** 2 for b in incumbent)
-    allowed = (len(incumbent) - 1) * capacity - total
-    while True:
-        if not counts:
-            square = sum(sum(f) ** 2 for f in chosen)
-            if best is None and (len(chosen) < len(incumbent) or len(chosen) == len(incumbent) and square > best_square):
-                best, best_square = list(chosen), square
-            elif best is not None and len(chosen) < len(best):
-                best = list(chosen)
-            if len(chosen) <= fewest or steps >= backtracks:
-                break
-            allowed = ((len(best) if best is not None else len(incumbent)) - 1) * capacity - total
-        elif waste <= max(allowed, 0) or steps == 0:
-            largest = max(counts)
-            take((largest,), -1)
-            fills = _fillings(counts, capacity - largest, fillings)
-            take((largest,), 1)
-            options.append([(w, (largest, *f)) for w, f in fills] or [(capacity - largest, (largest,))])
-            w, f = options[-1].pop(0)
-            take(f, -1)
-            chosen.append(f)
-            waste += w if counts else 0
-            spent += 1
-            continue
-        # the waste bound or a finished solution: reopen the last container that has another filling
-        steps += 1
-        while options and not options[-1]:
-            options.pop()
-            f = chosen.pop()
-            take(f, 1)
-        if not options or steps >= backtracks:
+    for target in range(least, used + 1):
+        best = _search(counts, capacity, target, fillings, nodes)
+        if best is not None:
             break
-        take(chosen.pop(), 1)
-        w, f = options[-1].pop(0)
-        take(f, -1)
-        chosen.append(f)
-        waste = sum(capacity - sum(x) for x in chosen)
-    if best is None:
+    if best is None or len(best) == used and sum(sum(f) ** 2 for f in best) <= sum(sum(sizes[i] for i in b) ** 2 for b in incumbent):
         return incumbent
     by_size: dict[int, list[int]] = {}
     for i in range(len(sizes) - 1, -1, -1):
         by_size.setdefault(sizes[i], []).append(i)
     bins = [[by_size[s].pop() for s in f] for f in best]
-    for i in by_size.get(0, []):  # empty texts need no room
-        if bins:
-            bins[0].append(i)
-        else:
-            bins.append([i])
+    bins[0] += by_size.get(0, [])  # empty texts need no room
     return bins
 
 
 _PLACED = "doc_id long, piece_no int, n_tokens int, container_id string, room_left int"
 
 
-def _fill(capacity: int, prefix: str, fillings: int):
+def _fill(capacity: int, prefix: str, fillings: int, nodes: int):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "piece_no"], ignore_index=True)
         sizes = pdf["n_tokens"].tolist()
         where, room = [0] * len(sizes), [0] * len(sizes)
-        for b, members in enumerate(complete_bins(sizes, capacity, fillings)):
+        for b, members in enumerate(complete_bins(sizes, capacity, fillings, nodes)):
             left = capacity - sum(sizes[i] for i in members)
             for i in members:
                 where[i], room[i] = b, left
@@ -194,7 +205,7 @@ def _fill(capacity: int, prefix: str, fillings: int):
     return run
 
 
-def pack(docs: DataFrame, capacity: int, *, doc_id: str = "doc_id", text: str = "text", block_items: int = BLOCK_ITEMS, fillings: int = FILLINGS, folder: str = TOKENIZERS, ranks: str = RANKS) -> DataFrame:
+def pack(docs: DataFrame, capacity: int, *, doc_id: str = "doc_id", text: str = "text", block_items: int = BLOCK_ITEMS, fillings: int = FILLINGS, nodes: int = NODES, folder: str = TOKENIZERS, ranks: str = RANKS) -> DataFrame:
     """doc_id, piece_no, start_token, n_tokens, container_id and room_left of every text, sized in tokens.
 
     A text within `capacity` is one piece, numbered 1. A longer one is split into pieces that fill a container each
@@ -215,20 +226,25 @@ def pack(docs: DataFrame, capacity: int, *, doc_id: str = "doc_id", text: str =
     items = parts.where("_rest > 0 or n_tokens = 0").select("doc_id", (F.col("_full") + 1).cast("int").alias("piece_no"), F.col("_rest").alias("n_tokens"))
     n_items = sized.count()
     blocks = max(1, -(-n_items // block_items))
-    placed = cut(items.groupBy(spread("doc_id", blocks).alias("_block")).applyInPandas(_fill(capacity, "a", fillings), _PLACED))
-    level = 0
+
+    def fill(rows: DataFrame, level: int) -> DataFrame:
+        # blocks by number, so that no task gets several because their bytes are few
+        blocked = rows.withColumn("_block", spread("doc_id", blocks)).repartition(min(blocks, MOST_TASKS), "_block")
+        return cut(blocked.groupBy("_block").applyInPandas(_fill(capacity, f"b{level}", fillings, nodes), _PLACED))
+
+    placed = fill(items, 0)
     done: list[DataFrame] = []
-    while blocks > 1 and level < 4:
-        # what a block could not place tightly: the items of its last, poorly filled containers
-        loose = placed.where(F.col("room_left") > max(1, capacity // 64))
+    level = 0
+    while blocks > 1:
+        # what a block could not place without room left
+        loose = placed.where("room_left > 0")
         n_loose = loose.count()
         if not n_loose:
             break
         level += 1
-        fewer = max(1, min(blocks // 2, -(-n_loose // block_items)))
-        done.append(placed.where(F.col("room_left") <= max(1, capacity // 64)))
-        placed = cut(loose.groupBy(spread("doc_id", fewer).alias("_block")).applyInPandas(_fill(capacity, "bcde"[level - 1], fillings), _PLACED))
-        blocks = fewer
+        blocks = max(1, min(blocks // 2, -(-n_loose // block_items)))
+        done.append(placed.where("room_left = 0"))
+        placed = fill(loose, level)
     out = placed
     for df in done:
         out = out.unionByName(df)

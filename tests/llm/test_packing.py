@@ -72,3 +72,25 @@ def test_texts(spark, tokens_dir):
     assert pack(df.limit(0), cap, folder=tokens_dir).count() == 0
     with pytest.raises(ValueError):
         pack(df, 0)
+
+
+def planted(rng, containers, capacity, low, high):
+    sizes = []
+    for _ in range(containers):
+        cuts = sorted(rng.sample(range(1, capacity), rng.randint(low, high) - 1))
+        sizes += [b - a for a, b in zip([0, *cuts], [*cuts, capacity], strict=True)]
+    rng.shuffle(sizes)
+    return sizes
+
+
+@pytest.mark.parametrize(("capacity", "low", "high"), [(1000, 2, 4), (1000, 3, 5), (512, 2, 6), (2048, 3, 6)])
+def test_planted_perfect_packings_are_found(capacity, low, high):
+    """Best fit finds hardly any of them."""
+    found = greedy = 0
+    for seed in range(60):
+        sizes = planted(random.Random(seed), 30, capacity, low, high)
+        bins = complete_bins(sizes, capacity)
+        assert sorted(itertools.chain(*bins)) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= capacity for b in bins)
+        found += len(bins) == 30
+        greedy += len(best_fit(sizes, capacity)) == 30
+    assert found >= 50 and greedy <= 5
