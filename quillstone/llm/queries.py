@@ -11,7 +11,7 @@ from quillstone.llm.canonical import map_to_list, misses
 from quillstone.llm.lookalike import canonical_sql, canonical_text, lookalike_pairs
 from quillstone.llm.mixing import mix, share_report
 from quillstone.llm.packing import pack
-from quillstone.llm.sentences import sentences
+from quillstone.llm.sentences import sentence_offsets, sentences
 from quillstone.llm.splitting import split_oversized
 from quillstone.runtime import cut, read_table
 
@@ -54,14 +54,18 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return p3_pieces(spark, d).where("piece_no > 1").select("field_name", "pmid", "chunk_index").distinct()
 
 
-def p4_sentences(spark: SparkSession, d: str) -> DataFrame:
+def _sentence_fields(spark: SparkSession, d: str) -> DataFrame:
     chunks = read_table(spark, d, "silver_chunk").where("pmid is not null and chunk_index is not null").select(F.concat("pmid", F.lit("#"), F.col("chunk_index").cast("string")).alias("record_key"), F.col("chunk_text").alias("value"), F.lit("chunk_text").alias("field_name"))
     claims = read_table(spark, d, "gold_claim").where("claim_key is not null").select(F.col("claim_key").alias("record_key"), F.col("source_sentence").alias("value"), F.lit("source_sentence").alias("field_name"))
-    return sentences(chunks.unionByName(claims), "value", ["field_name", "record_key"])
+    return chunks.unionByName(claims)
+
+
+def p4_sentences(spark: SparkSession, d: str) -> DataFrame:
+    return sentences(_sentence_fields(spark, d), "value", ["field_name", "record_key"])
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return p4_sentences(spark, d).drop("sentence").distinct()
+    return sentence_offsets(_sentence_fields(spark, d), "value", ["field_name", "record_key"]).distinct()
 
 
 def p6_containers(spark: SparkSession, d: str) -> DataFrame:

@@ -43,6 +43,7 @@ _STARTERS = frozenset("the a an in it we this these that those after at on for b
 
 _PAIRS = {"(": ")", "[": "]", "（": "）", "［": "］", "【": "】", "“": "”", "„": "“”", "«": "»", "‹": "›", "「": "」", "『": "』", "《": "》", "〈": "〉", "‘": "’", "‚": "‘", '"': '"', "＂": "＂"}
 _CLOSERS = {c for v in _PAIRS.values() for c in v}
+_OPENED_BY = {c: tuple(o for o, v in _PAIRS.items() if c in v) for c in _CLOSERS}
 _QUOTES = set("“„«‹「『《〈‘‚\"＂")
 _MARK = regex.compile("[" + regex.escape("".join(sorted({*_PAIRS, *_CLOSERS}))) + "]")
 _BLANK_LINE = regex.compile(r"\n[^\S\n]*\n| |\r\n[^\S\n]*\r\n")
@@ -50,18 +51,17 @@ _BLANK_LINE = regex.compile(r"\n[^\S\n]*\n| |\r\n[^\S\n]*\r\n")
 _TERM = r"[\p{SB=STerm}\p{SB=ATerm}…⋯]+"
 _SPACED = r"\p{Script=Thai}\p{Script=Lao}\p{Script=Khmer}\p{Script=Myanmar}"
 _EVENT = regex.compile(rf"(?P<term>{_TERM})|(?P<gap>(?<=[{_SPACED}][\p{{M}}ๆฯ]*)\s+(?=\S))|(?P<para>\n[^\S\n]*\n\s*)")
-#: Characters before a stop in which an abbreviation and the word before it stand; none is longer.
-_NEAR = 160
-#: Open quotes and brackets that wait for their end; of more, the outermost count as never closed.
-_DEEPEST = 64
 _AFTER = regex.compile(r"[\"'”’»›)\]）］」』】》〉＂]*")
 _CITATION = regex.compile(r"(?:\s?[\[［]\d[\d\s,;–—-]*[\]］])+(?=\s|$|[^\w])|(?:[¹²³⁰-⁹][¹²³⁰-⁹,–-]*)(?=\s|$)")
 _BARE_CITATION = regex.compile(r"\d{1,3}(?:[,–-]\d{1,3})*(?=\s+[\p{Lu}“«„(]|\s*$)")
-_TOKEN = regex.compile(r"[^\s(\[（“„«\"‘「『]+\Z")
-_WORD = regex.compile(r"\S+\Z")
+#: What a token can't hold: blanks and opening marks.
+_BLANKS = regex.compile(r"\s+")
+_OPENING = regex.compile(r"[(\[（“„«\"‘「『]")
+_LETTER_BEFORE = regex.compile(r"(?r)\p{L}")
+_CLOSING = regex.compile("[ \t\n\r  　\"'”’»›)）」』]*")
 _NEXT_WORD = regex.compile(r"[\p{L}\p{M}]+")
 _CONTINUES = regex.compile(r"[\p{SB=SContinue};,:،؛；：，、)\]）」』”»–—-]")
-_ACRONYM = regex.compile(r"(?:\p{L}\.)+\p{L}\Z")
+_ACRONYM_TAIL = regex.compile(r"(?:\.\p{L})*")
 _INITIAL = regex.compile(r"(?:\p{Lu}\.?-)?\p{Lu}\Z")
 _PARTICLE = regex.compile(r"(?:(?:van|von|de|del|della|di|da|du|des|la|le|den|der|ter|ten|dos) )+\p{Lu}\p{Ll}+|al-\p{Lu}|d['’]\p{Lu}")
 _GLUED = regex.compile(r"\p{Lu}\p{L}*(?:[\s,.:;-]|$)")
@@ -75,6 +75,7 @@ _FULL_TERM = regex.compile(r"[。！？｡．؟۔।॥܀-܂։።፧‼⁇⁈⁉
 def _pairs(text: str) -> list[tuple[int, int]]:
     """Outermost matched quotes and brackets, in order; none reaches over a blank line."""
     stack: list[tuple[str, int]] = []
+    waiting: dict[str, list[int]] = {ch: [] for ch in _PAIRS}  # by opening mark, their places in the stack
     found: list[tuple[int, int]] = []
     limits = [m.start() for m in _BLANK_LINE.finditer(text)] if "\n" in text or " " in text else []
     block = 0
@@ -84,17 +85,19 @@ def _pairs(text: str) -> list[tuple[int, int]]:
             now = bisect_right(limits, at)
             if now != block:
                 stack.clear()
+                for places in waiting.values():
+                    places.clear()
                 block = now
         if ch in "’'" and at + 1 < len(text) and text[at + 1].isalpha() and at and text[at - 1].isalpha():
             continue  # an apostrophe
-        hit = next((k for k in range(len(stack) - 1, -1, -1) if ch in _PAIRS[stack[k][0]]), None) if ch in _CLOSERS else None
+        hit = max((waiting[o][-1] for o in _OPENED_BY[ch] if waiting[o]), default=None) if ch in _CLOSERS else None
         if hit is not None and not (ch == '"' and at and text[at - 1].isspace() and at + 1 < len(text) and not text[at + 1].isspace() and len(stack) == 0):
             found.append((stack[hit][1], at))
-            del stack[hit:]
+            while len(stack) > hit:
+                waiting[stack.pop()[0]].pop()
         elif ch in _PAIRS and not (ch == "‘" and at and text[at - 1].isalpha()):
+            waiting[ch].append(len(stack))
             stack.append((ch, at))
-            if len(stack) > _DEEPEST:
-                del stack[0]
     found.sort()
     outer: list[tuple[int, int]] = []
     for a, b in found:
@@ -103,37 +106,107 @@ def _pairs(text: str) -> list[tuple[int, int]]:
     return outer
 
 
-def _suppressed(text: str, dot: int, start: int, nxt: int) -> bool:
+class _Before:
+    """What stands before the stops of a text, asked for from left to right, in time linear in the text."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self._at = self._blanks = self._open = 0  # read up to; end of the last blanks and of the last opening mark
+        self._gap = self._last = (0, 0)  # the blanks before those, and those
+        self._acronym = (-1, 0, True)  # start of a token, how far it was read, whether an acronym so far
+        self._letter = (0, -1)  # read up to, last letter
+
+    def _read(self, to: int) -> None:
+        if to <= self._at:
+            return
+        for m in _BLANKS.finditer(self.text, self._at, to):
+            if m.start() == self._last[1] and m.start():
+                self._last = (self._last[0], m.end())  # blanks met in two readings
+            else:
+                self._gap, self._last = self._last, m.span()
+            self._blanks = m.end()
+        for m in _OPENING.finditer(self.text, self._at, to):
+            self._open = m.end()
+        self._at = to
+
+    def token(self, start: int, dot: int) -> int:
+        """Where the token that ends at `dot` begins, not before `start`; `dot` if there is none."""
+        self._read(dot)
+        return min(dot, max(start, self._blanks, self._open))
+
+    def word(self, start: int, at: int) -> tuple[int, int] | None:
+        """The word that stands one character before the token at `at`."""
+        if at <= start:
+            return None
+        end = at - 1
+        if self._last[1] == at:  # a blank before the token
+            if end != self._last[0]:
+                return None
+            begin = max(start, self._gap[1])
+        else:
+            begin = max(start, self._blanks)
+        return (begin, end) if begin < end else None
+
+    def acronym(self, at: int, dot: int) -> bool:
+        """Whether the token [at, dot) is letters with full stops between."""
+        began, to, good = self._acronym
+        if began != at or to > dot:
+            to, good = at + 1, self.text[at].isalpha() and regex.match(r"\p{L}", self.text[at]) is not None
+        if good and to < dot:
+            good = _ACRONYM_TAIL.fullmatch(self.text, to, dot) is not None
+        self._acronym = (at, max(to, dot), good)
+        return good and dot - at > 2
+
+    def cased(self, i: int) -> bool:
+        """Whether the last letter before `i` belongs to a script with capitals; true if there is none."""
+        to, last = self._letter
+        if i < to:
+            to, last = 0, -1
+        m = _LETTER_BEFORE.search(self.text, to, i)
+        if m:
+            last = m.start()
+        self._letter = (i, last)
+        return last < 0 or self.text[last].islower() or self.text[last].isupper()
+
+
+#: No listed abbreviation is longer.
+_LONGEST = max(map(len, _NEVER | _BEFORE_NUMBER | _MAY_END))
+
+
+def _suppressed(before: _Before, dot: int, start: int, nxt: int) -> bool:
     """Whether the full stop at `dot` abbreviates, with more of the sentence from `nxt`."""
-    m = _TOKEN.search(text, max(start, dot - _NEAR), dot)
-    if not m:
+    text = before.text
+    at = before.token(start, dot)
+    if at == dot:
         return False
-    token, at = m.group(), m.start()
+    length = dot - at
+    token = text[at:dot] if length <= _LONGEST else ""  # a longer one is no listed word, number or initial
     c = text[nxt]
     low = token.lower()
     word = _NEXT_WORD.match(text, nxt)
     starter = bool(word) and word.group().lower() in _STARTERS
     if low in _NEVER:
         return True
-    if c.islower() and (low in _MAY_END or low in _BEFORE_NUMBER or len(token) == 1 and token.isalpha() or _ACRONYM.match(token)):
+    acronym = before.acronym(at, dot)
+    if c.islower() and (low in _MAY_END or low in _BEFORE_NUMBER or length == 1 and token.isalpha() or acronym):
         return True
     if low in _BEFORE_NUMBER and (c.isdigit() or c in "−-±<>="):
         return True
     if low == "al" and c in "([（" or low == "al" and c.isdigit():
         return True
     if token.isdigit():
-        before = _WORD.search(text, max(start, at - _NEAR), at - 1 if at > start else at)
+        previous = before.word(start, at)
         if not text[start:at].strip():
-            return len(token) <= 3  # the number of a list item
-        return len(token) <= 2 and bool(before) and before.group().lower() in _ORDINAL_AFTER and c.isalnum()
-    if _ACRONYM.match(token):
-        return low.replace(".", "") in ("eg", "ie", "zb", "dh", "ua") or token.isupper() and not starter and c.isalpha()
-    if len(token) == 1 and token.isalpha():
-        before = _WORD.search(text, max(start, at - _NEAR), at - 1 if at > start else at)
-        if before and before.group()[-1].isdigit():
+            return length <= 3  # the number of a list item
+        return length <= 2 and previous is not None and previous[1] - previous[0] <= _LONGEST and text[slice(*previous)].lower() in _ORDINAL_AFTER and c.isalnum()
+    if acronym:
+        return low.replace(".", "") in ("eg", "ie", "zb", "dh", "ua") or not starter and c.isalpha() and text[at:dot].isupper()
+    if length == 1 and token.isalpha():
+        previous = before.word(start, at)
+        if previous and text[previous[1] - 1].isdigit():
             return False  # a unit
         if token.isupper():
-            return not (starter and before is not None and not before.group()[0].isupper())
+            return not (starter and previous is not None and not text[previous[0]].isupper())
         return token != "í"
     return bool(_INITIAL.match(token)) and not starter
 
@@ -144,6 +217,7 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
         return []
     pairs = _pairs(text)
     opens = [a for a, _ in pairs]
+    before = _Before(text)
     n = len(text)
     ends: list[int] = []
     start = 0
@@ -172,7 +246,7 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
         term = m.group()
         quoted = False
         if pair is not None:
-            if text[j : pair[1]].strip(" \t\n\r  　\"'”’»›)）」』"):
+            if _CLOSING.match(text, j, pair[1]).end() < pair[1]:
                 continue
             e, quoted = pair[1] + 1, text[pair[0]] in _QUOTES
             resume = e
@@ -182,7 +256,7 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
             e = _AFTER.match(text, j).end()
             quoted = any(c in "”’»›」』》〉\"＂“" for c in text[j:e])
             if e == j and term[-1] == "." and j - i == 1 and i and text[i - 1].islower() and (b := _BARE_CITATION.match(text, j)) and not text[max(start, i - 3) : i].isspace():
-                if (word := _TOKEN.search(text, max(start, i - _NEAR), i)) and word.group().isalpha():
+                if text[before.token(start, i) : i].isalpha():
                     e = b.end()
         if c := _CITATION.match(text, e):
             e = c.end()
@@ -211,7 +285,7 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
                 if e > j and pair is None and whole and ch.isupper():
                     close(e)
                 continue
-            begins = ch.isupper() or ch.islower() and not lower or ch in _PAIRS or ch in "¿¡" or ch.isdigit() and _cased(text, i)
+            begins = ch.isupper() or ch.islower() and not lower or ch in _PAIRS or ch in "¿¡" or ch.isdigit() and before.cased(i)
             if lower and pair is not None and not own:
                 # speech brought in by a colon, or begun before, ends with its last quote
                 begins = text[start : pair[0]].rstrip().endswith((":", "：")) or text[start : pair[0]].lstrip()[:1] in _QUOTES
@@ -227,11 +301,11 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
                 close(e)
         elif not gap:
             if _NO_BLANKS.match(ch) and not (term[-1] == "." and text[i - 1 : i].isdigit() and ch.isdigit()):
-                if term[-1] != "." or not _suppressed(text, j - 1, start, nxt):
+                if term[-1] != "." or not _suppressed(before, j - 1, start, nxt):
                     close(e)
-            elif ch.isupper() and i >= 3 and (c is not None or text[i - 1].islower() and text[i - 2].islower() or text[i - 1] in ")”" or term[-1] in "!?") and _GLUED.match(text, nxt) and not ((word := _TOKEN.search(text, max(start, i - _NEAR), i)) and _ADDRESS.search(word.group())):
+            elif ch.isupper() and i >= 3 and (c is not None or text[i - 1].islower() and text[i - 2].islower() or text[i - 1] in ")”" or term[-1] in "!?") and _GLUED.match(text, nxt) and not _ADDRESS.search(text, before.token(start, i), i):
                 close(e)
-        elif term[-1] in ".．․﹒" and len(term) == 1 and e == j and _suppressed(text, i, start, nxt):
+        elif term[-1] in ".．․﹒" and len(term) == 1 and e == j and _suppressed(before, i, start, nxt):
             continue
         else:
             close(e)
@@ -247,16 +321,6 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
     return spans
 
 
-def _cased(text: str, i: int) -> bool:
-    """Whether the last letter before `i` belongs to a script with capitals."""
-    low = max(0, i - _NEAR)
-    while i > low:
-        i -= 1
-        if text[i].isalpha():
-            return text[i].islower() or text[i].isupper()
-    return True
-
-
 def _breaks_at_gap(text: str, start: int, i: int, j: int) -> bool:
     """Whether the blanks [i, j) after a letter of a script that marks sentences by blanks end one."""
     if not text[start:i].strip():
@@ -267,31 +331,39 @@ def _breaks_at_gap(text: str, start: int, i: int, j: int) -> bool:
     return len(run.split()) >= 4 or regex.search(r"[.!?。！？](?:\s|$|[”\"»)])", run) is not None
 
 
-def _split(keys: list[str], text: str):
+def _spans(keys: list[str], text: str, spans: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for at in range(0, len(pdf), 2000):
-                part = pdf.iloc[at : at + 2000]
-                rows: list[tuple[int, int, int, int]] = []
-                for r, value in enumerate(part[text]):
-                    rows += ((r, no, a, b) for no, (a, b) in enumerate(sentence_spans(value), 1))
-                if not rows:
-                    continue
-                idx, no, a, b = (list(x) for x in zip(*rows, strict=True))
-                values = part[text].tolist()
-                out = part[keys].iloc[idx].reset_index(drop=True)
-                yield out.assign(sentence_no=no, start_char=a, end_char=b, sentence=[values[r][x:y] for r, x, y in zip(idx, a, b, strict=True)])
+            yield pdf[keys].assign(**{spans: [[{"start_char": a, "end_char": b} for a, b in sentence_spans(value)] for value in pdf[text]]})
 
     return run
 
 
+def _with_spans(rows: DataFrame, text: str, keep: list[str], spans: str) -> DataFrame:
+    ship(rows.sparkSession)
+    known = rows.where(F.col(text).isNotNull() & (F.trim(text) != ""))
+    fields = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keep)
+    return known.select(*dict.fromkeys([*keep, text])).mapInPandas(_spans(keep, text, spans), f"{fields}, `{spans}` array<struct<start_char:int,end_char:int>>")
+
+
+def sentence_offsets(rows: DataFrame, text: str, keys: list[str]) -> DataFrame:
+    """Distinct `keys`, sentence_no (from 1), start_char and end_char (exclusive) of every sentence of column `text`.
+
+    Null and blank texts give no row. Texts of any length are taken whole; none is shuffled, only keys and offsets are,
+    one row per text. Other columns are ignored, whatever their names.
+    """
+    once = _with_spans(rows, text, keys, "_spans").distinct()
+    each = once.select(*keys, F.posexplode("_spans").alias("_no", "_s"))
+    return each.select(*keys, (F.col("_no") + 1).alias("sentence_no"), "_s.start_char", "_s.end_char")
+
+
 def sentences(rows: DataFrame, text: str, keys: list[str]) -> DataFrame:
     """`keys`, sentence_no (from 1), start_char, end_char (exclusive) and sentence of every sentence of column `text`.
 
-    Null and blank texts give no row. Repeated rows are split once. Texts of any length are taken whole. Other columns
-    are ignored, whatever their names.
+    Null and blank texts give no row. Repeated rows are split once, for which texts are shuffled; `sentence_offsets`
+    goes without. Texts of any length are taken whole. Other columns are ignored, whatever their names.
     """
-    ship(rows.sparkSession)
-    once = rows.select(*keys, F.col(text)).where(F.col(text).isNotNull() & (F.trim(text) != "")).distinct()
-    fields = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
-    return once.mapInPandas(_split(keys, text), f"{fields}, sentence_no int, start_char int, end_char int, sentence string")
+    once = rows.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col(text).alias("_text")).distinct()
+    names = [f"_k{i}" for i in range(len(keys))]
+    each = _with_spans(once, "_text", [*names, "_text"], "_spans").select(*names, "_text", F.posexplode("_spans").alias("_no", "_s"))
+    return each.select(*(F.col(n).alias(k) for n, k in zip(names, keys, strict=True)), (F.col("_no") + 1).alias("sentence_no"), "_s.start_char", "_s.end_char", F.substring("_text", F.col("_s.start_char") + 1, F.col("_s.end_char") - F.col("_s.start_char")).alias("sentence"))

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from quillstone.llm.sentences import sentence_spans, sentences
+from quillstone.llm.sentences import sentence_offsets, sentence_spans, sentences
 
 CASES = {
     "First one. Second one.": 2,
@@ -65,3 +65,20 @@ def test_table(spark):
     got = sentences(spark.createDataFrame(rows, "key string, t string, sentence_no string"), "t", ["key"]).collect()
     assert sorted((r.key or "", r.sentence_no, r.start_char, r.end_char, r.sentence) for r in got) == [("", 1, 0, 6, "Three."), ("k1", 1, 0, 4, "One."), ("k1", 2, 5, 9, "Two.")]
     assert sentences(spark.createDataFrame([], "key string, t string"), "t", ["key"]).count() == 0
+
+
+def test_nothing_is_forgotten_however_far_back():
+    deep = "(" * 100 + "One. Two." + ")" * 100 + " Three."
+    assert sentence_spans(deep)[0][1] > 200  # the outermost bracket still holds what it opened before a hundred others
+    assert len(sentence_spans("x" * 500 + " U.S. forces left. " + "A." * 300 + "B rose. It fell.")) == 3
+    for text in ("a." * 100_000, "(“" * 100_000 + "x. Y”" * 100_000, "A.b" * 100_000, "1.”" * 100_000, "see www.x" + ".Ab" * 100_000):
+        assert sentence_spans(text)  # in time linear in the text
+
+
+def test_offsets_without_texts(spark):
+    rows = [("k1", "One. Two."), ("k1", "One. Two."), ("k2", None), (None, "Three."), ("k3", " "), ("k4", "𝐀 b. C d.")]
+    df = spark.createDataFrame(rows, "key string, t string")
+    got = sentence_offsets(df, "t", ["key"])
+    assert sorted((r.key or "", r.sentence_no, r.start_char, r.end_char) for r in got.collect()) == [("", 1, 0, 6), ("k1", 1, 0, 4), ("k1", 2, 5, 9), ("k4", 1, 0, 4), ("k4", 2, 5, 9)]
+    assert {(r.key, r.sentence) for r in sentences(df, "t", ["key"]).collect() if r.key == "k4"} == {("k4", "𝐀 b."), ("k4", "C d.")}
+    assert sentence_offsets(df.limit(0), "t", ["key"]).count() == 0
