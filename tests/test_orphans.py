@@ -64,3 +64,22 @@ def test_report_counts(spark):
 def test_tidy_key(spark):
     got = spark.createDataFrame([("  Ab\t",), (None,)], "k string").select(tidy_key(F.col("k")).alias("k")).collect()
     assert Counter(r.k for r in got) == Counter(["ab", None])
+
+
+def test_filter_beyond_a_broadcast_and_hot_orphan(spark):
+    """A filter of more than 2^20 words that is shuffled, and a missing key that most rows name."""
+    n = 3_600_000
+    parent = spark.range(n).select(F.concat(F.lit("k"), "id").alias("key"), F.lit(T[0]).alias("created_at"), F.lit(True).alias("is_active"))
+    hot = spark.range(20_000).select(F.concat(F.lit("c"), "id").alias("claim_key"), F.lit("gone").alias("parent"), F.lit(T[1]).alias("created_at"))
+    cold = spark.range(6_000).select(F.concat(F.lit("d"), "id").alias("claim_key"), F.concat(F.lit("k"), F.col("id") + n - 3_000).alias("parent"), F.lit(T[2]).alias("created_at"))
+    got = find_orphans(hot.unionByName(cold), parent, REF, max_blocks=1 << 20, broadcast_rows=10)
+    _, words = bloom_blocks(parent.limit(0), "key", n)
+    assert words > 1 << 20
+    counts = {(r.period_month, r.reason): r.n_references for r in orphan_report(got).collect()}
+    assert counts == {("2024-02", "missing"): 20_000, ("2024-03", "missing"): 3_000}
+
+
+def test_both_ways_back_to_the_rows_agree(spark):
+    child = [("h%d" % i, "gone" if i % 2 else "k1", T[i % 12]) for i in range(4000)] + [(f"c{i}", f"k{i}", T[3]) for i in range(300)]
+    parent = [(f"k{i}", T[4], i % 3 > 0) for i in range(0, 300, 2)] + [("k1", T[6], True)]
+    assert run(spark, child, parent, broadcast_rows=0, max_blocks=1) == run(spark, child, parent)
