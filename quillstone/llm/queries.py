@@ -65,7 +65,7 @@ def p4_sentences(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return sentence_offsets(_sentence_fields(spark, d), "value", ["field_name", "record_key"]).distinct()
+    return sentence_offsets(_sentence_fields(spark, d), "value", ["field_name", "record_key"])
 
 
 def p6_containers(spark: SparkSession, d: str) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -331,30 +332,37 @@ def _breaks_at_gap(text: str, start: int, i: int, j: int) -> bool:
     return len(run.split()) >= 4 or regex.search(r"[.!?。！？](?:\s|$|[”\"»)])", run) is not None
 
 
-def _spans(keys: list[str], text: str, spans: str):
+def _spans(keep: list[str], text: str, once: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf[keys].assign(**{spans: [[{"start_char": a, "end_char": b} for a, b in sentence_spans(value)] for value in pdf[text]]})
+            if once:  # copies that come together are split once
+                pdf = pdf.drop_duplicates(once, ignore_index=True)
+            found = [sentence_spans(value) for value in pdf[text]]
+            yield pdf[keep].assign(_starts=[np.array([a for a, _ in f], np.int32) for f in found], _ends=[np.array([b for _, b in f], np.int32) for f in found])
 
     return run
 
 
-def _with_spans(rows: DataFrame, text: str, keep: list[str], spans: str) -> DataFrame:
+def _with_spans(rows: DataFrame, text: str, keep: list[str], once: list[str]) -> DataFrame:
     ship(rows.sparkSession)
     known = rows.where(F.col(text).isNotNull() & (F.trim(text) != ""))
     fields = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keep)
-    return known.select(*dict.fromkeys([*keep, text])).mapInPandas(_spans(keep, text, spans), f"{fields}, `{spans}` array<struct<start_char:int,end_char:int>>")
+    return known.select(*dict.fromkeys([*keep, text])).mapInPandas(_spans(keep, text, once), f"{fields}, _starts array<int>, _ends array<int>")
+
+
+def _each(spans: DataFrame, *columns: str) -> DataFrame:
+    zipped = F.zip_with("_starts", "_ends", lambda a, b: F.struct(a.alias("start_char"), b.alias("end_char")))
+    return spans.select(*columns, F.posexplode(zipped).alias("_no", "_s")).select(*columns, (F.col("_no") + 1).alias("sentence_no"), "_s.start_char", "_s.end_char")
 
 
 def sentence_offsets(rows: DataFrame, text: str, keys: list[str]) -> DataFrame:
     """Distinct `keys`, sentence_no (from 1), start_char and end_char (exclusive) of every sentence of column `text`.
 
     Null and blank texts give no row. Texts of any length are taken whole; none is shuffled, only keys and offsets are,
-    one row per text. Other columns are ignored, whatever their names.
+    once, one row per text. Other columns are ignored, whatever their names.
     """
-    once = _with_spans(rows, text, keys, "_spans").distinct()
-    each = once.select(*keys, F.posexplode("_spans").alias("_no", "_s"))
-    return each.select(*keys, (F.col("_no") + 1).alias("sentence_no"), "_s.start_char", "_s.end_char")
+    once = _with_spans(rows, text, keys, [*keys, text]).repartition(*keys).distinct()
+    return _each(once, *keys).distinct()  # in place: the rows are by key already
 
 
 def sentences(rows: DataFrame, text: str, keys: list[str]) -> DataFrame:
@@ -365,5 +373,5 @@ def sentences(rows: DataFrame, text: str, keys: list[str]) -> DataFrame:
     """
     once = rows.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col(text).alias("_text")).distinct()
     names = [f"_k{i}" for i in range(len(keys))]
-    each = _with_spans(once, "_text", [*names, "_text"], "_spans").select(*names, "_text", F.posexplode("_spans").alias("_no", "_s"))
-    return each.select(*(F.col(n).alias(k) for n, k in zip(names, keys, strict=True)), (F.col("_no") + 1).alias("sentence_no"), "_s.start_char", "_s.end_char", F.substring("_text", F.col("_s.start_char") + 1, F.col("_s.end_char") - F.col("_s.start_char")).alias("sentence"))
+    each = _each(_with_spans(once, "_text", [*names, "_text"], []), *names, "_text")
+    return each.select(*(F.col(n).alias(k) for n, k in zip(names, keys, strict=True)), "sentence_no", "start_char", "end_char", F.substring("_text", F.col("start_char") + 1, F.col("end_char") - F.col("start_char")).alias("sentence"))
