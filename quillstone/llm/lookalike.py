@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.runtime import cut, ship
+from quillstone.runtime import broadcast_if_small, cut, ship
 
 # Letters of other scripts with the shape of a Latin letter.
 _CYRILLIC = "АВЕЅІЈКМНОРСТУХ" + "аеѕіјорсухԁһԛԝ" + "Ү"
@@ -37,6 +37,8 @@ _BLANKS = "               　"
 _INVISIBLE = r"[\x{00AD}\x{034F}\x{061C}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180F}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{3164}\x{FE00}-\x{FE0F}\x{FEFF}\x{FFA0}\x{FFF9}-\x{FFFB}\x{1D173}-\x{1D17A}\x{E0000}-\x{E0FFF}]"
 #: Bytes of text that DuckDB gets at once.
 SLICE_BYTES = 24_000_000
+#: Copies of one text that a task may have to pair with other spellings.
+HOT_COPIES = 10_000
 _KEPT_KINDS = ("<super>", "<sub>", "<fraction>", "<circle>", "<vertical>")
 
 
@@ -71,8 +73,8 @@ def tables() -> tuple[dict[str, str], dict[str, str]]:
         if plain == ch:
             continue
         if raw.startswith("<"):
-            if raw.startswith("<compat>") and (plain[0] == " " or not any(c.isalnum() for c in plain)) or raw.split()[0] in _KEPT_KINDS:
-                continue  # spacing accents and dots: a sign of its own
+            if raw.startswith("<compat>") and (plain[0] == " " or not any(c.isalnum() or c == "." for c in plain)) or raw.split()[0] in _KEPT_KINDS:
+                continue  # spacing accents and marks: a sign of its own; rows of dots are dots
             if raw.startswith("<compat>") and len(plain) > 1 and any(unicodedata.category(c) == "Ps" for c in plain):
                 continue
         if len(plain) == 1:
@@ -166,19 +168,41 @@ def lookalike_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     return form.select("doc_id", F.md5("canonical_text").alias("class_id"), F.md5("text").alias("text_id"))
 
 
-def lookalike_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _spellings(members: DataFrame) -> DataFrame:
+    """class_id, text_id and copies of every spelling of the classes that have several."""
+    own = members.groupBy("class_id", "text_id").agg(F.count(F.lit(1)).alias("copies"))
+    mixed = own.groupBy("class_id").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("members")).where("n > 1").select("class_id", "members")
+    return own.join(mixed, "class_id")
+
+
+def lookalike_members(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, class_id and n_links of every document that looks like one with another string: its class, and how many
+    documents of the class are stored differently. One row per document, however many pairs its class makes; null and
+    empty texts and classes of one spelling give none."""
+    members = cut(lookalike_classes(docs, doc_id, text))
+    links = cut(_spellings(members).select("text_id", (F.col("members") - F.col("copies")).alias("n_links")))
+    return members.join(broadcast_if_small(links), "text_id").select("doc_id", "class_id", "n_links")
+
+
+def lookalike_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hot_copies: int = HOT_COPIES) -> DataFrame:
     """Pairs doc_a < doc_b whose texts look the same but are not the same string, once each.
 
     Null and empty texts are no cases. Exact copies of one text are in no pair with each other, but each is in a pair
-    with every other spelling. Classes of one spelling only, however many copies it has, are dropped before any join,
-    so a text that a third of all documents share costs one row per task.
+    with every other spelling; `lookalike_members` gives the same in one row per document. Classes of one spelling
+    only, however many copies it has, are dropped before any join. A text with more than `hot_copies` copies in a class
+    of several spellings is spread over as many parts, and its links are repeated for each.
     """
     members = cut(lookalike_classes(docs, doc_id, text))
-    spellings = members.select("class_id", "text_id").distinct()
-    mixed = spellings.groupBy("class_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("class_id")
-    own = spellings.join(mixed, "class_id", "left_semi")
+    own = cut(_spellings(members))
     links = own.alias("x").join(own.alias("y"), (F.col("x.class_id") == F.col("y.class_id")) & (F.col("x.text_id") < F.col("y.text_id"))).select(F.col("x.text_id").alias("text_x"), F.col("y.text_id").alias("text_y"))
-    left = members.select(F.col("text_id").alias("text_x"), F.col("doc_id").alias("doc_x"))
-    right = members.select(F.col("text_id").alias("text_y"), F.col("doc_id").alias("doc_y"))
-    pairs = links.join(left, "text_x").join(right, "text_y")
+    parts = own.where(F.col("copies") > hot_copies).select("text_id", F.ceil(F.col("copies") / hot_copies).cast("int").alias("_parts"))
+    parts = broadcast_if_small(parts)  # at most one text in `hot_copies` documents
+
+    def with_docs(linked: DataFrame, text_name: str, doc_name: str) -> DataFrame:
+        n = F.coalesce("_parts", F.lit(1))
+        left = linked.join(parts, F.col(text_name) == F.col("text_id"), "left").withColumn("_part", F.explode(F.sequence(F.lit(0), n - 1))).drop("text_id", "_parts")
+        right = members.join(parts, "text_id", "left").select(F.col("text_id").alias(text_name), F.col("doc_id").alias(doc_name), F.pmod(F.xxhash64("doc_id"), n).cast("int").alias("_part"))
+        return left.join(right, [text_name, "_part"]).drop(text_name, "_part")
+
+    pairs = with_docs(with_docs(links, "text_x", "doc_x"), "text_y", "doc_y")
     return pairs.select(F.least("doc_x", "doc_y").alias("doc_a"), F.greatest("doc_x", "doc_y").alias("doc_b")).where("doc_a <> doc_b").distinct()

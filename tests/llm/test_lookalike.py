@@ -4,13 +4,13 @@ import unicodedata
 
 import pytest
 
-from quillstone.llm.lookalike import canonical_text, lookalike_pairs, tables
+from quillstone.llm.lookalike import canonical_text, lookalike_members, lookalike_pairs, tables
 
 SAME = [
     ("Naïve users", "Naïve users"), ("Naïve", "Nаїvе"), ("cream", "с​reаm"), ("a b", "a b"), ("a b", "a　b"), ("ABC 1.5", "ＡＢＣ　１．５"), ("ﬁne ﬂow", "fine flow"), ("4 ℃", "4 °C"), ("Ⅱ", "II"),
-    ("한글", "한글"), ("皮脂", "⽪脂"), ("见", "⻅"), ("ガ", "ｶﾞ"), ("。", "｡"), ("Ρet", "Pet"), ("well-known", "well‑known"), ("x­y", "xy"), ("µg", "μg"),
+    ("한글", "한글"), ("皮脂", "⽪脂"), ("见", "⻅"), ("ガ", "ｶﾞ"), ("。", "｡"), ("Ρet", "Pet"), ("well-known", "well‑known"), ("x­y", "xy"), ("µg", "μg"), ("a…", "a..."), ("‥b", "..b"),
 ]
-DIFFERENT = [("cm2", "cm²"), ("Naive", "Naïve"), ("abc", "Abc"), ("a.", "a!"), ("½", "1/2"), ("…", "..."), ("a b", "ab"), ("β", "b"), ("a\nb", "a b"), ("①", "1")]
+DIFFERENT = [("cm2", "cm²"), ("Naive", "Naïve"), ("abc", "Abc"), ("a.", "a!"), ("½", "1/2"), ("a b", "ab"), ("β", "b"), ("a\nb", "a b"), ("①", "1")]
 
 
 def forms(spark, texts):
@@ -53,6 +53,19 @@ def test_hot_text(spark):
     assert sorted(map(tuple, lookalike_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect())) == [(20_000, 20_001)]
 
 
+def test_hot_text_with_another_spelling(spark):
+    rows = [(i, "the same text") for i in range(3000)] + [(3000 + i, "the sаme text") for i in range(3)] + [(4000, "тhe same text"), (4001, "ｔhe same text")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[1] != b[1] and "т" not in a[1] + b[1]}
+    for hot in (100, 10_000):
+        got = [tuple(r) for r in lookalike_pairs(df, hot_copies=hot).collect()]
+        assert len(got) == len(want) and set(got) == want
+    members = {r.doc_id: (r.class_id, r.n_links) for r in lookalike_members(df).collect()}
+    assert set(members) == {i for p in want for i in p} and len({c for c, _ in members.values()}) == 1
+    assert members[0][1] == 4 and members[3000][1] == 3001 and members[4001][1] == 3003
+    assert lookalike_members(df.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("n", [50_000])
 def test_long_text(spark, n):
     assert forms(spark, ["сｒ" * n])[0] == "cr" * n
