@@ -10,6 +10,7 @@ left. The landing decides its last two by the smallest error in tokens and makes
 from __future__ import annotations
 
 import bisect
+import random
 from itertools import product
 
 import pandas as pd
@@ -18,19 +19,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quillstone.llm.tokens import RANKS, TOKENIZERS, spread, with_tokens
-from quillstone.runtime import cut
+from quillstone.runtime import broadcast_if_small, cut
 
 #: Documents that fly together.
 BLOCK_DOCS = 20_000
+#: Tasks in which blocks fly at once; more blocks share them.
+MOST_TASKS = 10_000
 _EDGE = 1e-9
 
 
-def fly(sizes: list[float], chances: list[float]) -> list[float]:
-    """The flight phase: probabilities with all but at most two at 0 or 1 and the same totals of p and p * size."""
+def fly(sizes: list[float], chances: list[float], lot: random.Random | None = None) -> list[float]:
+    """The flight phase: probabilities with all but at most two at 0 or 1 and the same totals of p and p * size. Each
+    step is drawn by lot so that the expected value of every probability stays what it was."""
+    lot = lot or random.Random(0)
     p = list(chances)
     live: list[int] = []
     rest = iter(i for i, x in enumerate(p) if _EDGE < x < 1 - _EDGE)
-    toggle = 1.0
     while True:
         while len(live) < 3:
             nxt = next(rest, None)
@@ -48,11 +52,7 @@ def fly(sizes: list[float], chances: list[float]) -> list[float]:
                 up, down = min(up, (1 - p[i]) / d), min(down, p[i] / d)
             elif d < 0:
                 up, down = min(up, p[i] / -d), min(down, (1 - p[i]) / -d)
-        # the martingale's two steps; taken by turns instead of by lot, so that a rerun gives the same mix
-        toggle += down / (up + down)
-        step = up if toggle >= 1.0 else -down
-        if toggle >= 1.0:
-            toggle -= 1.0
+        step = up if lot.random() * (up + down) < down else -down
         for i, d in zip(live, u, strict=True):
             p[i] = min(1.0, max(0.0, p[i] + step * d))
         live = [i for i in live if _EDGE < p[i] < 1 - _EDGE]
@@ -85,12 +85,13 @@ def land(sizes: list[float], chances: list[float]) -> list[int]:
 _FLOWN = "doc_id long, source string, n_tokens int, base int, chance double"
 
 
-def _flight(last: bool):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+def _flight(last: bool, seed: int):
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         # the largest first, so that what is left undecided is small
         pdf = pdf.sort_values(["n_tokens", "doc_id"], ascending=[False, True], ignore_index=True)
         sizes = pdf["n_tokens"].astype(float).tolist()
-        chances = fly(sizes, pdf["chance"].tolist())
+        # the same lot for the same block, wherever and however often it is computed
+        chances = fly(sizes, pdf["chance"].tolist(), random.Random(f"{seed} {key} {len(pdf)} {pdf['doc_id'].min()}"))
         if last:
             chances = [float(x) for x in land(sizes, chances)]
         return pdf[["doc_id", "source", "n_tokens", "base"]].assign(chance=chances)
@@ -115,30 +116,32 @@ def plan(totals: dict[str, tuple[int, int]], targets: dict[str, tuple[float, int
     return {s: min(float(targets[s][1]), size * share[s] / have[s]) for s in have}
 
 
-def mix(docs: DataFrame, targets: DataFrame, *, total_tokens: int | None = None, doc_id: str = "doc_id", text: str = "text", source: str = "source", block_docs: int = BLOCK_DOCS, folder: str = TOKENIZERS, ranks: str = RANKS) -> DataFrame:
+def mix(docs: DataFrame, targets: DataFrame, *, total_tokens: int | None = None, seed: int = 0, doc_id: str = "doc_id", text: str = "text", source: str = "source", block_docs: int = BLOCK_DOCS, folder: str = TOKENIZERS, ranks: str = RANKS) -> DataFrame:
     """doc_id, source, n_tokens and n_uses of every document of a source in `targets` (source, target_share, max_repeats).
 
     Documents of a null or unlisted source are not in the result; null and empty texts are, with 0 uses. No document
     is used more than max_repeats times. A negative or null share counts as 0. The totals of tokens and documents of
-    each source are met to within the size of one document. `targets` is read to the driver: a list of sources.
+    each source are met to within the size of one document. The flight draws by lot from `seed`; the same seed and
+    tables give the same mix. `targets` is read to the driver: a list of sources.
     """
     share = F.greatest(F.coalesce(F.col("target_share"), F.lit(0.0)), F.lit(0.0))
     asked = {r["source"]: (float(r["share"]), int(r["most"])) for r in targets.where("source is not null").groupBy("source").agg(F.sum(share).alias("share"), F.coalesce(F.min("max_repeats"), F.lit(0)).alias("most")).toLocalIterator()}
     names = docs.sparkSession.createDataFrame([(s,) for s in asked], "source string")
-    listed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source")).join(F.broadcast(names), "source", "left_semi")
+    listed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source")).join(broadcast_if_small(names), "source", "left_semi")
     sized = cut(with_tokens(listed, "text", ["doc_id", "source"], "n_tokens", folder, ranks).withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0))))
     totals = {r["source"]: (int(r["tokens"]), int(r["n"])) for r in sized.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("n")).toLocalIterator()}
     rates = plan(totals, asked, total_tokens)
     rate_rows = [(s, int(rates.get(s, 0.0) + _EDGE), max(0.0, rates.get(s, 0.0) - int(rates.get(s, 0.0) + _EDGE))) for s in asked]
     rate = docs.sparkSession.createDataFrame(rate_rows, "source string, base int, chance double")
-    start = sized.join(F.broadcast(rate), "source").withColumns({"base": F.when(F.col("n_tokens") > 0, F.col("base")).otherwise(0), "chance": F.when(F.col("n_tokens") > 0, F.col("chance")).otherwise(0.0)}).select("doc_id", "source", "n_tokens", "base", "chance")
+    start = sized.join(broadcast_if_small(rate), "source").withColumns({"base": F.when(F.col("n_tokens") > 0, F.col("base")).otherwise(0), "chance": F.when(F.col("n_tokens") > 0, F.col("chance")).otherwise(0.0)}).select("doc_id", "source", "n_tokens", "base", "chance")
     settled = f"chance <= {_EDGE} or chance >= {1 - _EDGE}"
     done = [start.where(settled)]
     flying = start.where(f"not ({settled})")
     largest = max((n for s, (_, n) in totals.items() if rates.get(s, 0.0) > 0), default=0)
     while True:
         blocks = max(1, -(-largest // block_docs))
-        flown = cut(flying.groupBy("source", spread("doc_id", blocks).alias("_block")).applyInPandas(_flight(blocks == 1), _FLOWN))
+        blocked = flying.withColumn("_block", spread("doc_id", blocks)).repartition(max(1, min(blocks * len(rates), MOST_TASKS)), "source", "_block")
+        flown = cut(blocked.groupBy("source", "_block").applyInPandas(_flight(blocks == 1, seed), _FLOWN))
         done.append(flown.where(settled))
         if blocks == 1:
             break

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.llm.canonical import map_to_list, misses
-from quillstone.llm.lookalike import canonical_sql, canonical_text, lookalike_pairs
+from quillstone.llm.lookalike import canonical_text, lookalike_members, lookalike_pairs
 from quillstone.llm.mixing import mix, share_report
 from quillstone.llm.packing import pack
 from quillstone.llm.sentences import sentence_offsets, sentences
@@ -95,8 +95,12 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalike_pairs(read_table(spark, d, "documents"))
 
 
+def p8_members(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike_members(read_table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_misses, p3_found, p3_pieces, p4_found, p4_sentences, p6_containers, p6_report, p7_mix, p7_shares, p8_found, p8_canonical)}
+    return {f.__name__: f for f in (p1_found, p1_misses, p3_found, p3_pieces, p4_found, p4_sentences, p6_containers, p6_report, p7_mix, p7_shares, p8_found, p8_canonical, p8_members)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -107,8 +111,43 @@ def oracle_sql() -> dict[str, str]:
             UNION
             SELECT DISTINCT 'abstract_text', pmid, CAST(-1 AS INTEGER) FROM bronze_paper
             WHERE pmid IS NOT NULL AND length(abstract_text) > (SELECT max_size FROM size_limits WHERE field_name = 'bronze_paper.abstract_text')""",
-        "p8_canonical": f"SELECT doc_id, {canonical_sql('text')} AS canonical_text FROM documents",
+        "p8_canonical": f"WITH {_forms_sql()} SELECT doc_id, form AS canonical_text FROM forms",
         "p8_found": f"""
-            WITH c AS (SELECT doc_id, text, {canonical_sql('text')} AS form FROM documents WHERE text IS NOT NULL AND text <> '')
+            WITH {_forms_sql()}, c AS (SELECT * FROM forms WHERE text <> '')
             SELECT a.doc_id AS doc_a, b.doc_id AS doc_b FROM c a JOIN c b ON a.form = b.form AND a.doc_id < b.doc_id AND a.text <> b.text""",
+        "p8_members": f"""
+            WITH {_forms_sql()}, c AS (SELECT * FROM forms WHERE text <> '')
+            SELECT a.doc_id, md5(a.form) AS class_id, count(*) AS n_links FROM c a JOIN c b ON a.form = b.form AND a.text <> b.text GROUP BY 1, 2""",
     }
+
+
+# Letters with the shape of a Latin letter, as the standard list of confusable characters has them.
+_LIKE_LATIN = "А=A В=B Е=E Ѕ=S І=I Ј=J К=K М=M Н=H О=O Р=P С=C Т=T У=Y Х=X Ү=Y а=a е=e ѕ=s і=i ј=j о=o р=p с=c у=y х=x ԁ=d һ=h ԛ=q ԝ=w Α=A Β=B Ε=E Ζ=Z Η=H Ι=I Κ=K Μ=M Ν=N Ο=O Ρ=P Τ=T Υ=Y Χ=X Ϲ=C ϳ=j ο=o ν=v ρ=p ϲ=c Օ=O ո=n ս=u ї=ï Ї=Ï ё=ë Ё=Ë"
+# Signs, and radicals that have no compatibility form, with what they look like.
+_LIKE_SIGNS = "‐=- ‑=- ;=; ·=· ⺁=厂 ⺄=乙 ⺈=刀 ⺋=㔾 ⺍=小 ⺕=彐 ⺜=日 ⺝=月 ⺟=母 ⺠=民 ⺥=爪 ⺧=牛 ⺨=犬 ⺬=示 ⺮=竹 ⺰=纟 ⺱=网 ⺳=网 ⺶=羊 ⺷=羊 ⺼=肉 ⺽=臼 ⺿=艹 ⻀=艹 ⻁=虎 ⻂=衤 ⻄=西 ⻅=见 ⻆=角 ⻈=讠 ⻉=贝 ⻋=车 ⻌=辶 ⻎=辶 ⻏=邑 ⻐=钅 ⻓=长 ⻔=门 ⻕=阜 ⻖=阜 ⻗=雨 ⻘=青 ⻙=韦 ⻚=页 ⻛=风 ⻜=飞 ⻝=食 ⻠=饣 ⻢=马 ⻤=鬼 ⻥=鱼 ⻦=鸟 ⻨=麦 ⻩=黄 ⻪=黾 ⻬=齐 ⻮=齿 ⻯=竜 ⻰=龙 ⻳=龟"
+
+
+def _forms_sql() -> str:
+    """The forms of documents character by character, by another way than the operator's: composed first, then the
+    library's whole compatibility form of each character that has one (save raised, lowered and circled signs,
+    fractions, and signs that stand for punctuation), then composed again."""
+    import unicodedata
+
+    like = dict(pair.split("=", 1) for pair in f"{_LIKE_LATIN} {_LIKE_SIGNS}".split())
+    kept = ("<super>", "<sub>", "<fraction>", "<circle>", "<vertical>")
+    rows = list(like.items())
+    for point in [*range(0xA0, 0xD7FF), *range(0xF900, 0x10000), *range(0x1D400, 0x1D800)]:
+        ch = chr(point)
+        whole = unicodedata.normalize("NFKC", ch)
+        how = unicodedata.decomposition(ch).split(" ")[0]
+        if ch in like or whole == ch or how in kept or unicodedata.category(ch) == "Cf":
+            continue
+        wide = how in ("<wide>", "<narrow>", "<noBreak>") or unicodedata.category(ch) == "Zs"
+        if wide or any(c.isalnum() for c in whole) and "(" not in whole or set(whole) == {"."} or not how.startswith("<"):
+            rows.append((ch, "".join(like.get(c, c) for c in whole)))
+    quoted = ", ".join(f"(chr({ord(a)}), {' || '.join(f'chr({ord(c)})' for c in b)})" for a, b in rows)
+    hidden = "regexp_replace(text, '[\\x{00AD}\\x{034F}\\x{061C}\\x{115F}\\x{1160}\\x{17B4}\\x{17B5}\\x{180B}-\\x{180F}\\x{200B}-\\x{200F}\\x{202A}-\\x{202E}\\x{2060}-\\x{206F}\\x{3164}\\x{FE00}-\\x{FE0F}\\x{FEFF}\\x{FFA0}\\x{FFF9}-\\x{FFFB}]', '', 'g')"
+    return f"""look AS (SELECT * FROM (VALUES {quoted}) v(a, b)),
+        parts AS (SELECT doc_id, text, unnest(string_split(nfc_normalize({hidden}), '')) AS ch, generate_subscripts(string_split(nfc_normalize({hidden}), ''), 1) AS n FROM documents WHERE text <> ''),
+        forms AS (SELECT doc_id, text, nfc_normalize(string_agg(coalesce(b, ch), '' ORDER BY n)) AS form FROM parts LEFT JOIN look ON a = ch GROUP BY doc_id, text
+            UNION ALL SELECT doc_id, text, text FROM documents WHERE text IS NULL OR text = '')"""

@@ -42,3 +42,23 @@ def test_shares(spark, tokens_dir, block):
     assert mix(docs, targets.limit(0), folder=tokens_dir).count() == 0 and mix(docs.limit(0), targets, folder=tokens_dir).count() == 0
     again = mix(docs.repartition(7), targets, block_docs=block, folder=tokens_dir)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, got.collect()))
+
+
+def test_chances_are_chances():
+    """Over many seeds each document is used as often as its chance says."""
+    rng = random.Random(9)
+    sizes = [float(rng.randint(1, 400)) for _ in range(40)]
+    p = [rng.random() for _ in sizes]
+    runs = 4000
+    mean = [0.0] * len(p)
+    for seed in range(runs):
+        for i, x in enumerate(fly(sizes, p, random.Random(seed))):
+            mean[i] += x / runs
+    assert max(abs(m - x) for m, x in zip(mean, p)) < 4.5 * 0.5 / runs**0.5
+
+
+def test_seeds_differ_and_repeat(spark, tokens_dir):
+    docs = spark.createDataFrame([(i, "word " * (1 + i % 17), "a" if i % 2 else "b") for i in range(300)], "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    used = [{r.doc_id for r in mix(docs, targets, total_tokens=800, seed=s, folder=tokens_dir).collect() if r.n_uses} for s in (1, 1, 2)]
+    assert used[0] == used[1] != used[2]
