@@ -18,8 +18,11 @@ from pyspark.sql import functions as F
 
 from quillstone.runtime import broadcast_if_small, cut, ship
 
-#: Words that follow a comma inside one term ("..., dried"); fixed values of this domain, a parameter elsewhere.
+# Words that follow a comma inside one term ("..., dried") whatever the data; others are learned.
 KEPT_TAILS = ("dried", "hot skin")
+#: Words after a comma are a tail if they stand so in this many values that can't be split at a comma, in more of them
+#: than stand alone, and in this share of all such values, which bounds the number of tails.
+LEAST_TAILS, TAIL_SHARE = 5, 0.0005
 
 _Q = '"'
 #: A quoted stretch counts as one only where a value can begin and end; other quotes are ordinary characters.
@@ -32,7 +35,7 @@ _STRONG = rf"[|;\t\r\n、，；]|(?<=\s)/(?=\s)|(?<=\s)·(?=\s)|(?<=[{_CJK}])·(
 
 def _comma(tails: tuple[str, ...]) -> str:
     kept = "|".join(map(re.escape, tails))
-    return rf"(?<!\d),|,(?!\d)" if not kept else rf"(?!,\s?(?:{kept})\b)(?:(?<!\d),|,(?!\d))"
+    return rf"(?<!\d),|,(?!\d)" if not kept else rf"(?!,\s?(?i:{kept})\b)(?:(?<!\d),|,(?!\d))"
 
 
 def _item(delimiter: str) -> str:
@@ -63,7 +66,7 @@ def skeleton(field: Column, people: bool = False, tails: tuple[str, ...] = KEPT_
         (_QUOTED, q),
         (_BRACKET, b),
         (r"(?s)[\r\n\t]+", "\n"),
-        *([(rf",\s?(?:{kept})\b", d)] if kept else []),
+        *([(rf",\s?(?i:{kept})\b", d)] if kept else []),
         (r"\d+(?:[.,]\d+)*", nine),
         (rf"[{_CJK}]+", c),
         (r"(?<![\p{L}])(?:Jr|Sr)\.", j),
@@ -126,6 +129,21 @@ def _resolve(people: bool):
     return run
 
 
+def learn_tails(fields: DataFrame, field: str) -> tuple[str, ...]:
+    """Words that belong to the term before their comma, in small letters: seen after one inside quotes or between
+    delimiters that are never part of a term, counted over all rows."""
+    flat = F.trim(field)
+    # quoted values everywhere, and what stands between strong delimiters; only fields that have either
+    whole = F.when(flat.rlike(r"[|;\t\r\n、，；]"), F.regexp_extract_all(flat, F.lit(rf"(?s){_item(_STRONG)}"), F.lit(0))).otherwise(F.regexp_extract_all(flat, F.lit(_QUOTED), F.lit(0)))
+    values = fields.where(flat.rlike(r'["|;\t\r\n、，；]')).select(F.explode(whole).alias("v")).select(F.lower(F.btrim("v", F.lit(' "\t\r\n'))).alias("v")).where("v <> ''")
+    tail = F.regexp_extract("v", r"(?<!\d),\s+(\p{L}[^,()\[\]\"]*)$", 1)
+    counted = values.select(F.when(tail != "", tail).otherwise(F.col("v")).alias("word"), (tail != "").alias("after"))
+    seen = cut(counted.groupBy("word").agg(F.count_if("after").alias("n"), F.count_if(~F.col("after")).alias("alone")))
+    every = seen.agg(F.coalesce(F.sum(F.col("n") + F.col("alone")), F.lit(0)).alias("n")).head()["n"]
+    kept = seen.where((F.col("n") >= max(LEAST_TAILS, TAIL_SHARE * every)) & (F.col("n") > F.col("alone")))
+    return tuple(r["word"] for r in kept.orderBy(F.desc("n"), "word").select("word").toLocalIterator())
+
+
 def resolve(skeletons: DataFrame, people: bool) -> DataFrame:
     """The rule of each distinct skeleton (`_skeleton`, `_rule`)."""
     return skeletons.distinct().mapInPandas(_resolve(people), "_skeleton string, _rule string")
@@ -157,9 +175,12 @@ def unpack(fields: DataFrame, *, field: str, people: bool = False, tails: tuple[
     The other columns of `fields` are kept, save those named like `pos` or `out` or beginning with an underscore, which
     go. A null or blank field, or one of delimiters alone, gives no row. Quotes that wrap a value go, doubled ones inside become
     single; quotes elsewhere and brackets belong to the value, as do delimiters within either. Repeated rows give
-    repeated rows. Texts of any length are taken whole.
+    repeated rows. Texts of any length are taken whole. A comma before `tails`, and before what `learn_tails` finds in
+    `fields`, parts nothing; fields of `people` need neither.
     """
     ship(fields.sparkSession)
+    if not people:
+        tails = tuple(dict.fromkeys((*tails, *learn_tails(fields, field))))
     kept = [c for c in fields.columns if c != field and c.lower() not in (pos.lower(), out.lower()) and not c.startswith("_")]
     known = fields.select(*kept, field).where(F.col(field).isNotNull() & (_strip(F.col(field)) != "")).withColumn("_skeleton", skeleton(F.col(field), people, tails))
     rules = broadcast_if_small(cut(resolve(known.select("_skeleton"), people)), 200_000)
@@ -171,6 +192,8 @@ def listed(fields: DataFrame, *, field: str, people: bool = False, tails: tuple[
     """Every row of `fields` with the values of column `field` in order as array `out`, empty for a null or blank field.
     The values are those of `unpack`."""
     ship(fields.sparkSession)
+    if not people:
+        tails = tuple(dict.fromkeys((*tails, *learn_tails(fields, field))))
     known = fields.withColumn("_skeleton", F.when(_strip(F.col(field)) != "", skeleton(F.col(field), people, tails)))
     rules = broadcast_if_small(cut(resolve(known.where("_skeleton is not null").select("_skeleton"), people)), 200_000)
     values = F.when(F.col("_skeleton").isNotNull(), _values(F.col(field), F.col("_rule"), tails)).otherwise(F.array().cast("array<string>"))

@@ -1,6 +1,6 @@
 import pytest
 
-from quillstone.operators.packed import rule_of, skeleton, unpack
+from quillstone.operators.packed import learn_tails, rule_of, skeleton, unpack
 
 CASES = [
     ('"Oil of Ridge"|"1,4-Ridge dimer"|"C13/18 Ridge esters"', False, ["Oil of Ridge", "1,4-Ridge dimer", "C13/18 Ridge esters"]),
@@ -63,3 +63,15 @@ def test_skeletons_do_not_grow_with_the_fields(spark):
 
 def test_rules():
     assert rule_of("w,w", False) == "comma" and rule_of("w,w", True) == "one" and rule_of("", False) == "one"
+
+
+def test_tails_are_learned(spark):
+    """What follows a comma inside quotes or between sure delimiters, again and again, parts nothing elsewhere either."""
+    rows = [(i, f'Term{i} X, sun-baked|Other {i}') for i in range(6)] + [(10, '"A, sun-baked", B'), (11, "Plain, Sun-baked, itch"), (12, "x, itch|itch|y"), (13, "itch, z")]
+    df = spark.createDataFrame(rows, "i int, f string")
+    assert learn_tails(df, "f") == ("sun-baked",)
+    got: dict[int, list] = {}
+    for r in unpack(df, field="f").collect():
+        got.setdefault(r.i, []).append((r.pos, r.item_value))
+    assert sorted(got[11]) == [(1, "Plain, Sun-baked"), (2, "itch")] and sorted(got[10]) == [(1, "A, sun-baked"), (2, "B")] and sorted(got[13]) == [(1, "itch"), (2, "z")]
+    assert learn_tails(df.limit(0), "f") == ()
