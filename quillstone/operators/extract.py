@@ -16,7 +16,7 @@ from quillstone.runtime import cut, ship
 
 RESPONSE = "struct<claims:array<struct<ingredient:string,claim_type:string,relation:string,target:string,target_category:string,evidence_direction:string,evidence_text:string,study_context:string,hedging:boolean,negation:boolean,confidence:double>>>"
 #: Phrases that rule a claimed target out.
-BLOCKED_TARGETS = ("perioperative", "blood loss", "surgery", "surgical", "carcinoma", "cancer", "tumor", "tumour", "microemulsion", "nanoemulsion", "drug delivery", "gene expression", "cell migration", "dermal papilla")
+BLOCKED_TARGETS = ("carcinoma", "cancer", "tumor", "tumour", "microemulsion", "nanoemulsion", "particle size", "release profile", "drug delivery", "cell migration", "dermal papilla", "gene expression", "therapy", "treatment", "blood loss", "perioperative")
 
 
 def cache_key(model: str, prompt: str, schema: str, question: Column) -> Column:

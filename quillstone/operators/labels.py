@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillstone.functions import cues as C
 from quillstone.functions import lexicon as L
 from quillstone.functions import text as T
 
@@ -40,7 +41,8 @@ def candidate_sentence(sentence: Column) -> Column:
 
 
 def study_design(sentence: Column) -> Column:
-    return ~result_heading(sentence) & (blocked_heading(sentence) | L.contains_any(sentence, L.STUDY_PHRASES))
+    """Whether a sentence tells how a study was made: by its heading or by a phrase, unless it is headed as a result."""
+    return ~result_heading(sentence) & (L.starts_any(sentence, C.DESIGN_HEADINGS) | L.contains_any(sentence, L.STUDY_PHRASES))
 
 
 def enumerates(sentence: Column, table: Mapping[str, str]) -> Column:
@@ -52,10 +54,9 @@ def enumerates(sentence: Column, table: Mapping[str, str]) -> Column:
 def excluded(sentence: Column, phrases: Column, whole_words: Sequence[str] = ()) -> Column:
     """Whether a sentence holds one of the phrases in an array column, as a whole word if it is one of `whole_words`."""
     low = F.lower(sentence)
-    return F.coalesce(
-        F.exists(phrases, lambda p: F.when(F.lower(p).isin(list(whole_words)), F.concat(F.lit(" "), F.regexp_replace(low, "[^a-z0-9+]+", " "), F.lit(" ")).contains(F.concat(F.lit(" "), F.lower(p), F.lit(" ")))).otherwise(low.contains(F.lower(p)))),
-        F.lit(False),
-    )
+    # the pattern of a phrase, read literally
+    bounded = lambda p: F.concat(F.lit(L.LEFT + r"\Q"), F.lower(p), F.lit(r"\E" + L.RIGHT))
+    return F.coalesce(F.exists(phrases, lambda p: F.when(F.lower(p).isin(list(whole_words)), F.regexp_like(low, bounded(p))).otherwise(low.contains(F.lower(p)))), F.lit(False))
 
 
 def rejected_target(target: Column, exact: Sequence[str], patterns: Sequence[str], hints: Sequence[str], most_words: int = 8) -> Column:
@@ -118,38 +119,86 @@ def modality(sentence: Column, claim_type: Column, relation: Column) -> Column:
     )
 
 
-def attribution(sentence: Column, name: Column, units: Column, aliases: Column | None = None) -> Column:
+def named(name: Column, text: Column, cues: Mapping[str, tuple[Sequence[str], Sequence[str]]] = C.MENTIONS) -> Column:
+    """Whether text mentions a name: as a whole word, or by one of its cues (whole words, parts of words).
+    A name without letter or digit is mentioned nowhere."""
+    low, flat = F.lower(text), F.lower(F.trim(name))
+    by_cue = F.lit(False)
+    for who, (whole, parts) in cues.items():
+        hit = F.lit(False)
+        if whole:
+            hit = hit | low.rlike(C.words(whole))
+        if parts:
+            hit = hit | L.contains_any(text, parts)
+        by_cue = F.when(flat == who, hit).otherwise(by_cue)
+    return F.coalesce((flat.rlike(r"[\p{L}\p{N}]") & F.regexp_like(low, F.concat(F.lit(L.LEFT + r"\Q"), flat, F.lit(r"\E" + L.RIGHT)))) | by_cue, F.lit(False))
+
+
+def primary_clause(sentence: Column, name: Column) -> Column:
+    """The first clause that mentions the name, else the whole; '' for null."""
+    whole = F.coalesce(F.trim(sentence), F.lit(""))
+    return F.coalesce(F.try_element_at(F.filter(L.clauses(whole), lambda c: named(name, c)), F.lit(1)), whole)
+
+
+def several_actives(clause: Column, units: Column) -> Column:
+    """Whether a clause ties the units named in it together: by listing lines, by a connector, or by standing within
+    twelve words of each other near a verb of effect, or within six."""
+    low = F.lower(clause)
+    lines = F.size(F.filter(units, lambda u: u.startswith("[line:")))
+    keys = F.filter(F.transform(F.filter(units, lambda u: ~u.startswith("[line:")), lambda u: F.lower(F.btrim(u, F.lit("[]")))), lambda k: F.length(k) > 2)
+    tokens = F.filter(F.split(F.trim(low), r"\s+"), lambda t: t != "")
+    at = F.array_compact(F.transform(tokens, lambda t, i: F.when(F.exists(keys, lambda k: t.contains(k)), i)))
+    first, span = F.array_min(at), F.array_max(at) - F.array_min(at)
+    begin = F.aggregate(F.slice(tokens, 1, F.coalesce(first, F.lit(0))), F.lit(0), lambda n, t: n + F.length(t) + 1)
+    low_end = F.greatest(begin - 80, F.lit(0))
+    near = F.substring(low, low_end + 1, begin + 120 - low_end)
+    close = (F.size(at) >= 2) & ((span <= 6) | ((span <= 12) & L.contains_any(near, L.EFFECT_VERBS)))
+    return F.coalesce((lines >= 2) | ((F.size(F.array_distinct(units)) >= 2) & (low.rlike(C.MULTI_CUE) | close)), F.lit(False))
+
+
+def attribution(sentence: Column, clause: Column, name: Column, units: Column, aliases: Column | None = None) -> Column:
     """What an effect is owed to: a procedure, a preparation, several actives, one active, or it is ambiguous.
 
-    `units` are the things named in the sentence; a single active becomes several if two or more are named, a list is
-    written or its members stand in lines.
+    `clause` is the primary clause and `units` the things named in it; `aliases` of the name count where it is not
+    mentioned itself. `reconciled` looks at the units of the whole sentence afterwards.
     """
     s = F.lower(F.coalesce(sentence, F.lit("")))
     n_units = F.size(F.array_distinct(units))
-    called = F.concat(F.array(name), aliases) if aliases is not None else F.array(name)
-    named = F.coalesce(F.exists(F.filter(called, lambda a: F.trim(a) != ""), lambda a: F.concat(F.lit(" "), F.regexp_replace(s, "[^a-z0-9]+", " "), F.lit(" ")).contains(F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(a), "[^a-z0-9]+", " ")), F.lit(" ")))), F.lit(False))
-    carrier = s.rlike(L.CARRIER)
+    called = named(name, clause) | named(name, sentence)
+    if aliases is not None:
+        called = called | F.coalesce(F.exists(aliases, lambda a: named(a, sentence, {})), F.lit(False))
+    carrier = s.rlike(C.CARRIER)
     return L.first_label(
         [
-            (s.rlike(L.ADJUNCT), "procedure_adjunct_combination"),
-            (s.rlike(L.AFTERCARE) & carrier, "post_procedure_recovery_formulation"),
-            (s.rlike(L.PROCEDURE) & ~carrier, "procedure_adjunct_combination"),
-            ((n_units >= 2) & s.rlike(L.MULTI_CUE), "multi_active_combination"),
-            (carrier & (n_units <= 1) & named, "single_formulation"),
-            (named & ((n_units >= 2) | s.rlike(L.ENUMERATION)), "multi_active_combination"),
-            (named, "single_active"),
+            (s.rlike(C.ADJUNCT), "procedure_adjunct_combination"),
+            (s.rlike(C.AFTERCARE) & carrier, "post_procedure_recovery_formulation"),
+            (s.rlike(C.PROCEDURE) & ~carrier, "procedure_adjunct_combination"),
+            ((n_units >= 2) & several_actives(clause, units), "multi_active_combination"),
+            (carrier & (n_units <= 1) & called, "single_formulation"),
+            (called, "single_active"),
         ],
         "ambiguous",
     )
 
 
+def reconciled(label: Column, sentence: Column, units: Column) -> Column:
+    """A single active becomes several where the sentence names two things, writes a list or is listing lines."""
+    several = (unit_count(units) >= 2) | list_guard(sentence) | (F.size(L.line_units(sentence, L.VERB_HINTS)) >= 2)
+    return F.when((label == "single_active") & several, "multi_active_combination").otherwise(label)
+
+
+def unit_count(units: Column) -> Column:
+    """Distinct units that are not blank; 0 for null."""
+    return F.coalesce(F.size(F.array_distinct(F.filter(F.transform(units, lambda u: F.trim(u)), lambda u: u != ""))), F.lit(0))
+
+
 def list_guard(sentence: Column) -> Column:
-    return F.coalesce(F.lower(sentence).rlike(L.ENUMERATION), F.lit(False))
+    return F.coalesce(F.lower(sentence).rlike(C.ENUMERATION), F.lit(False))
 
 
 def detection_suspect(sentence: Column, units: Column) -> Column:
     """A list is written but at most one unit was found."""
-    return list_guard(sentence) & (F.size(F.array_distinct(units)) <= 1)
+    return list_guard(sentence) & (unit_count(units) <= 1)
 
 
 def weight(*factors: tuple[Column, Mapping[str, float], float]) -> Column:

@@ -219,7 +219,7 @@ def effect_id_lists(spark: SparkSession, d: str) -> DataFrame:
 # ---- dictionary matching ----------------------------------------------------------------------------------------
 
 
-def _dictionary(spark: SparkSession, d: str, kind: str) -> dict[str, str]:
+def dictionary(spark: SparkSession, d: str, kind: str) -> dict[str, str]:
     """The reference names of one kind: a list of some hundred, read to the driver to become a pattern."""
     rows = read_table(spark, d, "canonical_terms").where(F.col("kind") == kind).orderBy("term_id").select("canonical_name").toLocalIterator()
     return L.alias_table([(r[0], r[0]) for r in rows])
@@ -228,7 +228,7 @@ def _dictionary(spark: SparkSession, d: str, kind: str) -> dict[str, str]:
 def _ingredients(spark: SparkSession, d: str) -> tuple[dict[str, str], dict[str, str]]:
     """Listed ingredient names, and those with every name and alias of the active targets: an alias stands for the
     query name of its target, of the last target if several have it, and never for another listed name."""
-    names = _dictionary(spark, d, "ingredient")
+    names = dictionary(spark, d, "ingredient")
     t = R.targets(read_table(spark, d, "issue26_sebum_targets")).where("trim(query_name) <> ''").select("ingredient_code", "query_name", "canonical_name", "alias_list").distinct()
     own = t.select("ingredient_code", "query_name", F.lit(0).alias("pos"), F.explode(F.array("canonical_name", "query_name")).alias("alias"))
     other = unpack(t.select("ingredient_code", "query_name", "alias_list"), field="alias_list", out="alias").select("ingredient_code", "query_name", "pos", "alias")
@@ -241,12 +241,12 @@ def _claim_sentences(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "gold_claim").where("claim_key is not null and source_sentence is not null").select("claim_key", "source_sentence", "ingredient_name", "target", "relation", "claim_type", "pmid", "chunk_index").distinct()
 
 
-@query("""SELECT claim_key, term AS subject_name FROM (
-    SELECT s.claim_key, t.canonical_name AS term, row_number() OVER (PARTITION BY s.claim_key, s.source_sentence ORDER BY length(t.canonical_name) DESC, t.term_id) AS rn FROM
-    (SELECT DISTINCT claim_key, source_sentence FROM gold_claim WHERE claim_key IS NOT NULL AND source_sentence IS NOT NULL) s JOIN canonical_terms t ON t.kind = 'target' AND regexp_matches(lower(s.source_sentence), '\\b' || lower(t.canonical_name) || '\\b')) WHERE rn = 1""")
+@query("""SELECT claim_key, term AS subject_name FROM (SELECT s.claim_key, t.canonical_name AS term, row_number() OVER (PARTITION BY s.claim_key, s.source_sentence ORDER BY length(t.canonical_name) DESC, t.term_id) AS rn FROM
+    (SELECT DISTINCT claim_key, source_sentence, ' ' || regexp_replace(lower(source_sentence), '[^\\p{L}\\p{N}_]+', ' ', 'g') || ' ' AS flat FROM gold_claim WHERE claim_key IS NOT NULL AND source_sentence IS NOT NULL) s
+    JOIN canonical_terms t ON t.kind = 'target' AND contains(lower(s.source_sentence), lower(t.canonical_name)) AND contains(s.flat, ' ' || regexp_replace(lower(t.canonical_name), '[^\\p{L}\\p{N}_]+', ' ', 'g') || ' ')) WHERE rn = 1""")
 def target_mentions(spark: SparkSession, d: str) -> DataFrame:
     """The longest target named in each claim sentence."""
-    table = _dictionary(spark, d, "target")
+    table = dictionary(spark, d, "target")
     s = read_table(spark, d, "gold_claim").where("claim_key is not null and source_sentence is not null").select("claim_key", "source_sentence").distinct()
     best = L.best_alias(L.alias_matches(F.col("source_sentence"), table), table)
     return s.select("claim_key", L.name_of(best, table).alias("subject_name")).where("subject_name is not null")
@@ -266,8 +266,12 @@ def ingredient_subjects(spark: SparkSession, d: str) -> DataFrame:
 def detection_units(spark: SparkSession, d: str) -> DataFrame:
     """What each sentence names, and how an effect in it is attributed."""
     names, table = _ingredients(spark, d)
-    s = _claim_sentences(spark, d).withColumn("units", L.detected_units(F.col("source_sentence"), table, L.DETECTION_TAGS, L.VERB_HINTS, names))
-    return s.select("claim_key", F.array_join("units", "|").alias("units"), F.size("units").alias("n_units"), B.attribution(F.col("source_sentence"), F.col("ingredient_name"), F.col("units")).alias("attribution"), B.list_guard(F.col("source_sentence")).alias("lists"), B.detection_suspect(F.col("source_sentence"), F.col("units")).alias("suspect"))
+    units = lambda c: L.detected_units(c, table, L.DETECTION_TAGS, L.VERB_HINTS, names)
+    s = _claim_sentences(spark, d).withColumn("clause", B.primary_clause(F.col("source_sentence"), F.col("ingredient_name"))).withColumn("units", units(F.col("source_sentence")))
+    # most sentences are one clause, whose units are known already
+    s = s.withColumn("_own", F.when(F.col("clause") == F.trim("source_sentence"), F.col("units")).otherwise(units(F.col("clause"))))
+    label = B.reconciled(B.attribution(F.col("source_sentence"), F.col("clause"), F.col("ingredient_name"), F.col("_own")), F.col("source_sentence"), F.col("units"))
+    return s.select("claim_key", F.array_join("units", "|").alias("units"), F.size("units").alias("n_units"), label.alias("attribution"), B.list_guard(F.col("source_sentence")).alias("lists"), B.detection_suspect(F.col("source_sentence"), F.col("units")).alias("suspect"))
 
 
 _TAX = {"FLAKE": ("flak", "desquamation", "peel"), "SEBUM": ("sebum", "oil", "shine"), "REDNESS": ("redness", "erythema"), "BARRIER": ("barrier", "water loss"), "MARKS": ("marks", "melanin", "spot")}
