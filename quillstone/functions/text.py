@@ -171,8 +171,8 @@ def safe_int(text: Column) -> Column:
 
 
 def float_int(text: Column) -> Column:
-    """The whole part of a number, or null."""
-    return F.trim(text).try_cast("double").cast("int")
+    """The whole part of a number, or null for other text, NaN and numbers that are no int."""
+    return F.trim(text).try_cast("double").try_cast("int")
 
 
 def pipe_ints(text: Column) -> Column:

@@ -18,6 +18,7 @@ from quillstone.functions import text as T
 from quillstone.operators import claims as K
 from quillstone.operators import labels as B
 from quillstone.plans.evidence import dictionary
+from quillstone.plans.rules_sql import COMPATIBLE_SQL, REJECTED_SQL, TARGET_SQL, pick, pick_sql, target_flat_sql
 from quillstone.runtime import broadcast_if_small, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,28 +48,19 @@ _ENDINGS = (
 _NAMES = ("Niacinamide", "Tranexamic acid", "Panthenol", "Hyaluronic acid", "Ascorbic acid", "Centella asiatica", "Madecassoside", "Retinol", "Coenzyme Q10", "Ceramide np c15", "")
 
 
-def _pick(options: tuple[str, ...], number: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, options)), (number % len(options) + 1).cast("int"))
-
-
-def _pick_sql(options: tuple[str, ...], number: str) -> str:
-    text = ", ".join("'" + o.replace("'", "''").replace("\n", "' || chr(10) || '") + "'" for o in options)
-    return f"([{text}])[({number}) % {len(options)} + 1]"
-
-
 def _probes(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     """Claims with their sentence `s` set between an opening and an ending, and a `name`."""
     g = read_table(spark, d, "gold_claim").where("claim_key is not null and source_sentence is not null").select("claim_key", "source_sentence", "ingredient_name", *columns).distinct()
     n = F.length("source_sentence")
-    s = F.concat(_pick(_OPENINGS, n), F.trim("source_sentence"), _pick(_ENDINGS, F.floor(n / 3)))
-    name = F.when(n % 2 == 0, _pick(_NAMES, F.floor(n / 5))).otherwise(F.col("ingredient_name"))
+    s = F.concat(pick(_OPENINGS, n), F.trim("source_sentence"), pick(_ENDINGS, F.floor(n / 3)))
+    name = F.when(n % 2 == 0, pick(_NAMES, F.floor(n / 5))).otherwise(F.col("ingredient_name"))
     return g.select("claim_key", s.alias("s"), name.alias("name"), *columns)
 
 
 def _probes_sql(*columns: str) -> str:
     more = "".join(f", {c}" for c in columns)
-    return f"""(SELECT claim_key, {_pick_sql(_OPENINGS, 'length(source_sentence)')} || trim(source_sentence, ' ') || {_pick_sql(_ENDINGS, 'length(source_sentence) // 3')} AS s,
-        CASE WHEN length(source_sentence) % 2 = 0 THEN {_pick_sql(_NAMES, 'length(source_sentence) // 5')} ELSE ingredient_name END AS name{more} FROM (SELECT DISTINCT claim_key, source_sentence, ingredient_name{more} FROM gold_claim WHERE claim_key IS NOT NULL AND source_sentence IS NOT NULL))"""
+    return f"""(SELECT claim_key, {pick_sql(_OPENINGS, 'length(source_sentence)')} || trim(source_sentence, ' ') || {pick_sql(_ENDINGS, 'length(source_sentence) // 3')} AS s,
+        CASE WHEN length(source_sentence) % 2 = 0 THEN {pick_sql(_NAMES, 'length(source_sentence) // 5')} ELSE ingredient_name END AS name{more} FROM (SELECT DISTINCT claim_key, source_sentence, ingredient_name{more} FROM gold_claim WHERE claim_key IS NOT NULL AND source_sentence IS NOT NULL))"""
 
 
 # The lists of the rules as patterns of the SQL, written without those of the library.
@@ -157,11 +149,11 @@ def _claims(spark: SparkSession, d: str) -> DataFrame:
     n = F.length("source_sentence")
     p = _probes(spark, d, "source_sentence", "target", "relation", "claim_type", "evidence_direction", "confidence_score", "target_category")
     fields = {
-        "target": F.when(n % 3 > 0, _pick(_TARGETS, F.floor(n / 3))).otherwise(F.col("target")),
-        "relation": F.when(n % 4 > 0, _pick(_RELATIONS, F.floor(n / 4))).otherwise(F.col("relation")),
+        "target": F.when(n % 3 > 0, pick(_TARGETS, F.floor(n / 3))).otherwise(F.col("target")),
+        "relation": F.when(n % 4 > 0, pick(_RELATIONS, F.floor(n / 4))).otherwise(F.col("relation")),
         "confidence": F.when(n % 11 == 0, "high").otherwise((F.col("confidence_score") * 1.25).cast("string")),
-        "study_context": _pick((*C.STUDY_CONTEXTS, "rumour"), F.floor(n / 2)),
-        "target_category": _pick((*C.TARGET_CATEGORIES, "odd"), F.floor(n / 6)),
+        "study_context": pick((*C.STUDY_CONTEXTS, "rumour"), F.floor(n / 2)),
+        "target_category": pick((*C.TARGET_CATEGORIES, "odd"), F.floor(n / 6)),
         "evidence_direction": F.when(n % 13 > 0, F.col("evidence_direction")).otherwise(F.lit(" refutes ")),
         "claim_type": F.when(n % 17 > 0, F.col("claim_type")).otherwise(F.lit("")),
     }
@@ -170,27 +162,12 @@ def _claims(spark: SparkSession, d: str) -> DataFrame:
     return K.normal_names(p.withColumns(fields), "name", names.unionByName(terms)).withColumn("source_sentence", F.col("s"))
 
 
-_S_T = f"CASE WHEN length(source_sentence) % 3 > 0 THEN {_pick_sql(_TARGETS, 'length(source_sentence) // 3')} ELSE target END"
+_S_T = f"CASE WHEN length(source_sentence) % 3 > 0 THEN {pick_sql(_TARGETS, 'length(source_sentence) // 3')} ELSE target END"
 _S_CLAIMS = f"""(SELECT p.*, coalesce(a.canonical_name, CASE WHEN regexp_matches(lower(trim(name, ' ')), '^ceramide(\\s+[a-z0-9]+)+$') THEN 'Ceramide' END) AS normal_name FROM (SELECT claim_key, s, name, {_S_T} AS target,
-        CASE WHEN length(source_sentence) % 4 > 0 THEN {_pick_sql(_RELATIONS, 'length(source_sentence) // 4')} ELSE relation END AS relation, CASE WHEN length(source_sentence) % 11 > 0 THEN confidence_score * 1.25 END AS confidence,
-        {_pick_sql((*C.STUDY_CONTEXTS, 'rumour'), 'length(source_sentence) // 2')} AS study_context, {_pick_sql((*C.TARGET_CATEGORIES, 'odd'), 'length(source_sentence) // 6')} AS target_category, CASE WHEN length(source_sentence) % 13 > 0 THEN trim(evidence_direction) ELSE 'refutes' END AS evidence_direction,
+        CASE WHEN length(source_sentence) % 4 > 0 THEN {pick_sql(_RELATIONS, 'length(source_sentence) // 4')} ELSE relation END AS relation, CASE WHEN length(source_sentence) % 11 > 0 THEN confidence_score * 1.25 END AS confidence,
+        {pick_sql((*C.STUDY_CONTEXTS, 'rumour'), 'length(source_sentence) // 2')} AS study_context, {pick_sql((*C.TARGET_CATEGORIES, 'odd'), 'length(source_sentence) // 6')} AS target_category, CASE WHEN length(source_sentence) % 13 > 0 THEN trim(evidence_direction) ELSE 'refutes' END AS evidence_direction,
         CASE WHEN length(source_sentence) % 17 > 0 THEN trim(claim_type) ELSE '' END AS claim_type FROM {_probes_sql('source_sentence', 'target', 'relation', 'claim_type', 'evidence_direction', 'confidence_score')}) p
     LEFT JOIN (SELECT lower(canonical_name) AS alias, canonical_name FROM canonical_terms WHERE kind = 'ingredient' UNION SELECT lower(x), x FROM (SELECT unnest([{', '.join(f"'{n}'" for n in _NAMES if n)}]) AS x)) a ON a.alias = lower(trim(name, ' ')))"""
-# Rewritings of targets in the SQL, and lists of targets that are none.
-_S_FLAT = "lower(trim(regexp_replace(trim(target, ' '), '\\s+', ' ', 'g'), ' .;,:()[]{}'))"
-for _a, _b in (
-    ("\\bpost inflammatory hyperpigmentation\\b", "post-inflammatory hyperpigmentation"), ("\\blaser induced post inflammatory hyperpigmentation\\b", "laser-induced post-inflammatory hyperpigmentation"), ("\\blaser-induced pih\\b", "laser-induced post-inflammatory hyperpigmentation"),
-    ("\\bpih\\b", "post-inflammatory hyperpigmentation"), ("\\bphoto damaged\\b", "photo-damaged"), ("\\bphotoaging\\b", "facial photoaging"), ("\\btolerability / tolerance\\b", "tolerability"), ("\\btolerance / tolerability\\b", "tolerability"), ("\\btolerance\\b", "tolerability"),
-):
-    _S_FLAT = f"regexp_replace({_S_FLAT}, '{_a}', '{_b}', 'g')"
-TARGET_SQL = """CASE WHEN {0} IN ('barrier', 'skin barrier', 'barrier function', 'skin barrier function') THEN 'skin barrier function' WHEN {0} IN ('transepidermal water loss', 'tewl', 'increased transepidermal water loss', 'reduced transepidermal water loss') THEN 'transepidermal water loss'
-    WHEN {0} IN ('hydration', 'skin hydration', 'cutaneous hydration') THEN 'hydration' WHEN {0} IN ('erythema', 'skin erythema', 'facial erythema', 'redness') THEN 'erythema' WHEN {0} IN ('melasma severity', 'melasma') THEN 'melasma'
-    WHEN {0} IN ('hyperpigmentation', 'facial hyperpigmentation') THEN 'hyperpigmentation' WHEN {0} = 'uv-induced immunosuppression' THEN 'UV-induced immunosuppression' ELSE {0} END"""
-_S_EXACT = "benefit|benefits|effect|effects|effectiveness|outcome|outcomes|properties|treatment|treatments|topical treatment|topical treatments|effectiveness of topical treatments|patient outcomes|blood loss|perioperative bleeding|perioperative bleeding treatment|fibrinolysis|systemic txa levels|seroma risk|reparative effects|anti-inflammatory effects|protective metabolites|therapeutic option|clinical improvement|unknown|ven|surgical contexts|microemulsion area|cell migration|dermal papilla cells|dpcs|anti-acne therapies|peristomal skin complications|gingival pigmentation|gingival melanin|gingival"
-_S_NOT_HERE = "perioperative|blood loss|fibrinolysis|systemic txa|seroma risk|surgery|surgical|ostomy|ven|clinical improvement|topical treatment|therapeutic option|protective metabolite|carcinoma|cancer|tumor|tumour|microemulsion|nanoemulsion|particle size|release profile|encapsulation efficiency|drug delivery|transdermal delivery|dermal papilla|dpc|cell migration|gene expression|mrna|protein expression|fibroblast proliferation|keratinocyte proliferation|anti-acne therap|peristomal|stoma|gingival|rhinitis|rhinosinusitis|nasal obstruction"
-_S_HINT = "skin|facial|barrier|hydration|hydrate|moistur|xerosis|transepidermal water loss|tewl|pigmentation|melasma|photoaging|photo-damaged|photodamaged|wrinkle|elasticity|erythema|redness|irritation|acne|sebum|oiliness|oil control|pore|exfoliation|keratolytic|keratolysis|peeling|desquamation|texture|roughness|dullness|immunosuppression|pih|tolerance|tolerability"
-REJECTED_SQL = f"({{0}} = '' OR regexp_matches({{0}}, '^({_S_EXACT})$') OR regexp_matches({{0}}, '{_S_NOT_HERE}') OR len(list_filter(regexp_split_to_array(trim({{0}}, ' '), '\\s+'), lambda w: w <> '')) > 8 OR NOT regexp_matches({{0}}, '{_S_HINT}'))"
-COMPATIBLE_SQL = "CASE lower(trim({1}, ' ')) WHEN 'stimulates' THEN NOT regexp_matches({0}, 'cell|migration') WHEN 'increases' THEN regexp_matches({0}, 'hydration|tolerability|elasticity|tolerance') WHEN 'causes' THEN regexp_matches({0}, 'irritation|erythema|redness|sensitivity') WHEN 'does_not_cause' THEN regexp_matches({0}, 'irritation|erythema|redness|sensitivity') ELSE true END"
 _S_PREFIX = "(topical(ly)?\\s+|oral\\s+|application of\\s+|treatment with\\s+|use of\\s+|the use of\\s+|using\\s+|with\\s+|post-treatment with\\s+)?"
 _S_TABLE = f"(SELECT canonical_name AS n, term_id AS r FROM canonical_terms WHERE kind = 'ingredient' UNION ALL SELECT x, 100000 + i FROM (SELECT unnest([{', '.join(f"'{n}'" for n in _NAMES if n)}]) AS x, generate_subscripts([{', '.join('0' for n in _NAMES if n)}], 1) AS i))"
 
@@ -212,7 +189,7 @@ def _subject_sql(rows: str) -> str:
     return f"""(SELECT t AS s, arg_min(n, struct_pack(a := NOT front, b := -length(n), c := r)) AS subject FROM (SELECT t, n, r, {front} AS front FROM (SELECT *, regexp_replace(bare, '^{_S_PREFIX}', '') AS rest FROM (SELECT DISTINCT s AS t, {flat_sql('s')} AS flat, lower({_S_BARE}) AS bare FROM {rows})) x JOIN {_S_NAMES} names ON {_S_STANDS}) GROUP BY t)"""
 
 
-@query(f"""WITH c AS (SELECT *, {_S_FLAT} AS f FROM {_S_CLAIMS}), v AS (SELECT *, {TARGET_SQL.format('f')} AS t FROM c), sub AS {_subject_sql('c')}
+@query(f"""WITH c AS (SELECT *, {target_flat_sql('target')} AS f FROM {_S_CLAIMS}), v AS (SELECT *, {TARGET_SQL.format('f')} AS t FROM c), sub AS {_subject_sql('c')}
     SELECT DISTINCT claim_key, normal_name, t AS target, trim(relation, ' ') AS relation, coalesce(CAST(confidence AS DOUBLE), 0) AS confidence FROM v LEFT JOIN sub USING (s)
     WHERE normal_name IS NOT NULL AND NOT {_S_LIKE['elsewhere']} AND subject = normal_name AND trim(target, ' ') <> '' AND NOT {REJECTED_SQL.format('t')} AND trim(relation, ' ') <> '' AND {COMPATIBLE_SQL.format('t', 'relation')} AND claim_type <> '' AND evidence_direction <> ''""")
 def validated_claims(spark: SparkSession, d: str) -> DataFrame:
@@ -296,16 +273,16 @@ _S_TWORDS = "list_slice(regexp_extract_all(lower(coalesce(target, '')), '[a-z]{4
     c AS (SELECT *, coalesce(list_filter({_S_CLAUSES}, lambda c: len(list_filter({_S_TWORDS}, lambda w: contains(c, w))) > 0)[1], list_filter({_S_CLAUSES}, lambda c: regexp_matches(c, '{_S_VERBS}'))[-1], lower(s)) AS scored FROM p),
     g AS (SELECT *, CASE WHEN {_has(_S_NOT_SIG, 'scored')} THEN 'not_significant' WHEN {_has(_S_SIG, 'scored')} THEN 'significant' WHEN (lower(trim(coalesce(claim_type, ''))) = 'safety' OR lower(trim(coalesce(relation, ''))) IN ('is_well_tolerated_for', 'is_safe_for')) AND {_has('tolerat|safe', 'scored')} THEN 'not_applicable' WHEN lower(trim(coalesce(claim_type, ''))) = 'mechanism' AND NOT {_has('efficacy|improv', 'scored')} THEN 'not_applicable' ELSE 'unclear' END AS significance FROM c),
     t AS (SELECT *, CASE WHEN significance = 'not_significant' THEN 'weak' WHEN {_has(_S_STRONG)} THEN 'strong' WHEN {_has(_S_WEAK)} THEN 'weak' WHEN {_has(_S_MODERATE)} THEN 'moderate' WHEN (regexp_matches(lower(trim(s, ' ')), '^(conclusion|results:|result:)') OR contains(substr(lower(trim(s, ' ')), 1, 50), 'conclusion:')) AND {_has('effective|decreased|improvement|repair|barrier')} THEN 'moderate' ELSE 'weak' END AS strength FROM g)
-    SELECT DISTINCT claim_key, significance, strength, {_pick_sql((*C.STUDY_CONTEXTS, 'odd'), 'chunk_index')} AS study_context, round(CASE strength WHEN 'strong' THEN 1.0 WHEN 'moderate' THEN 0.75 ELSE 0.35 END::DOUBLE * CASE significance WHEN 'significant' THEN 1.0 WHEN 'not_applicable' THEN 0.7 WHEN 'not_significant' THEN 0.05 ELSE 0.8 END::DOUBLE
-        * CASE {_pick_sql((*B.ATTRIBUTION_WEIGHT, 'odd'), 'length(s)')} WHEN 'single_active' THEN 1.0 WHEN 'single_formulation' THEN 0.8 WHEN 'multi_active_combination' THEN 0.45 WHEN 'procedure_adjunct_combination' THEN 0.35 WHEN 'procedure_combination' THEN 0.35 WHEN 'post_procedure_recovery_formulation' THEN 0.72 ELSE 0.2 END::DOUBLE
-        * CASE {_pick_sql((*C.STUDY_CONTEXTS, 'odd'), 'chunk_index')} WHEN 'human_topical' THEN 1.0 WHEN 'human_oral' THEN 0.95 WHEN 'human_intradermal' THEN 0.9 WHEN 'in_vitro' THEN 0.4 WHEN 'animal' THEN 0.65 WHEN 'review' THEN 0.5 ELSE 0.75 END::DOUBLE, 6) AS row_weight FROM t""")
+    SELECT DISTINCT claim_key, significance, strength, {pick_sql((*C.STUDY_CONTEXTS, 'odd'), 'chunk_index')} AS study_context, round(CASE strength WHEN 'strong' THEN 1.0 WHEN 'moderate' THEN 0.75 ELSE 0.35 END::DOUBLE * CASE significance WHEN 'significant' THEN 1.0 WHEN 'not_applicable' THEN 0.7 WHEN 'not_significant' THEN 0.05 ELSE 0.8 END::DOUBLE
+        * CASE {pick_sql((*B.ATTRIBUTION_WEIGHT, 'odd'), 'length(s)')} WHEN 'single_active' THEN 1.0 WHEN 'single_formulation' THEN 0.8 WHEN 'multi_active_combination' THEN 0.45 WHEN 'procedure_adjunct_combination' THEN 0.35 WHEN 'procedure_combination' THEN 0.35 WHEN 'post_procedure_recovery_formulation' THEN 0.72 ELSE 0.2 END::DOUBLE
+        * CASE {pick_sql((*C.STUDY_CONTEXTS, 'odd'), 'chunk_index')} WHEN 'human_topical' THEN 1.0 WHEN 'human_oral' THEN 0.95 WHEN 'human_intradermal' THEN 0.9 WHEN 'in_vitro' THEN 0.4 WHEN 'animal' THEN 0.65 WHEN 'review' THEN 0.5 ELSE 0.75 END::DOUBLE, 6) AS row_weight FROM t""")
 def evidence_labels(spark: SparkSession, d: str) -> DataFrame:
     """Significance, strength and the weight of a row by four labels."""
     p = _probes(spark, d, "target", "relation", "claim_type", "chunk_index")
     s = F.col("s")
     p = p.withColumn("significance", B.significance(s, F.col("target"), F.col("claim_type"), F.col("relation")))
     p = p.withColumn("strength", B.strength(s, F.col("significance")))
-    p = p.withColumns({"study_context": _pick((*C.STUDY_CONTEXTS, "odd"), F.col("chunk_index")), "_label": _pick((*B.ATTRIBUTION_WEIGHT, "odd"), F.length("s"))})
+    p = p.withColumns({"study_context": pick((*C.STUDY_CONTEXTS, "odd"), F.col("chunk_index")), "_label": pick((*B.ATTRIBUTION_WEIGHT, "odd"), F.length("s"))})
     w = B.weight((F.col("strength"), B.STRENGTH_WEIGHT, 0.35), (F.col("significance"), B.SIGNIFICANCE_WEIGHT, 0.8), (F.col("_label"), B.ATTRIBUTION_WEIGHT, 0.2), (F.col("study_context"), B.CONTEXT_WEIGHT, 0.75))
     return p.select("claim_key", "significance", "strength", "study_context", w.alias("row_weight")).distinct()
 

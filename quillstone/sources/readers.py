@@ -85,6 +85,8 @@ def seed_rows(sql_text: Column, columns: int) -> Column:
     return F.transform(F.regexp_extract_all(sql_text, F.lit(f"({row})"), F.lit(1)), lambda r: F.transform(F.slice(F.regexp_extract_all(r, F.lit(r"'((?:[^']|'')*)'"), F.lit(1)), 1, columns), lambda c: F.replace(c, F.lit("''"), F.lit("'"))))
 
 
+# Fixed value: where a paper is read, before its id.
+PAPER_URL = "https://pubmed.ncbi.nlm.nih.gov/"
 _AUTHOR = "struct<LastName:string,ForeName:string,CollectiveName:string>"
 ARTICLE = (
     "struct<MedlineCitation:struct<PMID:string,Article:struct<ArticleTitle:string,Journal:struct<Title:string,JournalIssue:struct<PubDate:struct<Year:string,MedlineDate:string>>>,"
@@ -93,16 +95,20 @@ ARTICLE = (
 )
 
 
+#: Marks of style and formulas inside running text, whose own text belongs to it.
+_INLINE = r"</?(?:i|b|u|em|strong|sub|sup|DispFormula|mml:\w+)(?:\s[^<>]*)?/?>"
+
+
 def _text(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
 def parse_articles(xml: Column) -> Column:
-    """struct of pmid, title, abstract_text, journal, publication_year, authors, doi, pmcid and source parts of one
-    article element as text. Labelled sections become 'LABEL: text' lines; a year that is no number comes from the
+    """struct of pmid, title, abstract_text, journal, publication_year, authors, doi, pmcid and source_url of one
+    article element as text. Text of marks inside running text stays, the marks go. Labelled sections become 'LABEL: text' lines; a year that is no number comes from the
     free date; a collective author goes before a personal name; the first DOI and PMC id count."""
     # in a lambda the element is parsed once, not for each field
-    return F.get(F.transform(F.array(F.from_xml(xml, ARTICLE, {"attributePrefix": "_", "valueTag": "_VALUE"})), _article), F.lit(0))
+    return F.get(F.transform(F.array(F.from_xml(F.regexp_replace(xml, _INLINE, ""), ARTICLE, {"attributePrefix": "_", "valueTag": "_VALUE"})), _article), F.lit(0))
 
 
 def _article(a: Column) -> Column:
@@ -126,6 +132,7 @@ def _article(a: Column) -> Column:
         joined(authors, "; ").alias("authors"),
         _text(first(art["ELocationID"], "_EIdType", "doi")).alias("doi"),
         _text(first(a["PubmedData"]["ArticleIdList"]["ArticleId"], "_IdType", "pmc")).alias("pmcid"),
+        F.concat(F.lit(PAPER_URL), pmid, F.lit("/")).alias("source_url"),
     )
 
 
