@@ -187,6 +187,15 @@ def clamp(x: Column, low: float, high: float) -> Column:
 
 def dict_cell_to_json(cell: Column) -> Column:
     """A cell that holds a dictionary as Python writes it, as JSON without its false values; null if nothing is left."""
-    text = F.regexp_replace(F.regexp_replace(F.regexp_replace(cell, r"\bNone\b", "null"), r"\bTrue\b", "true"), r"\bFalse\b", "false")
+    # words of Python outside quotes become those of JSON; what quotes hold stays
+    parts = F.regexp_extract_all(cell, F.lit(r"""(?s)'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"]+"""), F.lit(0))
+    plain = lambda p: F.regexp_replace(F.regexp_replace(F.regexp_replace(p, r"\bNone\b", "null"), r"\bTrue\b", "true"), r"\bFalse\b", "false")
+    text = F.array_join(F.transform(parts, lambda p: F.when(p.startswith("'") | p.startswith('"'), p).otherwise(plain(p))), "")
     kept = F.map_filter(F.from_json(text, "map<string,string>", {"allowSingleQuotes": "true"}), lambda k, v: v.isNotNull() & ~v.isin("", "0", "0.0", "false"))
     return F.when(F.size(kept) > 0, F.to_json(kept))
+
+
+def title_case(text: Column) -> Column:
+    """Each letter after something that is no letter as a capital, the others small: "alpha-arbutin 2b" as "Alpha-Arbutin 2B"."""
+    parts = F.split(F.lower(text), r"(?<=\P{L})(?=\p{L})")
+    return F.array_join(F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 2**31 - 1))), "")

@@ -103,3 +103,36 @@ def build_targets(rows: DataFrame, functions: str, keywords: dict[str, str], cat
     kinds = F.filter(F.transform(names, lambda f: lit_map(categories)[f]), lambda c: c.isNotNull())
     active = (F.size(names) == 0) | F.exists(names, lambda f: ~f.isin(list(inactive)))
     return rows.where(active).withColumns({"category": F.coalesce(F.try_element_at(kinds, F.lit(1)), F.lit(other)), "keywords": F.array_join(dedup_ci(words), "|")})
+
+
+def union_ids(rows: DataFrame, key: str, ids: dict[str, str]) -> DataFrame:
+    """Per key the sorted distinct numbers in each array column, joined by '|' under the name given; first within a row
+    of the key's parts, so that no part carries more than it adds."""
+    none = F.array().cast("array<int>")
+    cells = [rows.where(F.col(key).isNotNull()).select(F.col(key), F.lit(i).alias("_i"), F.explode(F.coalesce(F.col(c), none)).alias("_v")).distinct() for i, c in enumerate(ids)]
+    flat = cells[0]
+    for c in cells[1:]:
+        flat = flat.unionByName(c)
+    lists = [F.array_join(F.array_sort(F.collect_list(F.when(F.col("_i") == i, F.col("_v")))), "|").alias(name) for i, name in enumerate(ids.values())]
+    found = flat.groupBy(key).agg(*lists)
+    every = rows.where(F.col(key).isNotNull()).select(key).distinct()
+    return every.join(found, key, "left").select(key, *(F.coalesce(n, F.lit("")).alias(n) for n in ids.values()))
+
+
+def caution(rows: DataFrame, *, node: str, concern_ids: str, paper: str, weight: str, relation: str, direction: str, attribution: str, concerns: DataFrame, attributions: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(edges, funnel) of what causes a concern.
+
+    Rows count if they say 'causes' and 'supports', name one of `concerns` (concern_id, concern_code), their attribution
+    is one of `attributions` and their node is known (not null). Edges are (node, concern_code, graph_score,
+    paper_count); the funnel is one row: scanned, causes_supports, dropped_attribution, unmapped, selected.
+    """
+    from quillstone.runtime import broadcast_if_small
+
+    ids = sorted({r["concern_id"] for r in concerns.select("concern_id").distinct().toLocalIterator()})  # of a taxonomy: some dozen
+    seen = rows.withColumn("_hit", F.array_intersect(F.coalesce(F.col(concern_ids), F.array().cast("array<int>")), F.array(*map(F.lit, ids)).cast("array<int>")))
+    causes = F.coalesce((F.col(relation) == "causes") & (F.col(direction) == "supports") & (F.size("_hit") > 0), F.lit(False))
+    owed = F.coalesce(F.col(attribution).isin(list(attributions)), F.lit(False))
+    mapped = F.col(node).isNotNull()
+    funnel = seen.agg(F.count(F.lit(1)).alias("scanned"), F.count_if(causes).alias("causes_supports"), F.count_if(causes & ~owed).alias("dropped_attribution"), F.count_if(causes & owed & ~mapped).alias("unmapped"), F.count_if(causes & owed & mapped).alias("selected"))
+    chosen = seen.where(causes & owed & mapped).select(node, paper, weight, F.explode("_hit").alias("concern_id")).join(broadcast_if_small(concerns), "concern_id")
+    return paper_support(chosen, [node, "concern_code"], paper, weight), funnel

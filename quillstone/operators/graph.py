@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,11 +27,28 @@ def retain(old: DataFrame, new: DataFrame, keys: Sequence[str], starts: DataFram
     return alive.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(new)
 
 
-def name_lookup(names: DataFrame, ident: str, spellings: Sequence[str], order: str) -> DataFrame:
-    """spelling (small letters), ident: of several records with a spelling the one with the lowest `order` wins."""
+def name_lookup(names: DataFrame, ident: str, spellings: Sequence[str], order: str, valid: DataFrame | None = None, overrides: Mapping[str, str] | None = None) -> DataFrame:
+    """spelling (small letters), ident: of several records with a spelling the one with the lowest `order` wins. Only
+    idents in the first column of `valid` count, if given; an entry of `overrides` (spelling to ident) wins over all
+    records, if its ident counts."""
+    if valid is not None:
+        ids = valid.select(F.col(valid.columns[0]).alias(ident)).distinct()
+        names = names.join(ids, ident, "left_semi")
     cells = names.where(F.col(ident).isNotNull()).select(F.col(ident).alias("ident"), F.col(order).alias("_o"), F.explode(F.array(*(F.col(s) for s in spellings))).alias("spelling"))
     flat = cells.select("ident", "_o", F.lower(F.trim("spelling")).alias("spelling")).where("spelling <> ''")
-    return flat.groupBy("spelling").agg(F.min(F.struct("_o", "ident"))["ident"].alias("ident"))
+    found = flat.groupBy("spelling").agg(F.min(F.struct("_o", "ident"))["ident"].alias("ident"))
+    if not overrides:
+        return found
+    fixed = names.sparkSession.createDataFrame([(k.lower(), v) for k, v in overrides.items()], "spelling string, ident string")
+    if valid is not None:
+        fixed = fixed.join(ids.select(F.col(ident).alias("_id")), F.col("ident") == F.col("_id"), "left_semi")
+    return found.join(fixed, "spelling", "left_anti").unionByName(fixed)
+
+
+def first_match(keys: DataFrame, key: str, lookup: DataFrame, ident: str) -> DataFrame:
+    """`keys` with the one `ident` that `lookup` has for the key, the lowest of several, null for none."""
+    one = lookup.groupBy(F.col(key)).agg(F.min(ident).alias(ident))
+    return keys.join(one, key, "left")
 
 
 def map_names(rows: DataFrame, name: str, lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -63,3 +80,29 @@ def edge_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], va
     """Edges after a merge: those of `incoming` replace or join those of `existing`."""
     kept = existing.join(incoming.select(*keys).distinct(), list(keys), "left_anti")
     return kept.select(*keys, *values).unionByName(incoming.select(*keys, *values))
+
+
+def merge_edges(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], values: Sequence[str], starts: DataFrame, ends: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(edges after a merge, incoming edges that were skipped). An incoming edge whose two ends exist replaces or joins
+    those there; one without is skipped. `keys` begins with start and end; `starts` and `ends` have ids in their first
+    column. Of incoming edges with equal keys the last by its values counts."""
+    start, end = keys[:2]
+    named = lambda df, c: df.select(F.col(df.columns[0]).alias(c)).distinct()
+    known = incoming.join(named(starts, start), start, "left_semi").join(named(ends, end), end, "left_semi")
+    skipped = incoming.select(*keys).exceptAll(known.select(*keys))
+    once = known.groupBy(*keys).agg(F.max(F.struct(*values)).alias("_v")).select(*keys, "_v.*")
+    return edge_merge(existing, once, keys, values), skipped
+
+
+def corrections(nodes: DataFrame, incoming: DataFrame, key: str, value: str) -> DataFrame:
+    """matched: incoming keys that are nodes; corrected: those whose value differs from one the node has."""
+    both = nodes.select(key, F.col(value).alias("_old")).join(incoming.select(key, F.col(value).alias("_new")), key)
+    return both.agg(F.countDistinct(key).alias("matched"), F.count_if(F.col("_old") != F.col("_new")).alias("corrected"))
+
+
+def meeting(left: DataFrame, right: DataFrame, pairs: Mapping[str, Sequence[str]], score: float = 1.0) -> DataFrame:
+    """(left id, right id, score) of the rows whose codes are one of `pairs`. `left` and `right` are (id, code)."""
+    spark = left.sparkSession
+    (lid, lcode), (rid, rcode) = left.columns[:2], right.columns[:2]
+    wanted = spark.createDataFrame([(a, b) for a, many in pairs.items() for b in many], f"{lcode} string, {rcode} string")
+    return left.join(wanted, lcode).join(right, rcode).select(lid, rid, F.lit(score).alias("priority_score"))

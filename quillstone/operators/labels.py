@@ -156,12 +156,13 @@ def several_actives(clause: Column, units: Column) -> Column:
     return F.coalesce((lines >= 2) | ((F.size(F.array_distinct(units)) >= 2) & (low.rlike(C.MULTI_CUE) | close)), F.lit(False))
 
 
-def attribution(sentence: Column, clause: Column, name: Column, units: Column, aliases: Column | None = None) -> Column:
+def attribution(sentence: Column, name: Column, units: Column, clause: Column | None = None, aliases: Column | None = None) -> Column:
     """What an effect is owed to: a procedure, a preparation, several actives, one active, or it is ambiguous.
 
-    `clause` is the primary clause and `units` the things named in it; `aliases` of the name count where it is not
-    mentioned itself. `reconciled` looks at the units of the whole sentence afterwards.
+    `clause` is the primary clause, the sentence if left out, and `units` the things named in it; `aliases` of the name
+    count where it is not mentioned itself. `reconciled` looks at the units of the whole sentence afterwards.
     """
+    clause = sentence if clause is None else clause
     s = F.lower(F.coalesce(sentence, F.lit("")))
     n_units = F.size(F.array_distinct(units))
     called = named(name, clause) | named(name, sentence)

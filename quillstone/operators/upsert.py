@@ -46,3 +46,28 @@ def set_properties(nodes: DataFrame, values: DataFrame, key: str, properties: Se
     """Nodes with new values of the properties where there are any."""
     joined = nodes.alias("n").join(values.select(key, *properties).alias("v"), key, "left")
     return joined.select(key, *(F.coalesce(F.col(f"v.{c}"), F.col(f"n.{c}")).alias(c) if c in properties else F.col(f"n.{c}").alias(c) for c in nodes.columns if c != key))
+
+
+def insert_claims(claims: DataFrame, ingredients: DataFrame, effects: DataFrame, concerns: DataFrame, *, key: str = "claim_key", name: str = "ingredient_name", known: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(claims, ingredient map, effect map, concern map) to add to a warehouse.
+
+    A claim whose name has no ingredient is left out, and so are its map rows. `ingredients` is (ingredient_id, name);
+    of several ids of a name the lowest counts. Map rows are (key, id, role or score): a repeated pair is added once,
+    with its greatest score. Claims whose key is in `known` are there already; a null key is never added.
+    """
+    ids = ingredients.where("ingredient_id is not null").groupBy(F.col(name)).agg(F.min("ingredient_id").alias("ingredient_id"))
+    once = claims.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*(c for c in claims.columns if c != key))).alias("_c")).select(key, "_c.*")
+    if known is not None:
+        once = once.join(known.select(key).distinct(), key, "left_anti")
+    new = once.join(ids, name)
+    owners = new.select(key)
+    scored = lambda rows, ident: rows.where(F.col(ident).isNotNull()).groupBy(key, ident).agg(F.max("confidence_score").alias("confidence_score")).join(owners, key, "left_semi")
+    return new.drop("ingredient_id"), new.select(key, "ingredient_id", F.lit("primary").alias("role"), "confidence_score"), scored(effects, "effect_id"), scored(concerns, "concern_id")
+
+
+def replace_cached(cache: DataFrame, answers: DataFrame, key: str = "cache_key") -> DataFrame:
+    """The cache after answers came in: an answer replaces the one there; of several the last by its columns."""
+    from quillstone.operators.aggregate import last_wins
+
+    fresh = last_wins(answers, [key], [c for c in answers.columns if c != key])
+    return cache.join(fresh.select(key), key, "left_anti").unionByName(fresh)

@@ -255,7 +255,7 @@ def attribution_labels(spark: SparkSession, d: str) -> DataFrame:
     units = lambda c: L.detected_units(c, table, L.DETECTION_TAGS, L.VERB_HINTS)
     s = _probes(spark, d).withColumn("clause", B.primary_clause(F.col("s"), F.col("name")))
     s = s.withColumns({"_su": units(F.col("s")), "_pu": units(F.col("clause"))})
-    s = s.withColumn("first_label", B.attribution(F.col("s"), F.col("clause"), F.col("name"), F.col("_pu")))
+    s = s.withColumn("first_label", B.attribution(F.col("s"), F.col("name"), F.col("_pu"), F.col("clause")))
     return s.select("claim_key", "clause", F.array_join(F.array_sort("_su"), "|").alias("units"), B.unit_count(F.col("_su")).cast("long").alias("n_units"), "first_label", B.reconciled(F.col("first_label"), F.col("s"), F.col("_su")).alias("attribution"), B.list_guard(F.col("s")).alias("lists"), B.detection_suspect(F.col("s"), F.col("_su")).alias("suspect")).distinct()
 
 

@@ -336,7 +336,7 @@ def detection_units(spark: SparkSession, d: str) -> DataFrame:
     s = _claim_sentences(spark, d).withColumn("clause", B.primary_clause(F.col("source_sentence"), F.col("ingredient_name"))).withColumn("units", units(F.col("source_sentence")))
     # most sentences are one clause, whose units are known already
     s = s.withColumn("_own", F.when(F.col("clause") == F.trim("source_sentence"), F.col("units")).otherwise(units(F.col("clause"))))
-    label = B.reconciled(B.attribution(F.col("source_sentence"), F.col("clause"), F.col("ingredient_name"), F.col("_own")), F.col("source_sentence"), F.col("units"))
+    label = B.reconciled(B.attribution(F.col("source_sentence"), F.col("ingredient_name"), F.col("_own"), F.col("clause")), F.col("source_sentence"), F.col("units"))
     return s.select("claim_key", F.array_join("units", "|").alias("units"), F.size("units").alias("n_units"), label.alias("attribution"), B.list_guard(F.col("source_sentence")).alias("lists"), B.detection_suspect(F.col("source_sentence"), F.col("units")).alias("suspect"))
 
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import os
+from collections.abc import Callable, Iterator, Mapping, Sequence
+
+import warnings
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillstone.functions.text import pipe_split
+from quillstone.functions.text import dict_cell_to_json, float_int, pipe_split
+from quillstone.runtime import cut
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str) -> DataFrame:
@@ -63,11 +67,13 @@ def union_batches(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def with_fallback(first: Callable[[], DataFrame], second: Callable[[], DataFrame]) -> DataFrame:
-    """The first table, or the second where the first can't be had."""
+def with_fallback(first: Callable[[], DataFrame], second: Callable[[], DataFrame], errors: tuple[type[Exception], ...] = (Exception,)) -> DataFrame:
+    """The first table, or the second, with a warning, where the first can't be read. The first is read whole within
+    the attempt and kept, so that an error in any part of it counts; meant for taxonomies and the like."""
     try:
-        return first()
-    except Exception:  # noqa: BLE001
+        return cut(first())
+    except errors as e:
+        warnings.warn(f"first source failed, the second stands in: {str(e).splitlines()[0][:200]}", stacklevel=2)
         return second()
 
 
@@ -136,9 +142,9 @@ def _article(a: Column) -> Column:
     )
 
 
-def fetch_pages(keys: DataFrame, column: str, fetch: Callable[[list[str]], list[str]], per_call: int = 200, pause: float = 0.34) -> DataFrame:
-    """key, body: pages fetched for distinct keys, `per_call` to a request, with a pause after each, one caller at a
-    time. `fetch` gets keys and returns as many bodies."""
+def fetch_pages(keys: DataFrame, column: str, fetch: Callable[[list[str]], list[str]], per_call: int = 200, pause: float = 0.34, callers: int = 1) -> DataFrame:
+    """key, body: pages fetched for distinct keys, `per_call` to a request, with a pause after each, by `callers` tasks
+    at once. `fetch` gets keys and returns as many bodies; without keys it is never called."""
     import time
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -148,9 +154,136 @@ def fetch_pages(keys: DataFrame, column: str, fetch: Callable[[list[str]], list[
                 yield pd.DataFrame({"key": some, "body": fetch(some)})
                 time.sleep(pause)
 
-    return keys.select(F.col(column).alias("key")).where("key is not null").distinct().coalesce(1).mapInPandas(run, "key string, body string")
+    return keys.select(F.col(column).alias("key")).where("key is not null").distinct().repartition(callers, "key").mapInPandas(run, "key string, body string")
 
 
 def searched(rows: DataFrame, cell: str) -> Column:
     """Number of parts of a pipe-delimited cell that are not blank; 0 for null."""
     return F.coalesce(F.size(pipe_split(F.col(cell))), F.lit(0))
+
+
+def search_ids(body: Column) -> Column:
+    """The ids in the answer to a search; empty for an answer without any or that is no JSON."""
+    return F.coalesce(F.from_json(body, "struct<esearchresult:struct<idlist:array<string>>>")["esearchresult"]["idlist"], F.array().cast("array<string>"))
+
+
+def search(queries: DataFrame, column: str, ask: Callable[[list[str]], list[str]], limit: int | None = None, pause: float = 0.34) -> DataFrame:
+    """key (the query text), pos, id: what a search service finds for distinct queries, at most `limit` ids each."""
+    pages = fetch_pages(queries, column, ask, per_call=1, pause=pause)
+    ids = search_ids(F.col("body"))
+    return pages.select("key", F.posexplode(F.slice(ids, 1, limit) if limit else ids).alias("pos", "id"))
+
+
+def chosen_batch(rows: DataFrame, batch: str = "batch_id", explicit: str | None = None, variable: str = "SILVER_BATCH_ID", env: Mapping[str, str] | None = None) -> DataFrame:
+    """Rows of the batch asked for, else of the one the environment names, else of the latest."""
+    name = explicit or (os.environ if env is None else env).get(variable)
+    return batches(rows, batch, exactly=name) if name else latest(rows, batch)
+
+
+def read_batch(spark: SparkSession, root: str, name: str, schema: T.StructType | str) -> DataFrame:
+    """CSV below `root`/batch=`name`; raises FileNotFoundError if there is no such batch."""
+    path = f"{root.rstrip('/')}/batch={name}"
+    if not _files(spark, path):
+        raise FileNotFoundError(path)
+    return read_csv(spark, path, schema)
+
+
+def _files(spark: SparkSession, pattern: str) -> list[tuple[str, int, int]]:
+    """(path, size, time of change) of the files below a folder or fitting a pattern; none if there is no such place."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, todo = [], list(system.globStatus(path) or [])
+    while todo:
+        status = todo.pop()
+        if status.isDirectory():
+            todo += list(system.listStatus(status.getPath()))
+        elif not status.getPath().getName().startswith(("_", ".")):
+            found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return sorted(found)
+
+
+def read_many(spark: SparkSession, pattern: str, schema: T.StructType | str, keep_names: bool = False) -> DataFrame:
+    """All CSV files that fit a pattern as one table. Empty files are passed over, and so is a file whose header is not
+    that of the schema, and a row that doesn't fit it; no file at all gives an empty table."""
+    names = T.StructType.fromDDL(schema).names if isinstance(schema, str) else schema.names
+    paths = [p for p, size, _ in _files(spark, pattern) if size > 0]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    # the header of each file, in one distributed pass over first lines
+    heads = spark.read.text(paths, wholetext=False).withColumn("_file", F.input_file_name()).where(F.regexp_replace("value", "^\ufeff", "") == ",".join(names)).select("_file").distinct()
+    good = [r["_file"] for r in heads.toLocalIterator()]
+    if not good:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.csv(good, header=True, schema=schema, multiLine=True, quote='"', escape='"', mode="DROPMALFORMED")
+    return rows.withColumn("_file", F.input_file_name()) if keep_names else rows
+
+
+def latest_file(spark: SparkSession, pattern: str, has: str, without: str = "error", suffix: str = ".csv") -> str:
+    """The file changed last of those whose name holds `has`, not `without`, and ends on `suffix`; of several the one
+    last by name. Raises FileNotFoundError if there is none."""
+    fit = [(t, p) for p, _, t in _files(spark, pattern) if has in p and without not in p and p.endswith(suffix)]
+    if not fit:
+        raise FileNotFoundError(pattern)
+    return max(fit)[1]
+
+
+def latest_job(rows: DataFrame, key: str, order: Sequence[str], batch: str = "batch_job") -> DataFrame:
+    """Rows of the greatest `batch`, the first of each key in the given order."""
+    from quillstone.operators.aggregate import first_wins
+
+    return first_wins(latest(rows, batch), [key], order)
+
+
+def highest_wins(rows: DataFrame, key: str, code: str) -> DataFrame:
+    """The row with the greatest `code` of each key; rows without a key go."""
+    from quillstone.operators.aggregate import last_wins
+
+    return last_wins(rows.where(F.col(key).isNotNull()), [key], [code])
+
+
+def corpus(papers: DataFrame, text: str = "abstract_text", key: str = "pmid") -> DataFrame:
+    """Papers with a key and a text that is not blank. `ordered` puts them in order at a sink."""
+    return papers.where(F.col(key).isNotNull() & (F.trim(text) != ""))
+
+
+def seed_ids(sql_text: Column, columns: int = 2) -> Column:
+    """array<struct<id, cells>> of the VALUES rows in SQL text, numbered from 1 in order."""
+    return F.transform(seed_rows(sql_text, columns), lambda r, i: F.struct((i + 1).alias("id"), r.alias("cells")))
+
+
+# Fixed value: how a product number stands in the address of a product.
+GOODS_NUMBER = r"goodsNo=([A-Za-z0-9]+)"
+
+
+def product_links(rows: DataFrame, product: str = "product_id", url: str = "product_url", number: str = GOODS_NUMBER) -> DataFrame:
+    """product_id, product_url and goods_no of the rows that have all three."""
+    flat = rows.select(F.trim(product).alias("product_id"), F.trim(url).alias("product_url"))
+    return flat.withColumn("goods_no", F.regexp_extract("product_url", number, 1)).where("product_id <> '' and product_url <> '' and goods_no <> ''")
+
+
+def product_reviews(rows: DataFrame, product: str = "product_id", rating: str = "rating", count: str = "review_count", stats: str = "review_stats") -> DataFrame:
+    """product_id, rating, review_count and review_stats of the rows with a product and a rating that is a number. A
+    count that is none is 0; stats become JSON without their false values, null if none is left."""
+    flat = rows.select(F.trim(product).alias("product_id"), F.trim(rating).try_cast("double").alias("rating"), F.coalesce(float_int(F.col(count)), F.lit(0)).alias("review_count"), dict_cell_to_json(F.col(stats)).alias("review_stats"))
+    return flat.where("product_id <> '' and rating is not null")
+
+
+def untyped(edges: DataFrame) -> DataFrame:
+    """Edges with plain column names and types from headers as a loader has them: ":START_ID(X)" becomes start, ":END_ID(X)"
+    end, "name:float" and "name:int" name as double and int."""
+
+    def plain(c: str) -> Column:
+        name, _, kind = c.rpartition(":")
+        if not name:
+            return F.col(f"`{c}`").alias({"START_ID": "start", "END_ID": "end"}.get(kind.split("(")[0], kind))
+        kinds = {"float": "double", "int": "int", "boolean": "boolean"}
+        return F.col(f"`{c}`").try_cast(kinds[kind]).alias(name) if kind in kinds else F.col(f"`{c}`").alias(name if kind.split("(")[0] == "ID" else c)
+
+    return edges.select(*map(plain, edges.columns))
+
+
+def ordered(rows: DataFrame, order: Sequence[Column | str], limit: int = 0) -> DataFrame:
+    """Rows in order, the first `limit` of them (0 for all), which is a top-k and no sort of all rows."""
+    out = rows.orderBy(*order)
+    return out.limit(limit) if limit else out
