@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillstone.functions import cues as C
 from quillstone.functions import lexicon as L
 from quillstone.functions import text as T
 from quillstone.operators import aggregate as A
@@ -202,7 +203,12 @@ def sentence_counts(spark: SparkSession, d: str) -> DataFrame:
     return s.groupBy("pmid", "chunk_index").agg(F.sum(F.length("part")).alias("total_chars"), F.count(F.lit(1)).alias("n_sentences"), F.sum(T.word_count(F.col("part"))).cast("long").alias("n_words"))
 
 
-@query()
+@query(f"""WITH RECURSIVE t AS (SELECT pmid, chunk_index, chunk_text, list_filter(list_transform(string_split(regexp_replace({_HELD}, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: trim(replace(x, '<DOT>', '.'), ' ')), lambda x: x <> '') AS parts
+        FROM (SELECT DISTINCT pmid, chunk_index, chunk_text FROM silver_chunk WHERE pmid IS NOT NULL AND chunk_text IS NOT NULL)),
+    f AS (SELECT pmid, chunk_index, chunk_text, parts, 0 AS no, 0 AS a, 0 AS b FROM t UNION ALL
+        SELECT pmid, chunk_index, chunk_text, parts, no + 1, CASE WHEN contains(substr(chunk_text, b + 1), parts[no + 1]) THEN b + position(parts[no + 1] IN substr(chunk_text, b + 1)) - 1 ELSE b END,
+            CASE WHEN contains(substr(chunk_text, b + 1), parts[no + 1]) THEN b + position(parts[no + 1] IN substr(chunk_text, b + 1)) - 1 ELSE b END + length(parts[no + 1]) FROM f WHERE no < len(parts))
+    SELECT pmid, chunk_index, CAST(no - 1 AS INTEGER) AS sentence_no, parts[no] AS part, CAST(a AS INTEGER) AS start_at, CAST(b AS INTEGER) AS end_at FROM f WHERE no > 0""")
 def sentence_offsets(spark: SparkSession, d: str) -> DataFrame:
     return _sentences(spark, d)
 
@@ -508,12 +514,12 @@ def _edge_sql(kind: str, where: str) -> str:
         WHERE {where} GROUP BY ALL) GROUP BY 1, 2, 3"""
 
 
-@query(_edge_sql("effect", f"{_TIER_SQL} IN ('strict_graph', 'soft_graph') AND coalesce(lower(ingredient_name), '') NOT IN ('cream', 'water', 'vehicle', 'placebo') AND NOT (t.effect_code LIKE '%EXCESS%' AND relation = 'increases')").replace(f"max({_W_SQL})", f"max({_W_SQL})"))
+@query(_edge_sql("effect", f"{_TIER_SQL} IN ('strict_graph', 'soft_graph') AND coalesce(lower(ingredient_name), '') NOT IN ('cream', 'water', 'lotion', 'serum', 'gel', 'foam', 'oil', 'emulsion', '크림', '빙하수', '멜라닌') AND coalesce(upper(ingredient_name), '') NOT IN ('CREAM', 'WATER', 'MELANIN') AND NOT (t.effect_code = 'SEBUM_REGULATION' AND relation = 'increases')"))
 def affects_edges(spark: SparkSession, d: str) -> DataFrame:
     """Ingredient, effect, relation: the log of the summed best weights of papers, over graph tiers."""
-    generic = F.coalesce(F.lower("ingredient_name").isin("cream", "water", "vehicle", "placebo"), F.lit(False))
+    generic = F.coalesce(F.lower("ingredient_name").isin(*C.NO_INGREDIENTS) | F.upper("ingredient_name").isin(*C.NO_NODES), F.lit(False))
     e = _first_claims(spark, d, *_EDGE).withColumn("row_weight", _weight()).where(_tier().isin("strict_graph", "soft_graph") & ~generic).select("claim_key", "ingredient_name", "relation", "pmid", "row_weight")
-    return _edges(spark, d, "effect", e).where(~(F.col("effect_code").like("%EXCESS%") & (F.col("relation") == "increases")))
+    return _edges(spark, d, "effect", e).where(~((F.col("effect_code") == "SEBUM_REGULATION") & (F.col("relation") == "increases")))
 
 
 @query(_edge_sql("concern", "relation = 'causes' AND evidence_direction = 'supports' AND claim_type IN ('safety', 'efficacy')"))
@@ -693,10 +699,11 @@ def invariants(spark: SparkSession, d: str) -> DataFrame:
     return Q.violations(read_table(spark, d, "gold_claim"), {"relation_known": Q.in_list(c("relation"), ("improves", "reduces", "supports", "causes", "increases", "prevents")), "confidence_in_range": c("confidence_score").between(0, 1), "offsets_ordered": Q.at_least(c("source_end_offset"), c("source_start_offset"))})
 
 
-@query("SELECT k AS term, count(*) AS n_targets FROM (SELECT DISTINCT ingredient_code, unnest(list_transform(string_split(concern_keywords, '|'), lambda x: lower(trim(x, ' ')))) AS k FROM issue26_sebum_targets WHERE concern_keywords IS NOT NULL) WHERE k IN ('itch', 'flakes', 'oily zone', 'blackheads') GROUP BY 1")
+@query("SELECT k AS term, count(*) AS n_targets FROM (SELECT DISTINCT ingredient_code, unnest(list_transform(string_split(concern_keywords, '|'), lambda x: lower(trim(x, ' ')))) AS k FROM issue26_sebum_targets WHERE concern_keywords IS NOT NULL) WHERE k <> '' GROUP BY 1")
 def keyword_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Targets per keyword."""
     t = read_table(spark, d, "issue26_sebum_targets").where("concern_keywords is not null").select("ingredient_code", F.explode(T.pipe_split(F.lower("concern_keywords"))).alias("term")).distinct()
-    return t.where(F.col("term").isin("itch", "flakes", "oily zone", "blackheads")).groupBy("term").agg(F.count(F.lit(1)).alias("n_targets"))
+    return t.groupBy("term").agg(F.count(F.lit(1)).alias("n_targets"))
 
 
 @query("SELECT confidence_score, least(greatest(confidence_score, 0.6), 0.85) AS map_score, count(*) AS n FROM gold_claim GROUP BY 1, 2")

@@ -25,11 +25,11 @@ def evidence(spark: SparkSession, d: str) -> DataFrame:
     line = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_returnflag", "l_linestatus")
     orders = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
     customer = read_table(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    part = read_table(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_size")
+    part = read_table(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_size", T.slug(F.col("p_brand")).alias("brand_key"), T.slug(F.col("p_type")).alias("type_key"))
     rows = line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(customer, F.col("o_custkey") == F.col("c_custkey")).join(part, F.col("l_partkey") == F.col("p_partkey"))
     look = lambda table, c, other: F.coalesce(T.lit_map(table)[F.col(c)], F.lit(other))
     labelled = rows.select(
-        F.col("l_orderkey").cast("string").alias("pmid"), "l_linenumber", "l_partkey", "l_extendedprice", F.col("p_brand").alias("ingredient_name"), F.col("p_type").alias("target"), F.col("l_linestatus").alias("target_category"), F.col("p_size"),
+        F.col("l_orderkey").cast("string").alias("pmid"), "l_linenumber", "l_partkey", "l_extendedprice", F.col("p_brand").alias("ingredient_name"), F.col("p_type").alias("target"), "brand_key", "type_key", F.col("l_linestatus").alias("target_category"), F.col("p_size"),
         look(_RELATION, "l_returnflag", "reduces").alias("relation"), look(_STRENGTH, "o_orderpriority", "weak").alias("strength"), look(_SIGNIFICANCE, "o_orderstatus", "unclear").alias("significance"), look(_SEGMENT, "c_mktsegment", "ambiguous").alias("attribution"),
     )
     weight = B.weight((F.col("strength"), B.STRENGTH_WEIGHT, 0.35), (F.col("significance"), B.SIGNIFICANCE_WEIGHT, 0.8), (F.col("attribution"), B.ATTRIBUTION_WEIGHT, 0.2))
@@ -52,8 +52,11 @@ def order_edges(spark: SparkSession, d: str) -> DataFrame:
 
 def order_support(spark: SparkSession, d: str) -> DataFrame:
     """Canonical claims (brand, relation, type, status) with their support."""
-    e = evidence(spark, d).withColumn("canonical_claim_key", T.canonical_key(F.col("ingredient_name"), F.col("relation"), F.col("target"), F.col("target_category")))
-    return A.paper_support(e, ["canonical_claim_key"], "pmid", "row_weight", "evidence_score", "paper_count_distinct")
+    # the parts of the key are made where they are few, and put together after the aggregate
+    parts = [F.col("brand_key"), T.canonical_relation(F.col("relation")), F.col("type_key"), F.lower("target_category")]
+    e = evidence(spark, d).select(*(p.alias(f"k{i}") for i, p in enumerate(parts)), "pmid", "row_weight")
+    support = A.paper_support(e, [f"k{i}" for i in range(4)], "pmid", "row_weight", "evidence_score", "paper_count_distinct")
+    return support.select(F.concat_ws("|", *(f"k{i}" for i in range(4))).alias("canonical_claim_key"), "evidence_score", "paper_count_distinct")
 
 
 def order_labels(spark: SparkSession, d: str) -> DataFrame:
