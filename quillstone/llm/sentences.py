@@ -56,8 +56,8 @@ _AFTER = regex.compile(r"[\"'”’»›)\]）］」』】》〉＂]*")
 _CITATION = regex.compile(r"(?:\s?[\[［]\d[\d\s,;–—-]*[\]］])+(?=\s|$|[^\w])|(?:[¹²³⁰-⁹][¹²³⁰-⁹,–-]*)(?=\s|$)")
 _BARE_CITATION = regex.compile(r"\d{1,3}(?:[,–-]\d{1,3})*(?=\s+[\p{Lu}“«„(]|\s*$)")
 #: What a token can't hold: blanks and opening marks.
-_BLANKS = regex.compile(r"\s+")
-_OPENING = regex.compile(r"[(\[（“„«\"‘「『]")
+_EDGE_BEFORE = regex.compile(r"(?r)[\s(\[（“„«\"‘「『]")
+_BLANK_BEFORE = regex.compile(r"(?r)\s")
 _LETTER_BEFORE = regex.compile(r"(?r)\p{L}")
 _CLOSING = regex.compile("[ \t\n\r  　\"'”’»›)）」』]*")
 _NEXT_WORD = regex.compile(r"[\p{L}\p{M}]+")
@@ -112,47 +112,37 @@ class _Before:
 
     def __init__(self, text: str):
         self.text = text
-        self._at = self._blanks = self._open = 0  # read up to; end of the last blanks and of the last opening mark
-        self._gap = self._last = (0, 0)  # the blanks before those, and those
+        self._edge = self._blank = (0, 0)  # read up to; end of the last edge, of the last blank
         self._acronym = (-1, 0, True)  # start of a token, how far it was read, whether an acronym so far
         self._letter = (0, -1)  # read up to, last letter
 
-    def _read(self, to: int) -> None:
-        if to <= self._at:
-            return
-        for m in _BLANKS.finditer(self.text, self._at, to):
-            if m.start() == self._last[1] and m.start():
-                self._last = (self._last[0], m.end())  # blanks met in two readings
-            else:
-                self._gap, self._last = self._last, m.span()
-            self._blanks = m.end()
-        for m in _OPENING.finditer(self.text, self._at, to):
-            self._open = m.end()
-        self._at = to
-
     def token(self, start: int, dot: int) -> int:
         """Where the token that ends at `dot` begins, not before `start`; `dot` if there is none."""
-        self._read(dot)
-        return min(dot, max(start, self._blanks, self._open))
+        to, edge = self._edge if self._edge[0] <= dot else (0, 0)
+        m = _EDGE_BEFORE.search(self.text, to, dot)
+        if m:
+            edge = m.end()
+        self._edge = (dot, edge)
+        return min(dot, max(start, edge))
 
     def word(self, start: int, at: int) -> tuple[int, int] | None:
         """The word that stands one character before the token at `at`."""
         if at <= start:
             return None
         end = at - 1
-        if self._last[1] == at:  # a blank before the token
-            if end != self._last[0]:
-                return None
-            begin = max(start, self._gap[1])
-        else:
-            begin = max(start, self._blanks)
+        to, blank = self._blank if self._blank[0] <= end else (0, 0)
+        m = _BLANK_BEFORE.search(self.text, to, end)
+        if m:
+            blank = m.end()
+        self._blank = (end, blank)
+        begin = max(start, blank)
         return (begin, end) if begin < end else None
 
     def acronym(self, at: int, dot: int) -> bool:
         """Whether the token [at, dot) is letters with full stops between."""
         began, to, good = self._acronym
         if began != at or to > dot:
-            to, good = at + 1, self.text[at].isalpha() and regex.match(r"\p{L}", self.text[at]) is not None
+            to, good = at + 1, self.text[at].isalpha()
         if good and to < dot:
             good = _ACRONYM_TAIL.fullmatch(self.text, to, dot) is not None
         self._acronym = (at, max(to, dot), good)
@@ -233,6 +223,8 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
         i, j = m.span()
         if i < resume or i < start:
             continue
+        if j - i == 1 and text[i] == "." and i and j < n and "0" <= text[j] <= "9" and "0" <= text[i - 1] <= "9":
+            continue  # inside a number
         k = bisect_right(opens, i) - 1
         pair = pairs[k] if k >= 0 and pairs[k][1] > i else None
         kind = m.lastgroup
