@@ -207,6 +207,22 @@ def listed_claims(spark: SparkSession, d: str) -> DataFrame:
     return K.validated_by_lists(_claims(spark, d)).select("claim_key", "target", "relation", "confidence").distinct()
 
 
+@query(f"""WITH p AS (SELECT DISTINCT claim_key, s, pmid, chunk_index FROM {_probes_sql('pmid', 'chunk_index')}), sub AS {_subject_sql('p')},
+    many AS (SELECT t AS s, count(DISTINCT n) AS n FROM (SELECT DISTINCT s AS t, {flat_sql('s')} AS flat FROM p) x JOIN {_S_NAMES} names ON {_S_STANDS} GROUP BY t),
+    e AS (SELECT p.*, coalesce(many.n, 0) >= 2 AND {_has('containing|contains|along with|combined with|plus|such as')} AS enumerates, subject AS name FROM p LEFT JOIN sub USING (s) LEFT JOIN many USING (s)),
+    o AS (SELECT *, CASE WHEN {_S_CLAIM_LIKE} AND NOT enumerates AND NOT coalesce({_S_EXCLUDED}, false) AND {_S_CONTEXT} THEN name END AS own FROM e),
+    c AS (SELECT pmid, chunk_index, count(DISTINCT own) AS n, min(own) AS sole FROM o GROUP BY ALL)
+    SELECT DISTINCT claim_key, enumerates, own, coalesce(own, CASE WHEN n = 1 THEN sole END) AS name FROM o LEFT JOIN c ON c.pmid IS NOT DISTINCT FROM o.pmid AND c.chunk_index IS NOT DISTINCT FROM o.chunk_index""")
+def extracted_names(spark: SparkSession, d: str) -> DataFrame:
+    """The name each sentence makes a claim about; else the only one of its chunk."""
+    table = dictionary(spark, d, "ingredient") | {n.lower(): n for n in _NAMES if n}
+    p = _probes(spark, d, "pmid", "chunk_index")
+    s = p.select("claim_key", "s", "pmid", "chunk_index", B.enumerates(F.col("s"), table).alias("enumerates"), K.extracted_name(F.col("s"), table).alias("own"))
+    chunk = s.groupBy("pmid", "chunk_index").agg(F.countDistinct("own").alias("_n"), F.min("own").alias("_only"))
+    both = s.join(chunk, s.pmid.eqNullSafe(chunk.pmid) & s.chunk_index.eqNullSafe(chunk.chunk_index), "left")
+    return both.select("claim_key", "enumerates", "own", F.coalesce("own", F.when(F.col("_n") == 1, F.col("_only"))).alias("name")).distinct()
+
+
 # ---- labels -----------------------------------------------------------------------------------------------------
 
 # Patterns of the labels in the SQL.

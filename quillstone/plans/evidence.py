@@ -728,7 +728,11 @@ def rule_extractor(sentences: list[str]) -> list[str]:
     return out
 
 
-@query()
+_SAID = "^(?:RESULTS:\\s*)?([A-Z][\\p{L}\\p{N}_, -]+?) (improved|worsened|lowered|raised|masks|blurs) ([a-zA-Z -]+?)(?: in | by |,|\\.)"
+
+
+@query(f"""SELECT claim_key, regexp_extract(source_sentence, '{_SAID}', 1) AS ingredient, regexp_extract(source_sentence, '{_SAID}', 2) AS relation, regexp_extract(source_sentence, '{_SAID}', 3) AS target, 0.5::DOUBLE AS confidence FROM (SELECT DISTINCT claim_key, source_sentence FROM gold_claim WHERE claim_key IS NOT NULL)
+    WHERE regexp_matches(source_sentence, '{_SAID}') AND NOT regexp_matches(lower(regexp_extract(source_sentence, '{_SAID}', 3)), 'carcinoma|cancer|tumor|tumour|microemulsion|nanoemulsion|particle size|release profile|drug delivery|cell migration|dermal papilla|gene expression|therapy|treatment|blood loss|perioperative')""")
 def extracted_claims(spark: SparkSession, d: str) -> DataFrame:
     """Claims by the stand-in extractor behind the cache."""
     s = read_table(spark, d, "gold_claim").where("claim_key is not null").select("claim_key", "source_sentence").distinct()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from quillstone.operators import labels as B
 from quillstone.operators import quality as Q
 from quillstone.operators import upsert as U
 from quillstone.plans import claims as P
+from quillstone.plans import evidence as E
 from quillstone.plans.rules_sql import pick, pick_sql
 from quillstone.runtime import read_table
 from quillstone.sources import readers as R
@@ -127,6 +129,30 @@ def top_summaries(spark: SparkSession, d: str) -> DataFrame:
     return top.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc("cnt"), "normalized_summary")))  # 25 rows
 
 
+@query("SELECT effect_id, effect_code FROM effect_taxonomy WHERE is_active")
+def taxonomy_or_seed(spark: SparkSession, d: str) -> DataFrame:
+    """The active taxonomy, from the second source where the first breaks while it is read."""
+    broken = lambda: spark.range(100).select(F.assert_true(F.col("id") < 50).alias("x"))
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return R.with_fallback(broken, lambda: read_table(spark, d, "effect_taxonomy").where("is_active").select("effect_id", "effect_code"))
+
+
+@query("SELECT DISTINCT canonical_name AS id FROM canonical_terms WHERE kind = 'ingredient'")
+def nodes_so_far(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes of the listed ingredients and of a graph that is not there yet, which counts as empty."""
+    there = R.read_or_empty(spark, f"{d}/no_such_graph.parquet", "id string")
+    return G.union_first([there, read_table(spark, d, "canonical_terms").where("kind = 'ingredient'").select(F.col("canonical_name").alias("id"))], "id").select("id")
+
+
+@query("SELECT ingredient_code, CAST((row_number() OVER (ORDER BY ingredient_code) - 1) // 40 AS INTEGER) AS batch_no FROM (SELECT DISTINCT ingredient_code FROM issue26_sebum_targets WHERE lower(trim(is_target)) = 'true')")
+def target_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Active targets in batches of forty."""
+    from quillstone.sources.writers import batch_numbers
+
+    return batch_numbers(R.targets(read_table(spark, d, "issue26_sebum_targets")).select("ingredient_code").distinct(), "ingredient_code", 40)
+
+
 # ---- lookups and merges -----------------------------------------------------------------------------------------
 
 _VALID_SQL = "(SELECT DISTINCT canonical_name AS id FROM canonical_terms WHERE kind = 'ingredient')"
@@ -303,6 +329,20 @@ def edge_ends(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query(f"""SELECT 'score_order' AS "check", count(*) FILTER (recommendation_score_base + 1e-9 < graph_score) AS n_bad FROM ({E.SQL['canonical_claims']})""")
+def score_order(spark: SparkSession, d: str) -> DataFrame:
+    """Canonical claims whose recommendation score is below their graph score."""
+    return Q.violations(E.canonical_claims(spark, d), {"score_order": Q.at_least(F.col("recommendation_score_base"), F.col("graph_score"))})
+
+
+@query(f"SELECT f.* FROM ({E.SQL['function_edges']}) f WHERE NOT EXISTS (SELECT 1 FROM ({E.SQL['function_edges']}) s WHERE s.owner = f.owner AND s.effect = f.effect AND s.relation = f.relation AND s.score < 0.09)")
+def new_function_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Edges from functions that are not among those seen already."""
+    owners = read_table(spark, d, "issue26_sebum_targets").where("category is not null").select("canonical_name", T.function_names(F.col("category")).alias("functions"))
+    mapping = spark.createDataFrame(E._FUN, "function string, effects array<string>, relation string, confidence double")
+    return A.function_edges(owners, "canonical_name", "functions", mapping, E.function_edges(spark, d).where("score < 0.09"))
+
+
 _MAPPED = "(SELECT lower(trim(claim_key)) AS ck, list(DISTINCT {0}_id) AS ids FROM gold_claim_{0}_map WHERE claim_key IS NOT NULL AND {0}_id IS NOT NULL GROUP BY 1)"
 
 
