@@ -29,6 +29,27 @@ def p2_counts(spark: SparkSession, d: str) -> DataFrame:
     return p2_found(spark, d).groupBy("field_name").agg(F.count(F.lit(1)).alias("n_values"), F.countDistinct("record_key").alias("n_records"), F.max("pos").alias("longest"))
 
 
+#: Fields of one plain style: parts between bars, or of persons between semicolons, and no other mark that could part or hold.
+_PLAIN, _PLAIN_PEOPLE = r'^[^";/,、，；·&()\[\]\t\r\n]*$', r'^[^"|/,、，；·&()\[\]\t\r\n]*$'
+
+
+def p2_plain(spark: SparkSession, d: str) -> DataFrame:
+    """The values of the fields written in a style that a plain split can take apart."""
+    t = read_table(spark, d, "issue26_sebum_targets").where("ingredient_code is not null")
+    plain = [t.select(F.lit(f).alias("field_name"), F.col("ingredient_code").cast("string").alias("record_key"), F.col(f).alias("field")).where(F.col(f).rlike(_PLAIN) & F.contains(f, F.lit("|"))) for f in ("alias_list", "concern_keywords")]
+    b = read_table(spark, d, "bronze_paper").where("pmid is not null").select(F.lit("authors").alias("field_name"), F.col("pmid").alias("record_key"), F.col("authors").alias("field"))
+    keys = plain[0].unionByName(plain[1]).unionByName(b.where(F.col("field").rlike(_PLAIN_PEOPLE) & F.contains("field", F.lit(";")))).select("field_name", "record_key").distinct()
+    return p2_found(spark, d).join(keys, ["field_name", "record_key"], "left_semi")
+
+
+def _plain_sql() -> str:
+    cells = "list_filter(list_transform(string_split(f, '{0}'), lambda x: trim(x, ' ')), lambda x: x <> '')"
+    one = "SELECT DISTINCT '{n}' AS field_name, CAST({k} AS VARCHAR) AS record_key, {c} AS v FROM (SELECT {k}, {n} AS f FROM {t} WHERE {k} IS NOT NULL) WHERE regexp_matches(f, '{p}') AND contains(f, '{d}')"
+    parts = [one.format(n=n, k="ingredient_code", t="issue26_sebum_targets", c=cells.format("|"), p=_PLAIN, d="|") for n in ("alias_list", "concern_keywords")]
+    parts.append(one.format(n="authors", k="pmid", t="bronze_paper", c=cells.format(";"), p=_PLAIN_PEOPLE, d=";"))
+    return f"SELECT DISTINCT field_name, record_key, CAST(i AS INTEGER) AS pos, v[i] AS item_value FROM ({' UNION ALL '.join(parts)}), range(1, 100000) r(i) WHERE i <= len(v)"
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     effects, concerns = read_table(spark, d, "gold_claim_effect_map"), read_table(spark, d, "gold_claim_concern_map")
     found = find_orphans(effects, read_table(spark, d, "gold_claim"), Reference("gold_claim_effect_map", "claim_key", "claim_key"))
@@ -51,7 +72,7 @@ def _orphans_sql(table: str, field: str, parent: str, parent_key: str) -> str:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_counts, p5_found, p5_report)}
+    return {f.__name__: f for f in (p2_found, p2_counts, p2_plain, p5_found, p5_report)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -62,4 +83,4 @@ def oracle_sql() -> dict[str, str]:
             _orphans_sql("gold_claim_concern_map", "concern_id", "concern_taxonomy", "concern_id"),
         )
     )
-    return {"p5_found": found, "p5_report": f"SELECT map_table, field_name, period_month, reason, count(*) AS n_references FROM ({found}) GROUP BY ALL"}
+    return {"p2_plain": _plain_sql(), "p5_found": found, "p5_report": f"SELECT map_table, field_name, period_month, reason, count(*) AS n_references FROM ({found}) GROUP BY ALL"}
