@@ -31,6 +31,19 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return _typed(spark, d).select("claim_key", "field_name", "term_id").distinct()
 
 
+def p1_plain(spark: SparkSession, d: str) -> DataFrame:
+    """Every value with what it must mean where it has the letters and digits of a name, whatever its case and marks;
+    null elsewhere."""
+    terms = read_table(spark, d, "canonical_terms").where("canonical_name is not null").select("kind", _letters("canonical_name").alias("_letters")).distinct()
+    rows = _typed(spark, d).withColumn("_letters", F.when(F.col("typed").rlike(r"^[\x00-\x7F]*$"), _letters("typed")))
+    plain = rows.join(terms.withColumn("_plain", F.lit(True)), ["kind", "_letters"], "left")
+    return plain.select("claim_key", "field_name", "typed", F.when(F.col("_plain"), F.col("term_id")).alias("term_id")).distinct()
+
+
+def _letters(column: str):
+    return F.regexp_replace(F.lower(column), "[^a-z0-9]+", "")
+
+
 def p1_misses(spark: SparkSession, d: str) -> DataFrame:
     return misses(_typed(spark, d), "kind", "typed")
 
@@ -60,6 +73,26 @@ def _sentence_fields(spark: SparkSession, d: str) -> DataFrame:
     return chunks.unionByName(claims)
 
 
+def p3_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """What the pieces of each item cover, whether each is within the limit, and whether neighbours share the overlap."""
+    limits = {f: _limit(spark, d, t) for f, t in (("chunk_text", "silver_chunk.chunk_text"), ("abstract_text", "bronze_paper.abstract_text"))}
+    by_field = lambda i: F.when(F.col("field_name") == "chunk_text", limits["chunk_text"][i]).otherwise(limits["abstract_text"][i])
+    p = p3_pieces(spark, d).select("field_name", "pmid", "chunk_index", "piece_no", "start_char", "end_char", F.length("piece_text").alias("n"), "source_offset").distinct()
+    n = F.struct("piece_no", "start_char", "end_char")
+    each = p.groupBy("field_name", "pmid", "chunk_index").agg(F.array_sort(F.collect_list(n)).alias("ps"), F.max("n").alias("longest"), F.bool_and(F.col("n") == F.col("end_char") - F.col("start_char")).alias("whole"))
+    shared = F.forall(F.sequence(F.lit(0), F.size("ps") - 2), lambda i: F.get("ps", i)["end_char"] - F.get("ps", i + 1)["start_char"] == by_field(1))
+    return each.select("field_name", "pmid", "chunk_index", F.col("ps")[0]["start_char"].alias("begins"), F.element_at("ps", -1)["end_char"].alias("ends"), ((F.col("longest") <= by_field(0)) & F.col("whole")).alias("within"), shared.alias("overlaps"))
+
+
+def p4_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """How many characters that are no blanks the sentences of each record hold, and whether they are numbered on."""
+    s = p4_sentences(spark, d).withColumn("n", F.length(F.regexp_replace("sentence", _NO_INK, "")))
+    return s.groupBy("field_name", "record_key").agg(F.sum("n").cast("long").alias("n_chars"), (F.max("sentence_no") == F.countDistinct("sentence_no")).alias("numbered"))
+
+
+_NO_INK = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
 def p4_sentences(spark: SparkSession, d: str) -> DataFrame:
     return sentences(_sentence_fields(spark, d), "value", ["field_name", "record_key"])
 
@@ -79,6 +112,22 @@ def p6_report(spark: SparkSession, d: str) -> DataFrame:
     return per.agg(F.count(F.lit(1)).alias("n_containers"), F.sum("n").alias("n_tokens"), F.sum("room").alias("room_left"), F.ceil(F.sum("n") / capacity).alias("fewest_possible"))
 
 
+def p6_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Per document whether it is placed, whether its containers hold no more than they may, and whether it is in pieces
+    only if it exceeds one."""
+    capacity = _limit(spark, d, "documents.text")[0]
+    placed = cut(p6_containers(spark, d))
+    full = placed.where("container_id is not null").groupBy("container_id").agg(F.sum("n_tokens").alias("held"), F.max("room_left").alias("room")).withColumn("ok", (F.col("held") <= capacity) & (F.col("room") == capacity - F.col("held")))
+    rows = placed.join(full.select("container_id", "ok"), "container_id", "left")
+    return rows.groupBy("doc_id").agg(F.bool_and(F.col("container_id").isNotNull()).alias("placed"), F.bool_and(F.coalesce("ok", F.lit(True))).alias("fits"), ((F.count(F.lit(1)) == 1) | (F.sum("n_tokens") > capacity)).alias("whole"))
+
+
+def p7_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Per document of a listed source whether it is used a number of times that may be."""
+    most = read_table(spark, d, "mix_targets").groupBy("source").agg(F.min("max_repeats").alias("most"))
+    return p7_mix(spark, d).join(most, "source").select("doc_id", "source", F.col("n_uses").between(0, F.col("most")).alias("within"))
+
+
 def p7_mix(spark: SparkSession, d: str) -> DataFrame:
     return mix(read_table(spark, d, "documents"), read_table(spark, d, "mix_targets"))
 
@@ -100,11 +149,29 @@ def p8_members(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_misses, p3_found, p3_pieces, p4_found, p4_sentences, p6_containers, p6_report, p7_mix, p7_shares, p8_found, p8_canonical, p8_members)}
+    return {f.__name__: f for f in (p1_found, p1_misses, p1_plain, p3_found, p3_pieces, p3_coverage, p4_found, p4_sentences, p4_coverage, p6_containers, p6_report, p6_checks, p7_mix, p7_shares, p7_checks, p8_found, p8_canonical, p8_members)}
 
 
 def oracle_sql() -> dict[str, str]:
+    letters = "regexp_replace(lower({}), '[^a-z0-9]+', '', 'g')"
+    typed = " UNION ALL ".join(f"SELECT claim_key, '{f}' AS field_name, '{k}' AS kind, {f} AS typed FROM gold_claim WHERE claim_key IS NOT NULL AND trim({f}) <> '' AND {f} NOT IN (SELECT canonical_name FROM canonical_terms WHERE kind = '{k}' AND canonical_name IS NOT NULL)" for f, k in (("ingredient_name", "ingredient"), ("target", "target")))
     return {
+        "p1_plain": f"""
+            SELECT DISTINCT claim_key, field_name, typed, term_id FROM ({typed}) v LEFT JOIN (SELECT kind, {letters.format('canonical_name')} AS l, min(term_id) AS term_id FROM canonical_terms WHERE canonical_name IS NOT NULL GROUP BY 1, 2) t
+            ON t.kind = v.kind AND regexp_matches(typed, '^[\\x00-\\x7F]*$') AND t.l = {letters.format('typed')}""",
+        "p3_coverage": """
+            SELECT DISTINCT 'chunk_text' AS field_name, pmid, chunk_index, CAST(0 AS INTEGER) AS begins, CAST(length(chunk_text) AS INTEGER) AS "ends", true AS within, true AS overlaps FROM silver_chunk
+            WHERE pmid IS NOT NULL AND chunk_index IS NOT NULL AND length(chunk_text) > (SELECT max_size FROM size_limits WHERE field_name = 'silver_chunk.chunk_text')
+            UNION ALL
+            SELECT DISTINCT 'abstract_text', pmid, CAST(-1 AS INTEGER), CAST(0 AS INTEGER), CAST(length(abstract_text) AS INTEGER), true, true FROM bronze_paper
+            WHERE pmid IS NOT NULL AND length(abstract_text) > (SELECT max_size FROM size_limits WHERE field_name = 'bronze_paper.abstract_text')""",
+        "p4_coverage": f"""
+            SELECT field_name, record_key, CAST(sum(n) AS BIGINT) AS n_chars, true AS numbered FROM (
+                SELECT DISTINCT 'chunk_text' AS field_name, pmid || '#' || CAST(chunk_index AS VARCHAR) AS record_key, chunk_text AS t, length(regexp_replace(chunk_text, '{_NO_INK}', '', 'g')) AS n FROM silver_chunk WHERE pmid IS NOT NULL AND chunk_index IS NOT NULL AND chunk_text IS NOT NULL
+                UNION ALL SELECT DISTINCT 'source_sentence', claim_key, source_sentence, length(regexp_replace(source_sentence, '{_NO_INK}', '', 'g')) FROM gold_claim WHERE claim_key IS NOT NULL AND source_sentence IS NOT NULL)
+            WHERE n > 0 GROUP BY 1, 2""",
+        "p6_checks": "SELECT doc_id, text IS NOT NULL AS placed, true AS fits, true AS whole FROM documents",
+        "p7_checks": "SELECT doc_id, source, true AS within FROM documents JOIN (SELECT DISTINCT source FROM mix_targets) USING (source)",
         "p3_found": """
             SELECT DISTINCT 'chunk_text' AS field_name, pmid, chunk_index FROM silver_chunk
             WHERE pmid IS NOT NULL AND chunk_index IS NOT NULL AND length(chunk_text) > (SELECT max_size FROM size_limits WHERE field_name = 'silver_chunk.chunk_text')
