@@ -45,10 +45,11 @@ def study_design(sentence: Column) -> Column:
     return ~result_heading(sentence) & (L.starts_any(sentence, C.DESIGN_HEADINGS) | L.contains_any(sentence, L.STUDY_PHRASES))
 
 
-def enumerates(sentence: Column, table: Mapping[str, str]) -> Column:
-    """Whether a sentence brings in a list and names two things or more."""
-    names = F.array_distinct(F.transform(L.alias_matches(sentence, table), lambda a: L.name_of(a, table)))
-    return L.contains_any(sentence, L.LIST_TRIGGERS) & (F.size(names) >= 2)
+def enumerates(sentence: Column, table: Mapping[str, str] | None = None, names: Column | None = None) -> Column:
+    """Whether a sentence brings in a list and names two things or more, those of `table` or those in `names`."""
+    if names is None:
+        names = F.transform(L.alias_matches(sentence, table), lambda a: L.name_of(a, table))
+    return L.contains_any(sentence, L.LIST_TRIGGERS) & (F.size(F.array_distinct(names)) >= 2)
 
 
 def excluded(sentence: Column, phrases: Column, whole_words: Sequence[str] = ()) -> Column:

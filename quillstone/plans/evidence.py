@@ -15,6 +15,7 @@ from quillstone.operators import graph as G
 from quillstone.operators import labels as B
 from quillstone.operators import quality as Q
 from quillstone.operators import upsert as U
+from quillstone.operators.dictionary import find_entries, subject_of
 from quillstone.operators.extract import claims_of, extract_cached
 from quillstone.operators.packed import listed, unpack
 from quillstone.plans.rules_sql import COMPATIBLE_SQL, REJECTED_SQL, TARGET_SQL, pick, pick_sql, target_flat_sql
@@ -297,16 +298,18 @@ def dictionary(spark: SparkSession, d: str, kind: str) -> dict[str, str]:
     return L.alias_table([(r[0], r[0]) for r in rows])
 
 
-def _ingredients(spark: SparkSession, d: str) -> tuple[dict[str, str], dict[str, str]]:
-    """Listed ingredient names, and those with every name and alias of the active targets: an alias stands for the
+def _ingredients(spark: SparkSession, d: str) -> DataFrame:
+    """alias and name of the listed ingredients and of every name and alias of the active targets: an alias stands for the
     query name of its target, of the last target if several have it, and never for another listed name."""
-    names = dictionary(spark, d, "ingredient")
+    listed_names = read_table(spark, d, "canonical_terms").where("kind = 'ingredient' and trim(canonical_name) <> ''").groupBy(F.lower(F.trim("canonical_name")).alias("alias")).agg(F.max_by("canonical_name", "term_id").alias("name"))
     t = R.targets(read_table(spark, d, "issue26_sebum_targets")).where("trim(query_name) <> ''").select("ingredient_code", "query_name", "canonical_name", "alias_list").distinct()
     own = t.select("ingredient_code", "query_name", F.lit(0).alias("pos"), F.explode(F.array("canonical_name", "query_name")).alias("alias"))
     other = unpack(t.select("ingredient_code", "query_name", "alias_list"), field="alias_list", out="alias").select("ingredient_code", "query_name", "pos", "alias")
     rows = own.unionByName(other).withColumn("alias", F.lower(F.trim("alias"))).where("alias <> ''").groupBy("alias").agg(F.max_by(F.trim("query_name"), F.struct("ingredient_code", "pos", "query_name")).alias("name"))
-    pairs = sorted((r.alias, names.get(r.name.lower(), r.name)) for r in rows.collect())
-    return names, L.alias_table(pairs, names)
+    look = broadcast_if_small(listed_names)
+    # a target that is listed under its query name goes by the listed spelling
+    spelled = rows.join(look.select(F.col("alias").alias("_q"), F.col("name").alias("_listed")), F.lower("name") == F.col("_q"), "left").select("alias", F.coalesce("_listed", "name").alias("name"))
+    return spelled.join(look.select("alias"), "alias", "left_anti").unionByName(listed_names)
 
 
 def _claim_sentences(spark: SparkSession, d: str) -> DataFrame:
@@ -327,21 +330,20 @@ def target_mentions(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def ingredient_subjects(spark: SparkSession, d: str) -> DataFrame:
     """The ingredient each sentence is about; else the only one of its chunk."""
-    _, table = _ingredients(spark, d)
-    s = _claim_sentences(spark, d).withColumn("own", L.subject(F.col("source_sentence"), table, L.PREFIX_PATTERNS))
+    s = find_entries(_claim_sentences(spark, d), "source_sentence", _ingredients(spark, d)).withColumn("own", subject_of(F.col("source_sentence"), F.col("found")))
     chunk = s.groupBy("pmid", "chunk_index").agg(F.array_compact(F.collect_set("own")).alias("names"))
     both = s.join(chunk, ["pmid", "chunk_index"], "left")
-    return both.select("claim_key", F.coalesce("own", F.when(F.size("names") == 1, F.col("names")[0])).alias("ingredient"), B.enumerates(F.col("source_sentence"), table).alias("enumerates"))
+    return both.select("claim_key", F.coalesce("own", F.when(F.size("names") == 1, F.col("names")[0])).alias("ingredient"), B.enumerates(F.col("source_sentence"), names=F.col("found.name")).alias("enumerates"))
 
 
 @query()
 def detection_units(spark: SparkSession, d: str) -> DataFrame:
     """What each sentence names, and how an effect in it is attributed."""
-    names, table = _ingredients(spark, d)
-    units = lambda c: L.detected_units(c, table, L.DETECTION_TAGS, L.VERB_HINTS, names)
-    s = _claim_sentences(spark, d).withColumn("clause", B.primary_clause(F.col("source_sentence"), F.col("ingredient_name"))).withColumn("units", units(F.col("source_sentence")))
-    # most sentences are one clause, whose units are known already
-    s = s.withColumn("_own", F.when(F.col("clause") == F.trim("source_sentence"), F.col("units")).otherwise(units(F.col("clause"))))
+    members, entries = dictionary(spark, d, "ingredient"), _ingredients(spark, d)
+    s = _claim_sentences(spark, d).withColumn("clause", B.primary_clause(F.col("source_sentence"), F.col("ingredient_name")))
+    s = find_entries(find_entries(s, "source_sentence", entries), "clause", entries, "in_clause")
+    units = lambda c, found: L.detected_units(F.col(c), members, L.DETECTION_TAGS, L.VERB_HINTS, found=F.col(f"{found}.name"))
+    s = s.withColumns({"units": units("source_sentence", "found"), "_own": units("clause", "in_clause")})
     label = B.reconciled(B.attribution(F.col("source_sentence"), F.col("ingredient_name"), F.col("_own"), F.col("clause")), F.col("source_sentence"), F.col("units"))
     return s.select("claim_key", F.array_join("units", "|").alias("units"), F.size("units").alias("n_units"), label.alias("attribution"), B.list_guard(F.col("source_sentence")).alias("lists"), B.detection_suspect(F.col("source_sentence"), F.col("units")).alias("suspect"))
 
@@ -736,8 +738,10 @@ _SAID = "^(?:RESULTS:\\s*)?([A-Z][\\p{L}\\p{N}_, -]+?) (improved|worsened|lowere
 def extracted_claims(spark: SparkSession, d: str) -> DataFrame:
     """Claims by the stand-in extractor behind the cache."""
     s = read_table(spark, d, "gold_claim").where("claim_key is not null").select("claim_key", "source_sentence").distinct()
-    cache = spark.createDataFrame([], "cache_key string, response string")
-    answered, _ = extract_cached(s, cache, rule_extractor, question="source_sentence", model="rules", prompt="one claim")
+    model = {"question": "source_sentence", "model": "rules", "prompt": "one claim"}
+    # half of the sentences were asked before
+    _, cache = extract_cached(s.where(F.length("source_sentence") % 2 == 0), spark.createDataFrame([], "cache_key string, response string"), rule_extractor, **model)
+    answered, _ = extract_cached(s, cache, rule_extractor, **model)
     return answered.select("claim_key", F.explode(claims_of(F.col("response"))).alias("c")).select("claim_key", "c.ingredient", "c.relation", "c.target", "c.confidence")
 
 
