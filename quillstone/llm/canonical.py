@@ -290,6 +290,23 @@ class Lexicon:
                 if best is None or key < best:
                     best = key
 
+        def begun(edited: bool) -> None:
+            for form, penalty, cut_off in forms:
+                if len(form) < 4:
+                    continue
+                if form in self.begins:
+                    if len(form) >= 5 or cut_off:
+                        offer(0.3 + penalty, self.begins[form])
+                elif edited and len(form) >= 6:
+                    tried: set[str] = set()
+                    for d in deletes(form, 1):
+                        for start in self.begun.get(d, ()):
+                            if start not in tried:
+                                tried.add(start)
+                                got = distance(form, start, 1.0)
+                                if got <= 1.0 and form[0] == start[0]:
+                                    offer(0.6 + got + penalty, self.begins[start])
+
         for form, penalty, _ in forms:
             if form in self.exact:
                 offer(penalty, self.exact[form])
@@ -302,6 +319,11 @@ class Lexicon:
                         if (form, flat) not in checked and len(form) == len(flat):
                             offer(distance(form, flat) + penalty, self.exact[flat])
                 break
+            if best is None and most_left_out == 2:
+                # a value cut off is nearer to its name than two edits are
+                begun(False)
+                if best is not None:
+                    break
             for form, penalty, _ in forms:
                 reach = _reach(len(form))
                 if most_left_out > reach:
@@ -315,20 +337,7 @@ class Lexicon:
                             if got <= most:
                                 offer(got + penalty, self.exact[flat])
         if best is None or best[0] > 1.2:
-            for form, penalty, cut_off in forms:
-                if len(form) < 4:
-                    continue
-                if form in self.begins and (len(form) >= 5 or cut_off):
-                    offer(0.3 + penalty, self.begins[form])
-                elif len(form) >= 6:
-                    tried: set[str] = set()
-                    for d in deletes(form, 1):
-                        for start in self.begun.get(d, ()):
-                            if start not in tried:
-                                tried.add(start)
-                                got = distance(form, start, 1.0)
-                                if got <= 1.0 and form[0] == start[0]:
-                                    offer(0.6 + got + penalty, self.begins[start])
+            begun(True)
         return (-1, float("inf")) if best is None else (best[2], best[0])
 
 
