@@ -220,10 +220,21 @@ CONTEXT_WEIGHT = {"human_topical": 1.0, "human_oral": 0.95, "human_intradermal":
 
 def mentions(text: Column, synonyms: Mapping[str, Sequence[str]], relation: Column | None = None, only: Mapping[str, Sequence[str]] | None = None) -> Column:
     """Sorted codes whose name or synonym stands in text, as part of a word too; those in `only` need one of its relations."""
-    said = F.lower(F.trim(relation)) if relation is not None else None
-
-    def hit(code: str, words: Sequence[str]) -> Column:
-        found = L.contains_any(text, words)
-        return found & said.isin(list(only[code])) if only and code in only else found
-
-    return F.array_sort(F.array_compact(F.array(*(F.when(hit(code, words), code) for code, words in synonyms.items())).cast("array<string>")))
+    by_word: dict[str, set[str]] = {}
+    for code, many in synonyms.items():
+        for w in many:
+            if w:
+                by_word.setdefault(w.lower(), set()).add(code)
+    if not by_word:
+        return F.array().cast("array<string>")
+    # at each place the longest word that begins there is taken, which stands for the shorter ones it begins with
+    codes = {w: sorted(set().union(*(c for o, c in by_word.items() if w.startswith(o)))) for w in by_word}
+    of = L.lookup(codes, "array<string>")
+    hits = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"(?=({L.automaton(list(by_word))}))"), F.lit(1)))
+    found = F.array_sort(F.array_distinct(F.flatten(F.transform(hits, of))))
+    if not only:
+        return found
+    said = F.coalesce(F.lower(F.trim(relation)), F.lit(""))
+    for code, relations in only.items():
+        found = F.when(said.isin(list(relations)), found).otherwise(F.array_remove(found, code))
+    return found

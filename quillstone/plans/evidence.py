@@ -359,9 +359,8 @@ def _mapped(spark: SparkSession, d: str, kind: str, synonyms: dict, only: dict |
             words.pop(code, None)
         elif on and name and name.strip():
             words.setdefault(code, []).append(name)
-    g = read_table(spark, d, "gold_claim").where("claim_key is not null")
-    codes = B.mentions(F.concat_ws(" ", "target", "source_sentence", "claim_text"), words, F.col("relation"), only)
-    return g.select("claim_key", F.array_join(codes, "|").alias("codes")).distinct()
+    g = read_table(spark, d, "gold_claim").where("claim_key is not null").select("claim_key", "relation", F.lower(F.concat_ws(" ", "target", "source_sentence", "claim_text")).alias("said"))
+    return g.select("claim_key", F.array_join(B.mentions(F.col("said"), words, F.col("relation"), only), "|").alias("codes")).distinct()
 
 
 def _mapped_sql(kind: str, synonyms: dict, only: dict | None = None) -> str:

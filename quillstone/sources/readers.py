@@ -210,7 +210,7 @@ def read_many(spark: SparkSession, pattern: str, schema: T.StructType | str, kee
     paths = [p for p, size, _ in _files(spark, pattern) if size > 0]
     if not paths:
         return spark.createDataFrame([], schema)
-    # the header of each file, in one distributed pass over first lines
+    # which files have the header, in one distributed pass
     heads = spark.read.text(paths, wholetext=False).withColumn("_file", F.input_file_name()).where(F.regexp_replace("value", "^\ufeff", "") == ",".join(names)).select("_file").distinct()
     good = [r["_file"] for r in heads.toLocalIterator()]
     if not good:
