@@ -20,8 +20,9 @@ from quillstone.operators import upsert as U
 from quillstone.plans import claims as P
 from quillstone.plans import evidence as E
 from quillstone.plans.rules_sql import pick, pick_sql
-from quillstone.runtime import read_table
+from quillstone.runtime import read_table, scratch
 from quillstone.sources import readers as R
+from quillstone.sources import writers as W
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -153,6 +154,45 @@ def target_batches(spark: SparkSession, d: str) -> DataFrame:
     return batch_numbers(R.targets(read_table(spark, d, "issue26_sebum_targets")).select("ingredient_code").distinct(), "ingredient_code", 40)
 
 
+_CHUNK = "pmid string, chunk_index int, section_type string, char_count int"
+
+
+def _export(spark: SparkSession, d: str) -> tuple[str, int]:
+    """Chunks written as CSV batches beside an empty and a broken file: the folder, and the rows written."""
+    chunks = read_table(spark, d, "silver_chunk").select("pmid", "chunk_index", F.nullif("section_type", F.lit("")).alias("section_type"), "char_count").distinct()
+    root = scratch(spark)
+    rows = W.write_csv(chunks.where("coalesce(chunk_index, 0) % 2 = 0"), f"{root}/batch=2024", mark=True) + W.write_csv(chunks.where("coalesce(chunk_index, 0) % 2 = 1"), f"{root}/batch=2025", single=True)
+    jvm = spark.sparkContext._jvm
+    for name, text in (("empty.csv", ""), ("broken_error.csv", "<html>not found</html>")):
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+        out.write(bytearray(text, "utf-8"))
+        out.close()
+    return root, rows
+
+
+@query("SELECT DISTINCT pmid, chunk_index, nullif(section_type, '') AS section_type, char_count FROM silver_chunk")
+def chunks_from_files(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks written as CSV in two batches and read back as one table, past an empty and a broken file."""
+    return R.read_many(spark, f"{_export(spark, d)[0]}/*", _CHUNK)
+
+
+@query("SELECT DISTINCT pmid, chunk_index, nullif(section_type, '') AS section_type, char_count FROM silver_chunk WHERE chunk_index % 2 = 1")
+def published_batch(spark: SparkSession, d: str) -> DataFrame:
+    """The batch published under a tag, read back from its latest file; what is not there was not published."""
+    root, _ = _export(spark, d)
+    done = W.publish(spark, {"chunks": f"{root}/batch=2025", "nothing": f"{root}/none"}, f"{root}/store", "now")
+    return R.read_csv(spark, R.latest_file(spark, done["chunks"], "part-"), _CHUNK)
+
+
+@query("SELECT count(*) AS n_rows, 2 AS n_batches FROM (SELECT DISTINCT pmid, chunk_index, nullif(section_type, ''), char_count FROM silver_chunk)")
+def export_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """The counters of an export, written as metadata beside it and read back."""
+    root, rows = _export(spark, d)
+    W.write_metadata(spark.createDataFrame([(rows, 2)], "n_rows long, n_batches int"), f"{root}/metadata")
+    return spark.read.schema("n_rows long, n_batches int").json(f"{root}/metadata")
+
+
 # ---- lookups and merges -----------------------------------------------------------------------------------------
 
 _VALID_SQL = "(SELECT DISTINCT canonical_name AS id FROM canonical_terms WHERE kind = 'ingredient')"

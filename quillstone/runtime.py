@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -70,6 +71,12 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder that all executors share, below the one for checkpoints."""
+    _ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """`df`, computed once and kept in the shared checkpoint folder, so that a lost executor costs nothing upstream."""
     _ensure_checkpoint_dir(df.sparkSession)

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 
 def write_csv(df: DataFrame, path: str, headers: Mapping[str, str] | None = None, single: bool = False, mark: bool = False, bare_if_empty: bool = False) -> int:
-    """CSV with a header; returns the number of rows. `headers` renames columns for the reader ("id" to "id:ID(Node)");
+    """CSV with a header, cells as they are; returns the number of rows. `headers` renames columns for the reader ("id" to "id:ID(Node)");
     `single` writes one file, for tables that a loader wants whole; `mark` puts a byte-order mark before the header of
     every file; `bare_if_empty` leaves the header out where there are no rows."""
     names = [(headers or {}).get(c, c) for c in df.columns]
@@ -22,7 +22,7 @@ def write_csv(df: DataFrame, path: str, headers: Mapping[str, str] | None = None
     named = df.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, names, strict=True))).observe(seen, F.count(F.lit(1)).alias("n"))
     out = named.coalesce(1) if single else named
     header = not (bare_if_empty and df.isEmpty())
-    out.write.mode("overwrite").csv(path, header=header, quote='"', escape='"', quoteAll=False)
+    out.write.mode("overwrite").csv(path, header=header, quote='"', escape='"', quoteAll=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return int(seen.get["n"])
 
 
