@@ -4,7 +4,7 @@ Each document of a source starts with the same expected number of uses. Its whol
 is an inclusion probability. The flight phase moves three probabilities at a time along the null space of the balancing
 equations (tokens, documents) until one of them is 0 or 1, so both totals stay what they were. Blocks of documents fly
 independently; the two that each leaves undecided fly again together, level by level, until one block per source is
-left. The landing decides its last two by the smallest error in tokens and makes that good by one exchange.
+left. The landing decides its last two by the smallest error in tokens and makes that good by exchanges.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from quillstone.runtime import broadcast_if_small, cut
 
 #: Documents that fly together.
 BLOCK_DOCS = 20_000
+#: Exchanges at most that make good what the landing is off by.
+EXCHANGES = 64
 #: Tasks in which blocks fly at once; more blocks share them.
 MOST_TASKS = 10_000
 _EDGE = 1e-9
@@ -66,19 +68,25 @@ def land(sizes: list[float], chances: list[float]) -> list[int]:
     out = [round(x) for x in chances]
     for k, i in zip(best, open_, strict=True):
         out[i] = k
-    # what the last ones are off by, exchanging one used document for one unused makes good
+    # what the last ones are off by, exchanging used documents for unused ones makes good: one, or a few where a
+    # document far larger than the others was decided last
     off = due - sum(out[i] * sizes[i] for i in open_)
-    ins = sorted((sizes[i], i) for i in range(len(out)) if not out[i])
-    swap: tuple[float, int, int] | None = None
-    for i in range(len(out)):
-        if out[i]:
-            at = bisect.bisect_left(ins, (sizes[i] + off, -1))
-            for size, j in ins[max(0, at - 1) : at + 1]:
-                left = abs(off - (size - sizes[i]))
-                if left < abs(off) and (swap is None or (left, i, j) < swap):
-                    swap = (left, i, j)
-    if swap is not None:
+    for _ in range(EXCHANGES):
+        ins = sorted((sizes[i], i) for i in range(len(out)) if not out[i])
+        swap: tuple[float, int, int] | None = None
+        for i in range(len(out)):
+            if out[i]:
+                at = bisect.bisect_left(ins, (sizes[i] + off, -1))
+                for size, j in ins[max(0, at - 1) : at + 1]:
+                    left = abs(off - (size - sizes[i]))
+                    if left < abs(off) and (swap is None or (left, i, j) < swap):
+                        swap = (left, i, j)
+        if swap is None:
+            break
+        off -= sizes[swap[2]] - sizes[swap[1]]
         out[swap[1]], out[swap[2]] = 0, 1
+        if abs(off) < 1:
+            break
     return out
 
 

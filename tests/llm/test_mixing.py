@@ -62,3 +62,12 @@ def test_seeds_differ_and_repeat(spark, tokens_dir):
     targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
     used = [{r.doc_id for r in mix(docs, targets, total_tokens=800, seed=s, folder=tokens_dir).collect() if r.n_uses} for s in (1, 1, 2)]
     assert used[0] == used[1] != used[2]
+
+
+def test_a_giant_decided_last_is_made_good():
+    rng = random.Random(11)
+    sizes = [35_000.0, *(float(rng.randint(20, 900)) for _ in range(600))]
+    p = [0.7] * len(sizes)
+    for seed in range(20):
+        got = land(sizes, fly(sizes, p, random.Random(seed)))
+        assert abs(sum(k * s for k, s in zip(got, sizes)) - 0.7 * sum(sizes)) <= 2 and abs(sum(got) - 0.7 * len(sizes)) <= 2
