@@ -125,6 +125,9 @@ def shape(text: str) -> str:
 def deletes(text: str, most: int) -> set[str]:
     """`text` with 0 to `most` of its characters left out."""
     every = last = {text}
+    if most == 2:  # each pair of places once
+        n = len(text)
+        return {text, *(text[:i] + text[i + 1 :] for i in range(n)), *(text[:i] + text[i + 1 : j] + text[j + 1 :] for i in range(n) for j in range(i + 1, n))}
     for _ in range(most):
         last = {t[:i] + t[i + 1 :] for t in last for i in range(len(t))}
         every = every | last
@@ -280,8 +283,8 @@ class Lexicon:
 
     def resolve(self, typed: str) -> tuple[int, float]:
         """(term, distance) of the name that `typed` means; (-1, inf) if it means none."""
-        forms = [f for f in self._forms(typed) if len(f[0]) <= self._longest + 3]
         best: tuple[float, int, int] | None = None
+        forms: list[tuple[str, float, bool]] = []
 
         def offer(cost: float, terms: list[int]) -> None:
             nonlocal best
@@ -299,17 +302,21 @@ class Lexicon:
                         offer(0.3 + penalty, self.begins[form])
                 elif edited and len(form) >= 6:
                     tried: set[str] = set()
-                    for d in deletes(form, 1):
-                        for start in self.begun.get(d, ()):
+                    for d in self.begun.keys() & deletes(form, 1):
+                        for start in self.begun[d]:
                             if start not in tried:
                                 tried.add(start)
                                 got = distance(form, start, 1.0)
                                 if got <= 1.0 and form[0] == start[0]:
                                     offer(0.6 + got + penalty, self.begins[start])
 
-        for form, penalty, _ in forms:
-            if form in self.exact:
-                offer(penalty, self.exact[form])
+        for f in self._forms(typed):
+            if len(f[0]) <= self._longest + 3:
+                forms.append(f)
+                if f[0] in self.exact:
+                    offer(f[1], self.exact[f[0]])
+                    if not f[1]:
+                        break  # the value as it is: no other reading is as near
         checked: set[tuple[str, str]] = set()
         for most_left_out in (1, 2) if best is None else ():
             if best is not None and best[0] < TWO_EDITS:
@@ -328,8 +335,8 @@ class Lexicon:
                 reach = _reach(len(form))
                 if most_left_out > reach:
                     continue
-                for d in deletes(shape(form), most_left_out):
-                    for flat in self.near.get(d, ()):
+                for d in self.near.keys() & deletes(shape(form), most_left_out):
+                    for flat in self.near[d]:
                         if (form, flat) not in checked:
                             checked.add((form, flat))
                             most = min(reach, _reach(len(flat))) + SLACK
