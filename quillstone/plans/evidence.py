@@ -88,7 +88,7 @@ def papers_from_xml(spark: SparkSession, d: str) -> DataFrame:
         return F.concat(F.lit("<Author>"), inner, F.lit("</Author>"))
 
     rows = read_table(spark, d, "bronze_paper").where("pmid is not null and trim(abstract_text) <> ''").where(one(F.col("abstract_text")) != "")
-    rows = listed(rows.select("pmid", "title", "abstract_text", "journal", "publication_year", "authors", "doi", "pmcid"), field="authors", people=True, out="names")
+    rows = listed(rows.select("pmid", "title", "abstract_text", "journal", "publication_year", "authors", "doi", "pmcid").distinct(), field="authors", people=True, out="names")
     sections = F.split(one(F.col("abstract_text")), rf" (?=(?:{_LABELS}): )")
     xml = F.concat(
         F.lit("<PubmedArticle><MedlineCitation>"), tag("PMID", F.col("pmid")), F.lit("<Article>"), tag("ArticleTitle", F.trim("title")),
@@ -341,9 +341,13 @@ def detection_units(spark: SparkSession, d: str) -> DataFrame:
     """What each sentence names, and how an effect in it is attributed."""
     members, entries = dictionary(spark, d, "ingredient"), _ingredients(spark, d)
     s = _claim_sentences(spark, d).withColumn("clause", B.primary_clause(F.col("source_sentence"), F.col("ingredient_name")))
-    s = find_entries(find_entries(s, "source_sentence", entries), "clause", entries, "in_clause")
+    # most sentences are one clause, which is looked through once
+    apart = F.col("clause") != F.trim("source_sentence")
+    s = find_entries(s.withColumn("part", F.when(apart, F.col("clause"))), "source_sentence", entries)
+    s = find_entries(s, "part", entries, "in_part")
     units = lambda c, found: L.detected_units(F.col(c), members, L.DETECTION_TAGS, L.VERB_HINTS, found=F.col(f"{found}.name"))
-    s = s.withColumns({"units": units("source_sentence", "found"), "_own": units("clause", "in_clause")})
+    s = s.withColumn("units", units("source_sentence", "found"))
+    s = s.withColumn("_own", F.when(apart, units("part", "in_part")).otherwise(F.col("units")))
     label = B.reconciled(B.attribution(F.col("source_sentence"), F.col("ingredient_name"), F.col("_own"), F.col("clause")), F.col("source_sentence"), F.col("units"))
     return s.select("claim_key", F.array_join("units", "|").alias("units"), F.size("units").alias("n_units"), label.alias("attribution"), B.list_guard(F.col("source_sentence")).alias("lists"), B.detection_suspect(F.col("source_sentence"), F.col("units")).alias("suspect"))
 
