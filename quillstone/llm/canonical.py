@@ -439,7 +439,7 @@ def map_to_list(rows: DataFrame, terms: DataFrame, *, kind: str, value: str, dec
         seen = cut(reduce(DataFrame.unionByName, beside).groupBy("kind", "unit", "term_id").agg(F.sum("n").alias("n")).groupBy("kind", "unit").agg(F.count(F.lit(1)).alias("names"), F.sum("n").alias("n")))
         # at most (mean words beside a name) / LEAST_SHARE of them pass
         counts: dict[str, dict[str, int]] = {}
-        for r in seen.where((F.col("unit") != "") & (F.col("names") >= least_names)).join(F.broadcast(seen.where("unit = ''").select("kind", F.col("n").alias("_all"))), "kind").where(F.col("n") >= F.col("_all") * LEAST_SHARE).toLocalIterator():
+        for r in seen.where((F.col("unit") != "") & (F.col("names") >= least_names)).join(broadcast_if_small(seen.where("unit = ''").select("kind", F.col("n").alias("_all"))), "kind").where(F.col("n") >= F.col("_all") * LEAST_SHARE).toLocalIterator():
             counts.setdefault(r["kind"], {})[r["unit"]] = r["n"]
         learned = {k: _well_spelled(c) for k, c in counts.items()}
     parts: list[DataFrame] = []
