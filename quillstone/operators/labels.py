@@ -132,7 +132,7 @@ def named(name: Column, text: Column, cues: Mapping[str, tuple[Sequence[str], Se
         if parts:
             hit = hit | L.contains_any(text, parts)
         by_cue = F.when(flat == who, hit).otherwise(by_cue)
-    return F.coalesce((flat.rlike(r"[\p{L}\p{N}]") & F.regexp_like(low, F.concat(F.lit(L.LEFT + r"\Q"), flat, F.lit(r"\E" + L.RIGHT)))) | by_cue, F.lit(False))
+    return F.coalesce((low.contains(flat) & flat.rlike(r"[\p{L}\p{N}]") & F.regexp_like(low, F.concat(F.lit(L.LEFT + r"\Q"), flat, F.lit(r"\E" + L.RIGHT)))) | by_cue, F.lit(False))
 
 
 def primary_clause(sentence: Column, name: Column) -> Column:
@@ -183,9 +183,11 @@ def attribution(sentence: Column, name: Column, units: Column, clause: Column |
     )
 
 
-def reconciled(label: Column, sentence: Column, units: Column) -> Column:
-    """A single active becomes several where the sentence names two things, writes a list or is listing lines."""
-    several = (unit_count(units) >= 2) | list_guard(sentence) | (F.size(L.line_units(sentence, L.VERB_HINTS)) >= 2)
+def reconciled(label: Column, sentence: Column, units: Column, lists: Column | None = None) -> Column:
+    """A single active becomes several where the sentence names two things, writes a list or is listing lines. `lists`:
+    the list guard, where it is known."""
+    lists = list_guard(sentence) if lists is None else lists
+    several = (unit_count(units) >= 2) | lists | (F.size(L.line_units(sentence, L.VERB_HINTS)) >= 2)
     return F.when((label == "single_active") & several, "multi_active_combination").otherwise(label)
 
 
@@ -198,9 +200,9 @@ def list_guard(sentence: Column) -> Column:
     return F.coalesce(F.lower(sentence).rlike(C.ENUMERATION), F.lit(False))
 
 
-def detection_suspect(sentence: Column, units: Column) -> Column:
-    """A list is written but at most one unit was found."""
-    return list_guard(sentence) & (unit_count(units) <= 1)
+def detection_suspect(sentence: Column, units: Column, lists: Column | None = None) -> Column:
+    """A list is written but at most one unit was found. `lists`: the list guard, where it is known."""
+    return (list_guard(sentence) if lists is None else lists) & (unit_count(units) <= 1)
 
 
 def weight(*factors: tuple[Column, Mapping[str, float], float]) -> Column:

@@ -272,8 +272,8 @@ def attribution_labels(spark: SparkSession, d: str) -> DataFrame:
     s = _probes(spark, d).withColumn("clause", B.primary_clause(F.col("s"), F.col("name")))
     s = s.withColumn("_su", units(F.col("s")))
     s = s.withColumn("_pu", F.when(F.col("clause") == F.trim("s"), F.col("_su")).otherwise(units(F.col("clause"))))
-    s = s.withColumn("first_label", B.attribution(F.col("s"), F.col("name"), F.col("_pu"), F.col("clause")))
-    return s.select("claim_key", "clause", F.array_join(F.array_sort("_su"), "|").alias("units"), B.unit_count(F.col("_su")).cast("long").alias("n_units"), "first_label", B.reconciled(F.col("first_label"), F.col("s"), F.col("_su")).alias("attribution"), B.list_guard(F.col("s")).alias("lists"), B.detection_suspect(F.col("s"), F.col("_su")).alias("suspect")).distinct()
+    s = s.withColumn("lists", B.list_guard(F.col("s"))).withColumn("first_label", B.attribution(F.col("s"), F.col("name"), F.col("_pu"), F.col("clause")))
+    return s.select("claim_key", "clause", F.array_join(F.array_sort("_su"), "|").alias("units"), B.unit_count(F.col("_su")).cast("long").alias("n_units"), "first_label", B.reconciled(F.col("first_label"), F.col("s"), F.col("_su"), F.col("lists")).alias("attribution"), "lists", B.detection_suspect(F.col("s"), F.col("_su"), F.col("lists")).alias("suspect")).distinct()
 
 
 # Cues and weights of the SQL.

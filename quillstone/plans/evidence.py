@@ -348,8 +348,9 @@ def detection_units(spark: SparkSession, d: str) -> DataFrame:
     units = lambda c, found: L.detected_units(F.col(c), members, L.DETECTION_TAGS, L.VERB_HINTS, found=F.col(f"{found}.name"))
     s = s.withColumn("units", units("source_sentence", "found"))
     s = s.withColumn("_own", F.when(apart, units("part", "in_part")).otherwise(F.col("units")))
-    label = B.reconciled(B.attribution(F.col("source_sentence"), F.col("ingredient_name"), F.col("_own"), F.col("clause")), F.col("source_sentence"), F.col("units"))
-    return s.select("claim_key", F.array_join("units", "|").alias("units"), F.size("units").alias("n_units"), label.alias("attribution"), B.list_guard(F.col("source_sentence")).alias("lists"), B.detection_suspect(F.col("source_sentence"), F.col("units")).alias("suspect"))
+    s = s.withColumns({"lists": B.list_guard(F.col("source_sentence")), "_label": B.attribution(F.col("source_sentence"), F.col("ingredient_name"), F.col("_own"), F.col("clause"))})
+    label = B.reconciled(F.col("_label"), F.col("source_sentence"), F.col("units"), F.col("lists"))
+    return s.select("claim_key", F.array_join("units", "|").alias("units"), F.size("units").alias("n_units"), label.alias("attribution"), "lists", B.detection_suspect(F.col("source_sentence"), F.col("units"), F.col("lists")).alias("suspect"))
 
 
 def _mapped(spark: SparkSession, d: str, kind: str, synonyms: dict, only: dict | None = None) -> DataFrame:
