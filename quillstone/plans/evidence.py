@@ -19,7 +19,7 @@ from quillstone.operators.dictionary import find_entries, subject_of
 from quillstone.operators.extract import claims_of, extract_cached
 from quillstone.operators.packed import listed, unpack
 from quillstone.plans.rules_sql import COMPATIBLE_SQL, REJECTED_SQL, TARGET_SQL, pick, pick_sql, target_flat_sql
-from quillstone.runtime import broadcast_if_small, read_table
+from quillstone.runtime import broadcast_if_small, cut, read_table
 from quillstone.sources import readers as R
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -339,7 +339,7 @@ def ingredient_subjects(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def detection_units(spark: SparkSession, d: str) -> DataFrame:
     """What each sentence names, and how an effect in it is attributed."""
-    members, entries = dictionary(spark, d, "ingredient"), _ingredients(spark, d)
+    members, entries = dictionary(spark, d, "ingredient"), cut(_ingredients(spark, d))
     s = _claim_sentences(spark, d).withColumn("clause", B.primary_clause(F.col("source_sentence"), F.col("ingredient_name")))
     # most sentences are one clause, which is looked through once
     apart = F.col("clause") != F.trim("source_sentence")
